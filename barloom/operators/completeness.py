@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions import timeconv as tc
+from barloom.operators.sides import staged
 from barloom.schemas import EASTERN, MINUTE
 
 OK, INCOMPLETE, FILE_MISSING = "OK", "INCOMPLETE", "FILE_MISSING"
@@ -164,7 +165,7 @@ def day_report(
 
     `unreadable_days(symbol, date)` lists days whose files could not be read.
     """
-    learned = profile(bars, scope)
+    learned = staged(profile(bars, scope), "profile")
     trusted = reference_days(bars, scope).where("trusted").select("symbol")
     sizes = learned.groupBy("symbol").agg(F.count("*").alias("profile_size"))
     per_day = (
@@ -172,8 +173,8 @@ def day_report(
         .groupBy("symbol", "date")
         .agg(
             F.sum("stored_rows").alias("stored"),
-            F.count_if("is_expected AND stored_rows = 0").alias("missing_n"),
-            F.count_if("NOT is_expected").alias("extra_n"),
+            F.count_if(F.expr("is_expected AND stored_rows = 0")).alias("missing_n"),
+            F.count_if(~F.col("is_expected")).alias("extra_n"),
         )
     )
     calendar = trusted.select("symbol", scope.days().alias("date"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from barloom.functions import market
 from barloom.functions import timeconv as tc
 from barloom.functions.settle import settled
+from barloom.operators.sides import small_side
 from barloom.schemas import CONTROL_TOPIC, PROTOCOL, QUANTITIES, WIRE_PRICES
 
 POINT, ANNOUNCEMENT = "point", "announcement"
@@ -37,46 +38,44 @@ def route(frames: DataFrame, subscribed: DataFrame | None = None) -> DataFrame:
     if subscribed is None:
         return labelled
     wanted = subscribed.select(F.col("id").alias("topic")).distinct()
-    wanted = wanted.withColumn("_wanted", F.lit(True))
+    wanted = small_side(wanted.withColumn("_wanted", F.lit(True)))
     joined = labelled.join(wanted, "topic", "left")
     return joined.where(control | F.col("_wanted")).drop("_wanted")
 
 
-def _raw(name: str) -> Column:
-    return F.try_variant_get("_v", f"$.{name}", "variant")
-
-
-def _int(name: str) -> Column:
-    return F.try_variant_get("_v", f"$.{name}", "bigint")
-
-
-def _float(name: str) -> Column:
-    return F.try_variant_get("_v", f"$.{name}", "double")
-
+# Typed fields come out in one cast and fields whose JSON type matters in another;
+# an unusable field is NULL without spoiling its neighbours.
+TYPED = ", ".join(
+    [
+        *[f"{c} bigint" for c in ("seq", "sid", "bar_type", "bar_interval", "category")],
+        *[f"{c} double" for c in ("proto", "ts", "o", "h", "l", "c", "bid", "ask")],
+        *[f"{c} bigint" for c in QUANTITIES],
+        "ts_str string, symbol string",
+    ]
+)
+AS_SENT = ", ".join(f"{c} variant" for c in ("seq", "sid", "proto", "bid", "ask", "symbol"))
 
-def _absent(name: str) -> Column:
-    return _raw(name).isNull()
 
-
-def _given(name: str) -> Column:
-    """Present and not a JSON null."""
-    return _raw(name).isNotNull() & ~F.coalesce(F.is_variant_null(_raw(name)), F.lit(False))
-
-
-def _is_string(name: str) -> Column:
-    return F.coalesce(F.schema_of_variant(_raw(name)) == "STRING", F.lit(False))
+def _raw(name: str) -> Column:
+    return F.try_variant_get("_v", f"$.{name}", "variant")
 
 
 def _unusable(column: str, key: str) -> Column:
     """The refusal reason of a required field that did not come out."""
     return F.when(
         F.col(column).isNull(),
-        F.when(_absent(key), F.lit(f"missing_{key}")).otherwise(F.lit(f"bad_{key}")),
+        F.when(_raw(key).isNull(), F.lit(f"missing_{key}")).otherwise(F.lit(f"bad_{key}")),
     )
 
 
-def _bad_quote(column: str) -> Column:
-    return F.when(_given(column) & F.col(f"_{column}").isNull(), F.lit(f"bad_{column}"))
+def _given(name: str) -> Column:
+    """Present and not a JSON null."""
+    sent = F.col(f"_sent.{name}")
+    return sent.isNotNull() & ~F.coalesce(F.is_variant_null(sent), F.lit(False))
+
+
+def _is_string(value: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(value) == "STRING", F.lit(False))
 
 
 def decode(frames: DataFrame, subscribed: DataFrame | None = None) -> DataFrame:
@@ -86,91 +85,107 @@ def decode(frames: DataFrame, subscribed: DataFrame | None = None) -> DataFrame:
     an integer, also when a later check refuses the frame.
     """
     keep = [c for c in ("landed_at", "payload_invalid_utf8") if c in frames.columns]
-    parsed = route(frames, subscribed).withColumn("_v", F.try_parse_json("payload"))
+    base = ["arrival", "topic", "route", "payload", *keep, "_v"]
+    point = F.col("route") == POINT
+    parsed = (
+        route(frames, subscribed)
+        .withColumn("_v", F.try_parse_json("payload"))
+        .withColumns(
+            {
+                "_typed": F.try_variant_get("_v", "$", f"struct<{TYPED}>"),
+                "_sent": F.try_variant_get("_v", "$", f"struct<{AS_SENT}>"),
+            }
+        )
+    )
     fields = parsed.select(
-        "arrival",
-        "topic",
-        "route",
-        "payload",
-        *keep,
-        "_v",
+        *base,
         F.col("payload").rlike(r"^\s*\{").alias("_object"),
-        _int("seq").alias("seq"),
-        F.when(_absent("sid"), F.lit(0).cast("bigint")).otherwise(_int("sid")).alias("sid"),
+        "_typed.seq",
+        F.when(F.col("_sent.sid").isNull(), 0).otherwise(F.col("_typed.sid")).alias("sid"),
         _given("seq").alias("_numbered"),
+        F.col("_sent.seq").isNotNull().alias("_has_seq"),
         (
-            F.coalesce(_float("proto") == PROTOCOL, F.lit(False)) & ~_is_string("proto")
+            F.coalesce(F.col("_typed.proto") == PROTOCOL, F.lit(False))
+            & ~_is_string(F.col("_sent.proto"))
         ).alias("_proto_ok"),
-        F.when(_is_string("symbol"), F.try_variant_get("_v", "$.symbol", "string")).alias(
-            "announced_symbol"
+        F.when(~point & _is_string(F.col("_sent.symbol")), F.col("_typed.symbol")).alias(
+            "_announced"
         ),
-        F.nullif(
-            F.when(_is_string("ts_str"), F.try_variant_get("_v", "$.ts_str", "string")), F.lit("")
-        ).alias("_stamp"),
-        _int("bar_type").alias("bar_type"),
-        _int("bar_interval").alias("bar_interval"),
-        _int("category").alias("category"),
-        *[_float(key).alias(name) for name, key in WIRE_PRICES.items()],
-        *[_int(q).alias(q) for q in QUANTITIES],
-        _float("bid").alias("_bid"),
-        _float("ask").alias("_ask"),
-        _float("ts").alias("ts"),
+        F.col("_typed.ts_str").alias("_stamp"),
+        tc.parse_wall_clock(F.col("_typed.ts_str")).alias("_wall"),
+        *[F.col(f"_typed.{c}") for c in ("bar_type", "bar_interval", "category")],
+        *[F.col(f"_typed.{key}").alias(name) for name, key in WIRE_PRICES.items()],
+        *[F.col(f"_typed.{q}") for q in QUANTITIES],
+        *[F.col(f"_typed.{q}").alias(f"_{q}") for q in ("bid", "ask")],
+        *[(_given(q) & F.col(f"_typed.{q}").isNull()).alias(f"_bad_{q}") for q in ("bid", "ask")],
+        "_typed.ts",
     )
-    timed = fields.withColumn("_wall", tc.parse_wall_clock(F.col("_stamp"))).withColumn(
+    # A stamp that is no text counts as absent; only text can be unreadable.
+    unread = F.col("_wall").isNull() & (F.col("_stamp") != "")
+    timed = fields.withColumn(
+        "_bad_stamp", F.when(unread, _is_string(_raw("ts_str"))).otherwise(F.lit(False))
+    ).withColumn(
         "bar_time",
-        F.when(F.col("_stamp").isNull(), tc.floor_minute(tc.from_epoch(F.col("ts")))).otherwise(
-            tc.floor_minute(tc.instant_of(F.col("_wall")))
+        F.when(F.col("_wall").isNotNull(), tc.floor_minute(tc.instant_of(F.col("_wall")))).when(
+            ~F.col("_bad_stamp"), tc.floor_minute(tc.from_epoch(F.col("ts")))
         ),
     )
+
     is_object = F.col("_v").isNotNull() & F.coalesce(F.col("_object"), F.lit(False))
-    base = F.coalesce(
+    numbered = F.col("seq").isNotNull() & F.col("sid").isNotNull()
+    required = ["bar_time", "bar_type", "bar_interval", "category", *WIRE_PRICES, *QUANTITIES, "ts"]
+    complete = F.col("_proto_ok") & F.col("_has_seq") & ~F.col("_bad_bid") & ~F.col("_bad_ask")
+    for c in required:
+        complete = complete & F.col(c).isNotNull()
+    checked = timed.withColumns(
+        {
+            "_fine": point & is_object & complete & (~F.col("_numbered") | numbered),
+            "_observed": is_object & F.col("_numbered") & numbered,
+        }
+    )
+
+    unreadable = F.coalesce(
         F.when(F.col("payload").isNull(), F.lit("not_utf8")),
         F.when(F.col("_v").isNull(), F.lit("bad_json")),
         F.when(~is_object, F.lit("not_an_object")),
         F.when(F.col("_numbered") & F.col("seq").isNull(), F.lit("bad_seq")),
         F.when(F.col("_numbered") & F.col("sid").isNull(), F.lit("bad_sid")),
     )
+    kind = [_unusable(c, c) for c in ("bar_type", "bar_interval", "category")]
     point_reason = F.coalesce(
-        base,
+        unreadable,
         F.when(~F.col("_proto_ok"), F.lit("bad_proto")),
-        F.when(_absent("seq"), F.lit("missing_seq")),
-        F.when(F.col("_stamp").isNotNull() & F.col("_wall").isNull(), F.lit("bad_ts_str")),
-        F.when(F.col("bar_time").isNull(), _unusable("ts", "ts")),
-        F.when(F.col("bar_time").isNull(), F.lit("bad_ts")),
-        *[_unusable(c, c) for c in ("bar_type", "bar_interval", "category")],
+        F.when(~F.col("_has_seq"), F.lit("missing_seq")),
+        F.when(F.col("_bad_stamp"), F.lit("bad_ts_str")),
+        F.when(F.col("bar_time").isNull(), F.coalesce(_unusable("ts", "ts"), F.lit("bad_ts"))),
+        *kind,
         *[_unusable(name, key) for name, key in WIRE_PRICES.items()],
-        _bad_quote("bid"),
-        _bad_quote("ask"),
+        *[F.when(F.col(f"_bad_{q}"), F.lit(f"bad_{q}")) for q in ("bid", "ask")],
         _unusable("ts", "ts"),
         *[_unusable(q, q) for q in QUANTITIES],
     )
+    nameless = F.coalesce(F.col("_announced") == "", F.lit(True))
     hello_reason = F.coalesce(
-        base,
+        unreadable,
         F.when(~F.col("_proto_ok"), F.lit(UNCOUNTED)),
         F.when(
-            F.coalesce(F.col("announced_symbol") == "", F.lit(True)),
-            F.when(_absent("symbol"), F.lit("missing_symbol")).otherwise(F.lit("bad_symbol")),
+            nameless,
+            F.when(_raw("symbol").isNull(), F.lit("missing_symbol")).otherwise(F.lit("bad_symbol")),
         ),
-        *[_unusable(c, c) for c in ("category", "bar_type", "bar_interval")],
+        kind[2],
+        *kind[:2],
     )
-    observed = (
-        is_object & F.col("_numbered") & F.col("seq").isNotNull() & F.col("sid").isNotNull()
+    reason = F.when(F.col("_fine"), F.lit(None)).otherwise(
+        F.when(point, point_reason).otherwise(hello_reason)
     )
-    return timed.select(
-        "arrival",
-        "topic",
-        "route",
-        "payload",
-        *keep,
+    wall = F.col("_wall")
+    return checked.select(
+        *base[:-1],
         "seq",
         "sid",
-        settled(F.coalesce(observed, F.lit(False))).alias("observed"),
-        settled(F.when(F.col("route") == POINT, point_reason).otherwise(hello_reason)).alias(
-            "refusal_reason"
-        ),
-        F.when(F.col("route") == POINT, F.col("topic")).otherwise(
-            F.col("announced_symbol")
-        ).alias("symbol"),
+        settled(F.coalesce("_observed", F.lit(False))).alias("observed"),
+        settled(reason).alias("refusal_reason"),
+        F.when(point, F.col("topic")).otherwise(F.col("_announced")).alias("symbol"),
         "bar_time",
         "bar_type",
         "bar_interval",
@@ -180,13 +195,9 @@ def decode(frames: DataFrame, subscribed: DataFrame | None = None) -> DataFrame:
         market.quote(F.col("_bid")).alias("bid"),
         market.quote(F.col("_ask")).alias("ask"),
         "ts",
-        F.col("_stamp").isNull().alias("time_from_receive_clock"),
-        F.coalesce(tc.wall_clock_skipped(F.col("_wall")), F.lit(False)).alias(
-            "wall_clock_skipped"
-        ),
-        F.coalesce(tc.wall_clock_repeated(F.col("_wall")), F.lit(False)).alias(
-            "wall_clock_repeated"
-        ),
+        wall.isNull().alias("time_from_receive_clock"),
+        F.coalesce(tc.wall_clock_skipped(wall), F.lit(False)).alias("wall_clock_skipped"),
+        F.coalesce(tc.wall_clock_repeated(wall), F.lit(False)).alias("wall_clock_repeated"),
     )
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions import timeconv as tc
 from barloom.operators import completeness as cp
+from barloom.operators.sides import staged
 from barloom.schemas import BAR_COLUMNS, QUANTITIES
 
 METHODS = ("ffill", "bfill", "interpolate")
@@ -79,7 +80,7 @@ def invented_bars(bars: DataFrame, scope: cp.Scope, method: str, order: str = "t
     An invented bar is flat, trades nothing and has no quote.
     """
     value, note = fill_value(method)
-    learned = cp.profile(bars, scope)
+    learned = staged(cp.profile(bars, scope), "profile")
     due = cp.due_bars(bars, scope).join(learned.select("symbol").distinct(), "symbol", "left_semi")
     missing = cp.missing_bars(cp.reconcile(bars, learned, scope))
     found = neighbours(due, missing, order).where("prev IS NOT NULL OR next IS NOT NULL")
@@ -101,7 +102,7 @@ def invented_bars(bars: DataFrame, scope: cp.Scope, method: str, order: str = "t
 
 def impute(bars: DataFrame, scope: cp.Scope, method: str, order: str = "ts") -> DataFrame:
     """A whole copy of the days in scope: real rows as they are, invented rows added."""
-    trusted = cp.reference_days(bars, scope).where("trusted").select("symbol")
+    trusted = staged(cp.reference_days(bars, scope).where("trusted").select("symbol"), "trusted")
     real = cp.due_bars(bars, scope).join(trusted, "symbol", "left_semi")
     columns = [*BAR_COLUMNS, "imputed", *PATH_KEYS]
     return (

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions import timeconv as tc
 from barloom.operators.ordered import first_rows, last_by
+from barloom.operators.sides import small_side, staged
 
 RECENT_POINTS = 100
 
@@ -47,7 +48,8 @@ def with_policy(
     points: DataFrame, policies: DataFrame, default: tuple[bool, int | None] | None = None
 ) -> DataFrame:
     """Attach the session policy; symbols without one get the default or none."""
-    joined = points.join(policies.withColumn("_listed", F.lit(True)), "symbol", "left")
+    listed = small_side(policies.withColumn("_listed", F.lit(True)))
+    joined = points.join(listed, "symbol", "left")
     if default is None:
         return joined.drop("_listed")
     reset, minutes = default
@@ -95,7 +97,7 @@ def retained_points(
     dated = with_session(points)
     sessions = dated.groupBy("symbol", "session_date").agg(F.max("arrival").alias("last_arrival"))
     last = with_policy(_last_sessions(sessions), policies, default)
-    last = last.withColumnRenamed("session_date", "last_session")
+    last = staged(last.withColumnRenamed("session_date", "last_session"), "last_sessions")
 
     candidates = dated.join(last, "symbol")
     in_run = (F.col("session_date") == F.col("last_session")) & (
@@ -120,6 +122,7 @@ def retained_points(
     by_session = in_run & (
         F.col("first_regular").isNull() | (F.col("arrival") >= F.col("first_regular"))
     )
+    first_regular = staged(first_regular, "first_regular")
     kept = candidates.join(first_regular, "symbol", "left").where(
         F.when(reset, by_session).otherwise(by_window)
     )

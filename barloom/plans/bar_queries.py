@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from uuid import uuid4
 
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from barloom.functions import timeconv as tc
 from barloom.operators import completeness as cp
 from barloom.operators import impute as imp
 from barloom.operators import merge, quality
+from barloom.operators.sides import staged
 from barloom.plans import adapters as ad
 from barloom.plans import sql
 from barloom.schemas import BAR_COLUMNS
@@ -61,10 +63,8 @@ def load_bars_empty(spark, sf_dir):
 )
 def store_load_bars(spark, sf_dir):
     """Write the whole store, then read two symbols of it back."""
-    root = f"{shared_dir(spark)}/store_load_bars/{abs(hash(sf_dir))}"
-    # The scan below needs a store that holds these bars once.
-    keys = store.INTRADAY_KEYS.fieldNames()
-    store._write(ad.bars(spark, sf_dir), root, keys, "overwrite")
+    root = f"{shared_dir(spark)}/store-{uuid4().hex}"
+    store.append_intraday(ad.bars(spark, sf_dir), root)
     return store.load_bars(spark, root, ["view", "click"], START, END, 1, 60)
 
 
@@ -167,18 +167,23 @@ def left_edges(spark, sf_dir):
 SLOTS = sql.SLOTS
 
 
-def slots(spark, sf_dir):
-    bars = ad.bars(spark, sf_dir)
+def stored_bars(spark, sf_dir):
+    """Hourly bars as a table, as a store would hold them."""
+    return staged(ad.bars(spark, sf_dir), "bars")
+
+
+def slots(spark, sf_dir, bars=None):
+    bars = bars or stored_bars(spark, sf_dir)
     return cp.reconcile(bars, cp.profile(bars, ad.HOURLY), ad.HOURLY)
 
 
 def report(spark, sf_dir):
-    return cp.day_report(ad.bars(spark, sf_dir), ad.HOURLY)
+    return cp.day_report(stored_bars(spark, sf_dir), ad.HOURLY)
 
 
 @query(sql.with_(SLOTS, "SELECT symbol, tod, days_seen, reference_days FROM prof"))
 def learned_profile(spark, sf_dir):
-    return cp.profile(ad.bars(spark, sf_dir), ad.HOURLY)
+    return cp.profile(stored_bars(spark, sf_dir), ad.HOURLY)
 
 
 @query(
@@ -193,14 +198,14 @@ def thin_symbols(spark, sf_dir):
     from dataclasses import replace
 
     # 21 due days exist, so asking for 22 leaves no symbol a profile.
-    return cp.thin_symbols(ad.bars(spark, sf_dir), replace(ad.HOURLY, min_reference_days=22))
+    return cp.thin_symbols(stored_bars(spark, sf_dir), replace(ad.HOURLY, min_reference_days=22))
 
 
 @query(
     sql.with_(SLOTS, f"SELECT symbol, {sql.day_text('date')} AS date, bar_time FROM expd")
 )
 def expected_bars(spark, sf_dir):
-    return cp.expected_bars(cp.profile(ad.bars(spark, sf_dir), ad.HOURLY), ad.HOURLY)
+    return cp.expected_bars(cp.profile(stored_bars(spark, sf_dir), ad.HOURLY), ad.HOURLY)
 
 
 @query(
@@ -212,8 +217,9 @@ def missing_bars(spark, sf_dir):
 
 @query(sql.with_(SLOTS, f"SELECT symbol, {sql.day_text('date')} AS date, extra FROM extra"))
 def extra_bars(spark, sf_dir):
-    trusted = cp.reference_days(ad.bars(spark, sf_dir), ad.HOURLY).where("trusted")
-    return cp.extra_bars(slots(spark, sf_dir), trusted)
+    bars = stored_bars(spark, sf_dir)
+    trusted = cp.reference_days(bars, ad.HOURLY).where("trusted")
+    return cp.extra_bars(slots(spark, sf_dir, bars), trusted)
 
 
 REPORT_LIST = (
@@ -284,8 +290,9 @@ def completeness_summary(spark, sf_dir):
     )
 )
 def completeness_totals(spark, sf_dir):
-    counts = cp.symbol_counts(report(spark, sf_dir))
-    return cp.totals(counts, cp.thin_symbols(ad.bars(spark, sf_dir), ad.HOURLY))
+    bars = stored_bars(spark, sf_dir)
+    counts = cp.symbol_counts(cp.day_report(bars, ad.HOURLY))
+    return cp.totals(counts, cp.thin_symbols(bars, ad.HOURLY))
 
 
 # --- imputation --------------------------------------------------------------
@@ -318,12 +325,12 @@ filled AS (SELECT *, {value} AS v, {note} AS note FROM nb)""",
 
 @query(_impute_sql("coalesce(pv, nv)", "1"))
 def impute_ffill(spark, sf_dir):
-    return imp.impute(ad.bars(spark, sf_dir), ad.HOURLY, "ffill")
+    return imp.impute(stored_bars(spark, sf_dir), ad.HOURLY, "ffill")
 
 
 @query(_impute_sql("coalesce(nv, pv)", "1"))
 def impute_bfill(spark, sf_dir):
-    return imp.impute(ad.bars(spark, sf_dir), ad.HOURLY, "bfill")
+    return imp.impute(stored_bars(spark, sf_dir), ad.HOURLY, "bfill")
 
 
 @query(
@@ -334,7 +341,7 @@ def impute_bfill(spark, sf_dir):
     )
 )
 def impute_interpolate(spark, sf_dir):
-    return imp.impute(ad.bars(spark, sf_dir), ad.HOURLY, "interpolate")
+    return imp.impute(stored_bars(spark, sf_dir), ad.HOURLY, "interpolate")
 
 
 @query(
@@ -349,7 +356,7 @@ def impute_interpolate(spark, sf_dir):
     )
 )
 def impute_report(spark, sf_dir):
-    return imp.report(ad.bars(spark, sf_dir), ad.HOURLY, "ffill")
+    return imp.report(stored_bars(spark, sf_dir), ad.HOURLY, "ffill")
 
 
 # --- repeats -----------------------------------------------------------------
@@ -380,7 +387,7 @@ def dedupe_first(spark, sf_dir):
     sql.with_(
         f"""{REPEATED},
 r AS (SELECT bartype, "interval", symbol, date, count(*) AS b,
-             CASE WHEN bartype = 0 THEN count(*) ELSE count(DISTINCT bar_time) END AS a
+             CASE WHEN any_value(bartype) = 0 THEN count(*) ELSE count(DISTINCT bar_time) END AS a
       FROM rep GROUP BY ALL)""",
         """SELECT count(*) AS files_scanned, count(*) FILTER (b > a) AS files_touched,
              CAST(sum(b) FILTER (bartype <> 0) AS BIGINT) AS rows_before,

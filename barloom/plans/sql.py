@@ -187,7 +187,7 @@ report AS (
          CASE WHEN weekend OR holiday THEN 0 WHEN coalesce(n, 0) = 0 THEN coalesce(size, 0)
               ELSE coalesce(m, 0) END AS missing,
          CASE WHEN weekend OR holiday THEN 0 ELSE coalesce(extra, 0) END AS extra
-  FROM (SELECT symbol FROM ref WHERE reference_days >= 5), cal
+  FROM (SELECT symbol FROM ref WHERE reference_days >= 5) CROSS JOIN cal
   LEFT JOIN (SELECT symbol, date, count(*) AS n FROM due GROUP BY ALL) USING (symbol, date)
   LEFT JOIN (SELECT symbol, date, count(*) AS m FROM missing GROUP BY ALL) USING (symbol, date)
   LEFT JOIN extra USING (symbol, date)

@@ -19,6 +19,7 @@ from barloom.operators import (
     wire_report,
 )
 from barloom.operators.ordered import first_rows
+from barloom.operators.sides import staged
 from barloom.plans import adapters as ad
 from barloom.plans import sql
 from barloom.schemas import CHART, QUANTITIES
@@ -41,10 +42,16 @@ def decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dec.decode(ad.frames(spark, sf_dir), ad.symbols(spark))
 
 
-def points(spark: SparkSession, sf_dir: str) -> DataFrame:
+def decoded_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dec.points(decoded(spark, sf_dir))
 
 
+def points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decoded points as a table: later steps read the columns they need, and no
+    step parses a payload again."""
+    return staged(decoded_points(spark, sf_dir), "points")
+
+
 def policies(spark: SparkSession) -> DataFrame:
     return sym.policies(ad.symbols(spark))
 
@@ -63,7 +70,7 @@ POINT_LIST = (
 
 @query(sql.with_(FR, f"SELECT {POINT_LIST} FROM pts"))
 def decode_points(spark, sf_dir):
-    return points(spark, sf_dir).drop("wall_clock_skipped", "wall_clock_repeated")
+    return decoded_points(spark, sf_dir).drop("wall_clock_skipped", "wall_clock_repeated")
 
 
 @query(
@@ -116,12 +123,12 @@ def route_topics(spark, sf_dir):
 
 @query(sql.with_(FR, "SELECT arrival, bid, ask FROM pts"))
 def quote_normalize(spark, sf_dir):
-    return points(spark, sf_dir).select("arrival", "bid", "ask")
+    return decoded_points(spark, sf_dir).select("arrival", "bid", "ask")
 
 
 @query(sql.with_(FR, "SELECT arrival, symbol, bar_time FROM pts WHERE time_from_receive_clock"))
 def receive_clock_points(spark, sf_dir):
-    flagged = points(spark, sf_dir).where("time_from_receive_clock")
+    flagged = decoded_points(spark, sf_dir).where("time_from_receive_clock")
     return flagged.select("arrival", "symbol", "bar_time")
 
 
@@ -215,7 +222,7 @@ STEPS = f"{FR},{sql.SEQ_STEPS}"
 
 
 def seq_steps(spark, sf_dir):
-    return sequence.steps(dec.observed(decoded(spark, sf_dir)))
+    return sequence.steps(staged(dec.observed(decoded(spark, sf_dir)), "observed"))
 
 
 @query(
@@ -305,6 +312,10 @@ def closed(spark, sf_dir):
     return closing.close_bars(points(spark, sf_dir))
 
 
+def closed_table(spark, sf_dir):
+    return staged(closed(spark, sf_dir), "closed")
+
+
 @query(sql.with_(CLOSED, f"SELECT {POINT_LIST} FROM closed"))
 def refresh_collapse(spark, sf_dir):
     return closed(spark, sf_dir).drop("wall_clock_skipped", "wall_clock_repeated")
@@ -336,8 +347,9 @@ def ingest_counters(spark, sf_dir):
     )
 )
 def subminute_flags(spark, sf_dir):
-    marked = closing.mark_stale(points(spark, sf_dir))
-    return closing.subminute_charts(closing.refresh_steps(marked.where("NOT stale")))
+    kept = closing.mark_stale(points(spark, sf_dir)).where("NOT stale")
+    kept = staged(kept.select("arrival", *closing.BAR_KEY, "high", "low"), "kept")
+    return closing.subminute_charts(closing.refresh_steps(kept))
 
 
 @query(
@@ -495,7 +507,7 @@ held AS (
     )
 )
 def session_retention(spark, sf_dir):
-    kept = snap.retained_points(closed(spark, sf_dir), policies(spark), default=(False, 60))
+    kept = snap.retained_points(closed_table(spark, sf_dir), policies(spark), default=(False, 60))
     return kept.select("symbol", "arrival", "bar_time", "close", "session_date")
 
 
@@ -515,7 +527,7 @@ lst AS (SELECT symbol, arg_max(session_date, arrival) AS sd, max(arrival) AS las
     )
 )
 def snapshot(spark, sf_dir):
-    return snap.snapshot(closed(spark, sf_dir), policies(spark), default=(False, 60))
+    return snap.snapshot(closed_table(spark, sf_dir), policies(spark), default=(False, 60))
 
 
 @query(
