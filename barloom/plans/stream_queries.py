@@ -1,4 +1,4 @@
-"""Registered queries that run the live jobs over frames landed in three parts."""
+"""Registered queries that run the live jobs over frames landed in two parts."""
 
 from __future__ import annotations
 
@@ -16,7 +16,7 @@ from barloom.streaming import closing_step, live_view
 from barloom.streaming.ingest import Ingest
 
 QUERIES, ORACLE = {}, {}
-CUTS = [datetime(2024, 1, 11), datetime(2024, 1, 21)]
+CUT = datetime(2024, 1, 16)
 
 
 def query(oracle: str | None = None):
@@ -29,33 +29,23 @@ def query(oracle: str | None = None):
     return register
 
 
-def _landed_in_parts(spark, sf_dir, root):
-    """All frames, split by landing time, in order."""
-    frames = ad.frames(spark, sf_dir)
-    landed = F.col("landed_at").cast("timestamp_ntz")
-    first, second = (F.lit(c) for c in CUTS)
-    yield frames.where(landed < first)
-    yield frames.where((landed >= first) & (landed < second))
-    yield frames.where(landed >= second)
-
-
-def run(spark, sf_dir, after=None) -> Ingest:
-    """Land each part, then let the job catch up: one micro-batch per part."""
+def run(spark, sf_dir, **parts) -> Ingest:
+    """Land the frames up to a day, then the rest; the job catches up after each."""
     root = f"{shared_dir(spark)}/ingest-{uuid4().hex}"
-    job = Ingest(spark, root, ad.symbols(spark))
-    for part in _landed_in_parts(spark, sf_dir, root):
+    job = Ingest(spark, root, ad.symbols(spark), **parts)
+    frames = ad.frames(spark, sf_dir)
+    early = F.col("landed_at").cast("timestamp_ntz") < F.lit(CUT)
+    for part in (frames.where(early), frames.where(~early)):
         fr.write_frames(part, f"{root}/landing")
         stream = fr.stream_frames(spark, f"{root}/landing", max_files=100_000)
         job.start(stream, availableNow=True).awaitTermination()
-        if after is not None:
-            after(job)
     return job
 
 
 @query(sql.with_(CLOSED, f"SELECT {POINT_LIST} FROM closed"))
 def stream_closed_bars(spark, sf_dir):
     """Bars closed by the live job, and those waiting when it stopped."""
-    job = run(spark, sf_dir)
+    job = run(spark, sf_dir, count_loss=False)
     closed = job.table("closed").drop("batch")
     return closed.unionByName(job.drained()).drop("wall_clock_skipped", "wall_clock_repeated")
 
@@ -69,7 +59,7 @@ def stream_closed_bars(spark, sf_dir):
     )
 )
 def stream_messages_lost(spark, sf_dir):
-    return run(spark, sf_dir).messages_lost(2)
+    return run(spark, sf_dir, close_bars=False).messages_lost(1)
 
 
 @query(
@@ -79,7 +69,7 @@ def stream_messages_lost(spark, sf_dir):
     )
 )
 def stream_stale_points(spark, sf_dir):
-    return run(spark, sf_dir).table("stale").select("arrival", "symbol", "bar_time")
+    return run(spark, sf_dir, count_loss=False).table("stale").select("arrival", "symbol", "bar_time")
 
 
 @query(
@@ -95,7 +85,7 @@ lst AS (SELECT symbol, arg_max(session_date, arrival) AS sd, max(arrival) AS las
 def stream_live_views(spark, sf_dir):
     """The stateful view job over the closed bars, read as a stream in arrival order."""
     root = f"{shared_dir(spark)}/views-{uuid4().hex}"
-    job = run(spark, sf_dir)
+    job = run(spark, sf_dir, count_loss=False)
     bars = job.table("closed").drop("batch").unionByName(job.drained())
     bars.select(*closing_step.POINT.fieldNames()).write.parquet(f"{root}/bars")
     stream = (

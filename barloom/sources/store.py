@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +31,10 @@ def _escape(value: str) -> str:
     return "".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in value)
 
 
+def _unescape(path: Column) -> Column:
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def chart_path(root: str, bar_type: int, bar_interval: int, symbol: str | None = None) -> str:
     path = f"{root.rstrip('/')}/bartype={bar_type}/interval={bar_interval}"
     return path if symbol is None else f"{path}/symbol={_escape(symbol)}"
@@ -147,9 +151,8 @@ def listed_files(spark: SparkSession, root: str, bar_type: int, bar_interval: in
         .select("path")
     )
 
-    def key(name: str):
-        raw = F.regexp_extract("path", f"/{name}=([^/]+)/", 1)
-        return F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
+    def key(name: str) -> Column:
+        return _unescape(F.regexp_extract("path", f"/{name}=([^/]+)/", 1))
 
     return files.select(
         "path",
@@ -169,11 +172,16 @@ def unreadable_files(spark: SparkSession, root: str, bar_type: int, bar_interval
         .select(F.col("_metadata.file_path").alias("path"))
         .distinct()
     )
-    plain = F.regexp_replace("path", "^file:/+", "/")
+
+    def plain(path: Column) -> Column:
+        return F.regexp_replace(path, "^file:/+", "/")
+
+    # The metadata column escapes a path once more than the listing.
+    answered = readable.select(plain(_unescape(F.col("path"))).alias("_key"))
     return (
         listed_files(spark, root, bar_type, bar_interval)
-        .withColumn("_key", plain)
-        .join(readable.select(plain.alias("_key")), "_key", "left_anti")
+        .withColumn("_key", plain(F.col("path")))
+        .join(answered, "_key", "left_anti")
         .drop("_key")
     )
 

@@ -48,7 +48,8 @@ class Ingest:
     """A restartable job under one `root` folder.
 
     `clock` gives the time by which quiet charts are closed; without it a bar
-    waits for its successor. `width` is the segment width of ordered scans.
+    waits for its successor. `width` is the segment width of ordered scans. A job
+    may do without loss counts or without closing bars.
     """
 
     def __init__(
@@ -59,10 +60,14 @@ class Ingest:
         sinks: Sequence[tuple[str, Writer]] = (),
         clock: Callable[[], datetime] | None = None,
         width: int = SEGMENT_WIDTH,
+        count_loss: bool = True,
+        close_bars: bool = True,
     ) -> None:
         self.root = root.rstrip("/")
         self._spark = spark
         self._subscribed = subscribed
+        self._count_loss = count_loss
+        self._close_bars = close_bars
         self._sinks = list(sinks)
         self._clock = clock
         self._width = width
@@ -84,8 +89,10 @@ class Ingest:
         decoded = self._table("decoded", batch_id, dec.decode(frames, self._subscribed))
         self._table("refused", batch_id, dec.refused(decoded))
         self._table("announcements", batch_id, dec.announcements(decoded))
-        self._count(decoded, batch_id)
-        self._close(dec.points(decoded), batch_id)
+        if self._count_loss:
+            self._count(decoded, batch_id)
+        if self._close_bars:
+            self._close(dec.points(decoded), batch_id)
 
     def _count(self, decoded: DataFrame, batch_id: int) -> None:
         before = self._counters.before(batch_id)
@@ -129,21 +136,17 @@ class Ingest:
 
     def drained(self) -> DataFrame:
         """Bars still waiting after the last batch; a stopped replay adds these."""
-        waiting = self.table("waiting")
-        last = waiting.agg(F.max("batch").alias("batch"))
-        newest = self.table("decoded").agg(F.max("batch").alias("batch"))
-        # One row each: the waiting bars count only if the last batch wrote them.
-        batch = newest.unionByName(last).agg(F.max("batch").alias("batch")).first()[0]
-        return waiting.where(F.col("batch") == batch).drop("batch")
+        # A batch without waiting bars leaves no row, so the decoded frames tell.
+        last = self.table("decoded").agg(F.max("batch")).first()[0]
+        return self.table("waiting").where(F.col("batch") == last).drop("batch")
 
     def start(self, frames: DataFrame, **trigger) -> StreamingQuery:
         """Follow a stream of frames; `trigger` as in `writeStream.trigger`."""
         metered = frames.observe(
             "frames",
             F.count(F.lit(1)).alias("frames_in"),
-            F.count_distinct("topic").alias("topics") if not frames.isStreaming else
             F.approx_count_distinct("topic").alias("topics"),
-        )
+        )
         return (
             metered.writeStream.foreachBatch(self.process)
             .option("checkpointLocation", f"{self.root}/checkpoint")
