@@ -15,12 +15,10 @@ STRINGS, NUMBERS, NULLABLE = {"ts_str", "symbol"}, {"ts", "o", "h", "l", "c", "b
 
 def _kind(key: str) -> Column:
     """JSON type of a field: string, integer, number, null or other; NULL if absent."""
-    raw = F.try_variant_get("_v", f"$.{key}", "variant")
-    kind = F.schema_of_variant(raw)
-    value = F.try_variant_get("_v", f"$.{key}", "double")
-    numeric = (kind == "BIGINT") | (kind == "DOUBLE") | (kind == "FLOAT") | kind.startswith("DECIMAL")
+    kind, value = F.col(f"_t_{key}"), F.col(f"_value.{key}")
+    numeric = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
     return (
-        F.when(raw.isNull(), F.lit(None).cast("string"))
+        F.when(kind.isNull(), F.lit(None).cast("string"))
         .when(kind == "VOID", "null")
         .when(kind == "STRING", "string")
         .when(numeric & (value == F.floor(value)), "integer")
@@ -44,10 +42,7 @@ def _violation(key: str) -> Column:
 
 def _limits(keys: list[str]) -> list[Column]:
     def number(key: str) -> Column:
-        return F.when(
-            F.col(f"_k_{key}").isin("integer", "number"),
-            F.try_variant_get("_v", f"$.{key}", "double"),
-        )
+        return F.when(F.col(f"_k_{key}").isin("integer", "number"), F.col(f"_value.{key}"))
 
     checks = [
         F.when(number("proto") != PROTOCOL, F.lit("const:proto")),
@@ -63,10 +58,22 @@ def violations(frames: DataFrame) -> DataFrame:
     """One row per (frame, broken rule). The topic picks the schema."""
 
     def check(side: DataFrame, keys: list[str]) -> DataFrame:
-        parsed = side.select("arrival", "topic", "payload", F.try_parse_json("payload").alias("_v"))
+        raw = ", ".join(f"{k} variant" for k in keys)
+        numbers = ", ".join(f"{k} double" for k in keys)
         given = F.when(F.col("payload").rlike(r"^\s*\{"), F.json_object_keys("payload"))
-        typed = parsed.select(
-            "arrival", "topic", "_v", given.alias("_keys"), *[_kind(k).alias(f"_k_{k}") for k in keys]
+        parsed = side.select(
+            "arrival", "topic", F.try_parse_json("payload").alias("_v"), given.alias("_keys")
+        ).withColumns(
+            {
+                "_raw": F.try_variant_get("_v", "$", f"struct<{raw}>"),
+                "_value": F.try_variant_get("_v", "$", f"struct<{numbers}>"),
+            }
+        )
+        named = parsed.select(
+            "*", *[F.schema_of_variant(F.col(f"_raw.{k}")).alias(f"_t_{k}") for k in keys]
+        )
+        typed = named.select(
+            "arrival", "topic", "_v", "_keys", "_value", *[_kind(k).alias(f"_k_{k}") for k in keys]
         )
         extra = F.transform(
             F.array_except("_keys", F.array(*[F.lit(k) for k in keys])),

@@ -56,16 +56,12 @@ TYPED = ", ".join(
 AS_SENT = ", ".join(f"{c} variant" for c in ("seq", "sid", "proto", "bid", "ask", "symbol"))
 
 
-def _raw(name: str) -> Column:
-    return F.try_variant_get("_v", f"$.{name}", "variant")
-
-
-def _unusable(column: str, key: str) -> Column:
-    """The refusal reason of a required field that did not come out."""
-    return F.when(
-        F.col(column).isNull(),
-        F.when(_raw(key).isNull(), F.lit(f"missing_{key}")).otherwise(F.lit(f"bad_{key}")),
-    )
+def _first_unusable(required: list[tuple[Column, str]]) -> Column:
+    """The refusal reason for the first `(is unusable, key)` that holds."""
+    keys = F.array(*[F.when(bad, F.lit(key)) for bad, key in required])
+    key = F.get(F.array_compact(keys), F.lit(0))
+    sent = F.try_variant_get("_v", F.concat(F.lit("$."), key), "variant")
+    return F.concat(F.when(sent.isNull(), "missing_").otherwise("bad_"), key)
 
 
 def _given(name: str) -> Column:
@@ -123,7 +119,7 @@ def decode(frames: DataFrame, subscribed: DataFrame | None = None) -> DataFrame:
     # A stamp that is no text counts as absent; only text can be unreadable.
     unread = F.col("_wall").isNull() & (F.col("_stamp") != "")
     timed = fields.withColumn(
-        "_bad_stamp", F.when(unread, _is_string(_raw("ts_str"))).otherwise(F.lit(False))
+        "_bad_stamp", F.when(unread, _is_string(F.try_variant_get("_v", "$.ts_str", "variant"))).otherwise(F.lit(False))
     ).withColumn(
         "bar_time",
         F.when(F.col("_wall").isNotNull(), tc.floor_minute(tc.instant_of(F.col("_wall")))).when(
@@ -151,29 +147,28 @@ def decode(frames: DataFrame, subscribed: DataFrame | None = None) -> DataFrame:
         F.when(F.col("_numbered") & F.col("seq").isNull(), F.lit("bad_seq")),
         F.when(F.col("_numbered") & F.col("sid").isNull(), F.lit("bad_sid")),
     )
-    kind = [_unusable(c, c) for c in ("bar_type", "bar_interval", "category")]
+    def empty(*columns: str) -> list[tuple[Column, str]]:
+        return [(F.col(c).isNull(), WIRE_PRICES.get(c, c)) for c in columns]
+
     point_reason = F.coalesce(
         unreadable,
         F.when(~F.col("_proto_ok"), F.lit("bad_proto")),
         F.when(~F.col("_has_seq"), F.lit("missing_seq")),
         F.when(F.col("_bad_stamp"), F.lit("bad_ts_str")),
-        F.when(F.col("bar_time").isNull(), F.coalesce(_unusable("ts", "ts"), F.lit("bad_ts"))),
-        *kind,
-        *[_unusable(name, key) for name, key in WIRE_PRICES.items()],
-        *[F.when(F.col(f"_bad_{q}"), F.lit(f"bad_{q}")) for q in ("bid", "ask")],
-        _unusable("ts", "ts"),
-        *[_unusable(q, q) for q in QUANTITIES],
+        _first_unusable(
+            [
+                (F.col("bar_time").isNull(), "ts"),
+                *empty("bar_type", "bar_interval", "category", *WIRE_PRICES),
+                *[(F.col(f"_bad_{q}"), q) for q in ("bid", "ask")],
+                *empty("ts", *QUANTITIES),
+            ]
+        ),
     )
     nameless = F.coalesce(F.col("_announced") == "", F.lit(True))
     hello_reason = F.coalesce(
         unreadable,
         F.when(~F.col("_proto_ok"), F.lit(UNCOUNTED)),
-        F.when(
-            nameless,
-            F.when(_raw("symbol").isNull(), F.lit("missing_symbol")).otherwise(F.lit("bad_symbol")),
-        ),
-        kind[2],
-        *kind[:2],
+        _first_unusable([(nameless, "symbol"), *empty("category", "bar_type", "bar_interval")]),
     )
     reason = F.when(F.col("_fine"), F.lit(None)).otherwise(
         F.when(point, point_reason).otherwise(hello_reason)

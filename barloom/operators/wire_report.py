@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions.settle import settled
+from barloom.operators.sides import staged
 
 COARSE_SECONDS = 86_400
 
@@ -65,8 +66,7 @@ def latency_percentiles(frames: DataFrame) -> DataFrame:
     the rows of at most four buckets, so nothing is sorted as a whole; four rows
     is also the bound of what is broadcast.
     """
-    values = latencies(frames).where(~F.isnan("ms")).select("ms")
-    values = values.select(
+    values = staged(latencies(frames).where(~F.isnan("ms")).select("ms"), "latencies").select(
         "ms",
         F.floor(F.col("ms") / (1000 * COARSE_SECONDS)).alias("_day"),
         F.floor(F.col("ms") / 1000).alias("_second"),

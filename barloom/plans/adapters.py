@@ -59,6 +59,12 @@ def _category(symbol: Column) -> Column:
     return code
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a table of few files; one of many files stays as it lies."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with `k` (what `props` holds) and microseconds."""
     return table(spark, sf_dir, "events").select(
@@ -79,7 +85,7 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     bar_type = F.when(user < 30, TICK).otherwise(MINUTE)
     interval = F.when(user < 30, 1).when(user < 90, 60).otherwise(15)
     ev = (
-        events(spark, sf_dir)
+        spread(events(spark, sf_dir))
         .withColumn("stamp_us", F.col("us") - F.col("cents") * 10_000)
         .withColumns({"bar_type": bar_type.cast("bigint"), "bar_interval": interval.cast("bigint")})
     )

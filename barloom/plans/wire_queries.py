@@ -38,8 +38,13 @@ def query(oracle: str | None = None):
     return register
 
 
+def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames as a table, as a collector would land them."""
+    return staged(ad.frames(spark, sf_dir), "frames")
+
+
 def decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dec.decode(ad.frames(spark, sf_dir), ad.symbols(spark))
+    return dec.decode(landed(spark, sf_dir), ad.symbols(spark))
 
 
 def decoded_points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,7 +152,7 @@ def receive_clock_points(spark, sf_dir):
     )
 )
 def frame_conformance(spark, sf_dir):
-    return conformance.violations(ad.frames(spark, sf_dir))
+    return conformance.violations(landed(spark, sf_dir))
 
 
 @query(sql.with_(FR, "SELECT arrival, symbol, el_volume FROM pts WHERE abs(el_volume) > 9e15"))
@@ -284,7 +289,7 @@ def order_number_gaps(spark, sf_dir):
     )
 )
 def topic_counts(spark, sf_dir):
-    return wire_report.most_common(wire_report.topic_counts(ad.frames(spark, sf_dir)))
+    return wire_report.most_common(wire_report.topic_counts(landed(spark, sf_dir)))
 
 
 @query(
@@ -302,7 +307,7 @@ ranked AS (SELECT ms, row_number() OVER (ORDER BY ms) - 1 AS i, count(*) OVER ()
     )
 )
 def latency_percentiles(spark, sf_dir):
-    return wire_report.latency_percentiles(ad.frames(spark, sf_dir))
+    return wire_report.latency_percentiles(landed(spark, sf_dir))
 
 
 # --- closed bars -------------------------------------------------------------
