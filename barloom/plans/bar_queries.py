@@ -363,8 +363,8 @@ def impute_report(spark, sf_dir):
 
 REPEATED = f"""{sql.EVENTS},
 rep0 AS (
-  SELECT event_id AS landing, CASE WHEN user_id < 30 THEN 0 ELSE 1 END AS bartype,
-         60 AS "interval", event_type AS symbol,
+  SELECT event_id AS landing, CAST(CASE WHEN user_id < 30 THEN 0 ELSE 1 END AS BIGINT) AS bartype,
+         CAST(60 AS BIGINT) AS "interval", event_type AS symbol,
          make_timestamp((us // 3600000000 + 1) * 3600000000) AS bar_time, value AS close FROM ev),
 rep AS (SELECT *, CAST({sql.et("bar_time")} AS DATE) AS date FROM rep0)"""
 
@@ -436,13 +436,13 @@ def quantity_view(spark, sf_dir):
 @query(
     sql.with_(
         f"{sql.EVENTS},{sql.bars()},{sql.daily()}",
-        """SELECT symbol, 1 AS bartype, CAST(nullif(sum(el_ticks), 0) AS BIGINT) AS total_volume,
+        """SELECT symbol, bartype, CAST(nullif(sum(el_ticks), 0) AS BIGINT) AS total_volume,
                   round(sum(close * el_ticks) / nullif(sum(el_ticks), 0), 6) AS vwap,
-                  CAST(NULL AS BIGINT) AS open_interest FROM bars GROUP BY symbol
+                  CAST(NULL AS BIGINT) AS open_interest FROM bars GROUP BY symbol, bartype
            UNION ALL
-           SELECT symbol, 2, CAST(nullif(sum(el_volume), 0) AS BIGINT),
+           SELECT symbol, bartype, CAST(nullif(sum(el_volume), 0) AS BIGINT),
                   round(sum(close * el_volume) / nullif(sum(el_volume), 0), 6),
-                  CAST(sum(el_open_interest) AS BIGINT) FROM daily GROUP BY symbol""",
+                  CAST(sum(el_open_interest) AS BIGINT) FROM daily GROUP BY symbol, bartype""",
     )
 )
 def volume_by_regime(spark, sf_dir):

@@ -16,8 +16,8 @@ def day_text(day: str) -> str:
 
 
 CATEGORY = (
-    "CASE {0} WHEN 'signup' THEN 2 WHEN 'error' THEN 4 WHEN 'view' THEN 2 "
-    "WHEN 'click' THEN 0 WHEN 'purchase' THEN 12 END"
+    "CAST(CASE {0} WHEN 'signup' THEN 2 WHEN 'error' THEN 4 WHEN 'view' THEN 2 "
+    "WHEN 'click' THEN 0 WHEN 'purchase' THEN 12 END AS BIGINT)"
 )
 
 EVENTS = """
@@ -30,8 +30,9 @@ ev AS (
 FRAMES = f"""{EVENTS},
 fr0 AS (
   SELECT *, us - cents * 10000 AS stamp_us,
-         CASE WHEN user_id < 30 THEN 0 ELSE 1 END AS bar_type,
-         CASE WHEN user_id < 30 THEN 1 WHEN user_id < 90 THEN 60 ELSE 15 END AS bar_interval
+         CAST(CASE WHEN user_id < 30 THEN 0 ELSE 1 END AS BIGINT) AS bar_type,
+         CAST(CASE WHEN user_id < 30 THEN 1 WHEN user_id < 90 THEN 60 ELSE 15 END AS BIGINT)
+           AS bar_interval
   FROM ev),
 fr AS (
   SELECT event_id AS arrival,
@@ -115,7 +116,7 @@ def bars(minutes: int = 60, name: str = "bars") -> str:
          {CATEGORY.format("symbol")} AS category,
          CASE WHEN close >= 5 THEN close - CAST(0.01 AS DOUBLE) END AS bid,
          close + CAST(0.01 AS DOUBLE) AS ask, last_us / 1e6 AS ts,
-         1 AS bartype, {minutes} AS "interval", symbol,
+         CAST(1 AS BIGINT) AS bartype, CAST({minutes} AS BIGINT) AS "interval", symbol,
          CAST({et(f"make_timestamp((bucket + 1) * {step})")} AS DATE) AS date
   FROM {name}0)"""
 
@@ -139,7 +140,7 @@ def daily(name: str = "daily", where: str = "true") -> str:
          {CATEGORY.format("symbol")} AS category,
          CASE WHEN close >= 5 THEN close - CAST(0.01 AS DOUBLE) END AS bid,
          close + CAST(0.01 AS DOUBLE) AS ask, last_us / 1e6 AS ts,
-         2 AS bartype, 1 AS "interval", symbol
+         CAST(2 AS BIGINT) AS bartype, CAST(1 AS BIGINT) AS "interval", symbol
   FROM {name}0)"""
 
 

@@ -373,7 +373,7 @@ def repeated_bar_times(spark, sf_dir):
 @query(
     sql.with_(
         FR,
-        """SELECT DISTINCT symbol, 0 AS bar_type, bar_interval FROM pts
+        """SELECT DISTINCT symbol, bar_type, bar_interval FROM pts
            WHERE bar_type = 0 AND bar_interval <> 1""",
     )
 )
@@ -543,7 +543,7 @@ def snapshot(spark, sf_dir):
                 ('logout', 'mega_cap', 'context', NULL, NULL))
        SELECT event_type AS symbol, count(*) AS events,
               any_value(coalesce(r, category = 'breadth', false)) AS session_reset,
-              any_value(coalesce(m, CASE WHEN coalesce(category, '') <> 'breadth' THEN 60 END))
+              CAST(any_value(coalesce(m, CASE WHEN coalesce(category, '') <> 'breadth' THEN 60 END)) AS BIGINT)
                 AS pre_market_window_minutes
        FROM events LEFT JOIN s ON s.id = event_type GROUP BY event_type"""
 )
