@@ -19,6 +19,7 @@ from barloom.operators.ordered import (
     unseeded,
     value_before,
 )
+from barloom.operators.sides import staged
 from barloom.schemas import CHART, MINUTE, TICK
 
 BAR_KEY = [*CHART, "bar_time"]
@@ -111,7 +112,8 @@ def subminute_charts(steps: DataFrame) -> DataFrame:
 def ingest_counters(points: DataFrame, width: int = SEGMENT_WIDTH) -> DataFrame:
     """One row of counters for a finished recording."""
     ticks = points.where(F.col("bar_type") == TICK)
-    marked = mark_stale(points, width=width)
+    needed = points.select("arrival", *BAR_KEY, "high", "low")
+    marked = staged(mark_stale(needed, width=width), "marked")
     kept = marked.where(~F.col("stale")).drop("stale")
     bars = kept.groupBy(*BAR_KEY).agg((F.count("*") - 1).alias("refreshes"))
     suspected = refresh_steps(kept, width=width).where("subminute_suspected")

@@ -74,6 +74,7 @@ def latency_percentiles(frames: DataFrame) -> DataFrame:
     days = values.groupBy("_day").agg(F.count("*").alias("_n"))
     total = F.sum("_n").over(Window.partitionBy())
     in_days = _locate(days.withColumn("_ranks", _wanted_ranks(total)), [], "_day")
+    in_days = staged(in_days, "days")
 
     seconds = (
         values.join(F.broadcast(in_days.select("_day")), "_day")
@@ -81,7 +82,7 @@ def latency_percentiles(frames: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("_n"))
         .join(F.broadcast(in_days), "_day")
     )
-    in_seconds = _locate(seconds, ["_day"], "_second")
+    in_seconds = staged(_locate(seconds, ["_day"], "_second"), "seconds")
 
     exact = (
         values.join(F.broadcast(in_seconds.select("_second")), "_second")
@@ -96,15 +97,12 @@ def latency_percentiles(frames: DataFrame) -> DataFrame:
     def named(name: str) -> Column:
         return F.max(F.when(F.col("name") == name, F.col("ms")))
 
-    summary = values.agg(F.count("*").alias("frames"), F.max("ms").alias("max_ms"))
     picked = found.agg(
         ((named("low") + named("high")) / 2).alias("p50_ms"),
         named("p95").alias("p95_ms"),
         named("p99").alias("p99_ms"),
     )
-    one = F.lit(1).alias("_one")
-    return (
-        summary.select("*", one)
-        .join(F.broadcast(picked.select("*", one)), "_one")
-        .select("frames", "p50_ms", "p95_ms", "p99_ms", "max_ms")
-    )
+    summary = values.agg(F.count("*").alias("frames"), F.max("ms").alias("max_ms"))
+    columns = ["frames", "p50_ms", "p95_ms", "p99_ms", "max_ms"]
+    both = summary.unionByName(picked, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in columns])

@@ -9,11 +9,19 @@ from pyspark.sql import functions as F
 
 from barloom.plans import adapters as ad
 from barloom.plans import sql
-from barloom.plans.wire_queries import CLOSED, POINT_LIST, SESSIONS, STEPS, policies
+from barloom.plans.wire_queries import (
+    CLOSED,
+    POINT_LIST,
+    RETAINED,
+    STEPS,
+    closed_table,
+    policies,
+)
 from barloom.session import shared_dir
 from barloom.sources import frames as fr
-from barloom.streaming import closing_step, live_view
+from barloom.streaming import closing_step
 from barloom.streaming.ingest import Ingest
+from barloom.streaming.view_tables import ViewTables
 
 QUERIES, ORACLE = {}, {}
 CUT = datetime(2024, 1, 16)
@@ -74,27 +82,31 @@ def stream_stale_points(spark, sf_dir):
 
 @query(
     sql.with_(
-        f"""{SESSIONS},
+        f"""{RETAINED},
+h AS (SELECT symbol, count(*) AS recent_points, min(bar_time) AS oldest_bar_time,
+             max(high) AS recent_high, min(low) AS recent_low FROM held GROUP BY symbol),
 lst AS (SELECT symbol, arg_max(session_date, arrival) AS sd, max(arrival) AS last_arrival,
                arg_max(bar_time, arrival) AS last_bar_time, arg_max(close, arrival) AS last_close
         FROM so GROUP BY symbol)""",
-        f"""SELECT symbol, {sql.day_text("sd")} AS session_date, last_arrival, last_bar_time, last_close
-            FROM lst""",
+        f"""SELECT l.symbol, {sql.day_text("l.sd")} AS session_date, last_arrival, last_bar_time,
+                   last_close, o.bar_time AS open_bar_time, o.open AS open_price, recent_points,
+                   oldest_bar_time, recent_high, recent_low
+            FROM lst l LEFT JOIN opening o ON o.symbol = l.symbol AND o.session_date = l.sd
+            LEFT JOIN h ON h.symbol = l.symbol""",
     )
 )
 def stream_live_views(spark, sf_dir):
-    """The stateful view job over the closed bars, read as a stream in arrival order."""
+    """The view job over closed bars, which reach it as a stream in two parts."""
     root = f"{shared_dir(spark)}/views-{uuid4().hex}"
-    job = run(spark, sf_dir, count_loss=False)
-    bars = job.table("closed").drop("batch").unionByName(job.drained())
-    bars.select(*closing_step.POINT.fieldNames()).write.parquet(f"{root}/bars")
-    stream = (
-        spark.readStream.schema(closing_step.POINT)
-        .option("maxFilesPerTrigger", 100_000)
-        .parquet(f"{root}/bars")
-    )
-    views = live_view.live_views(stream, policies(spark), default=(False, 60))
-    live_view.write_views(views, root, availableNow=True).awaitTermination()
-    return live_view.latest_views(spark, root).select(
-        "symbol", "session_date", "last_arrival", "last_bar_time", "last_close"
-    )
+    bars = closed_table(spark, sf_dir).select(*closing_step.POINT.fieldNames())
+    early = F.col("ts") < F.unix_seconds(F.lit(CUT).cast("timestamp"))
+    views = ViewTables(spark, root, policies(spark), default=(False, 60))
+    for part in (bars.where(early), bars.where(~early)):
+        part.write.mode("append").parquet(f"{root}/bars")
+        stream = (
+            spark.readStream.schema(closing_step.POINT)
+            .option("maxFilesPerTrigger", 100_000)
+            .parquet(f"{root}/bars")
+        )
+        views.start(stream, availableNow=True).awaitTermination()
+    return views.views(1)

@@ -1,0 +1,112 @@
+"""Live views by micro-batch: the points held per symbol are a state table.
+
+Retention of held and new points is the batch operator, so a symbol with very many
+new points is reduced inside every task before it is brought together. It follows
+the rule for points that arrive in order; `live_view` follows every arrival.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from barloom.operators import snapshot as snap
+from barloom.operators.ordered import first_rows, last_by
+from barloom.streaming.closing_step import POINT
+from barloom.streaming.state import StateTable
+
+OPENING = T.StructType(
+    [
+        T.StructField("symbol", T.StringType()),
+        T.StructField("session_date", T.DateType()),
+        T.StructField("arrival", T.LongType()),
+        T.StructField("bar_time", T.TimestampType()),
+        T.StructField("open", T.DoubleType()),
+    ]
+)
+
+
+class ViewTables:
+    """A restartable job that keeps one view per symbol under `root`."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        policies: DataFrame,
+        default: tuple[bool, int | None] | None = None,
+        depth: int = snap.RECENT_POINTS,
+    ) -> None:
+        self.root = root.rstrip("/")
+        self._spark = spark
+        self._policies = policies
+        self._default = default
+        self._depth = depth
+        self._held = StateTable(spark, f"{self.root}/state/held", POINT)
+        self._opening = StateTable(spark, f"{self.root}/state/opening", OPENING)
+
+    def process(self, bars: DataFrame, batch_id: int) -> None:
+        """Take in one micro-batch of closed bars; safe to run again."""
+        names = POINT.fieldNames()
+        known = self._held.before(batch_id).unionByName(bars.select(*names))
+        kept = snap.retained_points(known, self._policies, self._depth, self._default)
+        self._held.put(batch_id, kept)
+        held = self._held.before(batch_id + 1)
+
+        fresh = snap.session_open_bars(bars).select(*OPENING.fieldNames())
+        earliest = [F.col("bar_time").asc(), F.col("arrival").asc()]
+        opening = first_rows(
+            fresh.unionByName(self._opening.before(batch_id)), ["symbol", "session_date"], earliest
+        )
+        current = last_by(
+            snap.with_session(held).select("symbol", "arrival", "bar_time", "close", "session_date"),
+            ["symbol"],
+            "arrival",
+        )
+        # Only the current session's opening bar is ever asked for.
+        latest = current.select("symbol", "session_date")
+        self._opening.put(batch_id, opening.join(latest, ["symbol", "session_date"], "left_semi"))
+        view = current.select(
+            "symbol",
+            "session_date",
+            F.col("arrival").alias("last_arrival"),
+            F.col("bar_time").alias("last_bar_time"),
+            F.col("close").alias("last_close"),
+        ).join(
+            self._opening.before(batch_id + 1).select(
+                "symbol",
+                "session_date",
+                F.col("bar_time").alias("open_bar_time"),
+                F.col("open").alias("open_price"),
+            ),
+            ["symbol", "session_date"],
+            "left",
+        )
+        counted = held.groupBy("symbol").agg(
+            F.count("*").alias("recent_points"),
+            F.min("bar_time").alias("oldest_bar_time"),
+            F.max("high").alias("recent_high"),
+            F.min("low").alias("recent_low"),
+        )
+        view.join(counted, "symbol").write.mode("overwrite").parquet(
+            f"{self.root}/views/batch={batch_id}"
+        )
+
+    def recent(self, batch_id: int) -> DataFrame:
+        """The points held after a batch."""
+        return self._held.before(batch_id + 1)
+
+    def views(self, batch_id: int, symbols: list[str] | None = None) -> DataFrame:
+        """Views after a batch, of all symbols or of the ones asked for."""
+        views = self._spark.read.parquet(f"{self.root}/views/batch={batch_id}")
+        return views if symbols is None else views.where(F.col("symbol").isin(symbols))
+
+    def start(self, bars: DataFrame, **trigger) -> StreamingQuery:
+        return (
+            bars.writeStream.foreachBatch(self.process)
+            .option("checkpointLocation", f"{self.root}/checkpoint")
+            .trigger(**(trigger or {"processingTime": "1 second"}))
+            .start()
+        )

@@ -11,6 +11,7 @@ from feed import collect, minute, points
 from barloom.operators import snapshot as snap
 from barloom.sources import symbols as sym
 from barloom.streaming import closing_step, live_view
+from barloom.streaming.view_tables import ViewTables
 
 ET = ZoneInfo("America/New_York")
 ROWS = [
@@ -135,3 +136,20 @@ def test_live_view_equals_loop_with_disorder(spark, folder):
         assert r["session_date"] == st["session"]
         assert (r["open_bar_time"] is None) == (st["open"] is None)
     assert live_view.latest_views(spark, folder, ["SPY"]).count() == 1
+
+
+def test_view_tables_equal_loop_after_every_batch(spark, folder):
+    rows = recording(5, disorder=False)
+    numbered = [{"arrival": i, **r} for i, r in enumerate(rows)]
+    job = ViewTables(spark, folder, policies(spark), default=(False, 60), depth=20)
+    for batch, (lo, hi) in enumerate(((0, 200), (200, 420), (420, 500))):
+        job.process(points(spark, numbered[lo:hi]), batch)
+        states = loop(rows[:hi], 20)
+        held = {}
+        for symbol, arrival in collect(job.recent(batch), "symbol", "arrival"):
+            held.setdefault(symbol, set()).add(arrival)
+        assert held == {s: {i for i, _ in st["held"]} for s, st in states.items()}
+        for r in job.views(batch).collect():
+            st = states[r["symbol"]]
+            assert (r["last_arrival"], r["session_date"]) == (st["held"][-1][0], st["session"])
+            assert (r["open_bar_time"] is None) == (st["open"] is None)
