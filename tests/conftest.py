@@ -10,7 +10,7 @@ from barloom.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(cores="4", app="tests", **{"spark.sql.shuffle.partitions": "4"})
+    session = local_session(app="tests", **{"spark.sql.shuffle.partitions": "2"})
     yield session
     session.stop()
 
