@@ -26,11 +26,13 @@ def neighbours(due: DataFrame, missing: DataFrame, order: str) -> DataFrame:
     Of several rows with one `bar_time`, the one before is their last and the
     one after their first, by `order`.
     """
+    # A row without order value still is a neighbour, before all others.
+    place = F.coalesce(F.col(order).cast("double"), F.lit(float("-inf")))
     real = due.groupBy(*DAY, "bar_time").agg(
-        F.max_by("close", order).alias("close"),
-        F.max_by("category", order).alias("last_category"),
-        F.min_by("open", order).alias("open"),
-        F.min_by("category", order).alias("first_category"),
+        F.max_by("close", place).alias("close"),
+        F.max_by("category", place).alias("last_category"),
+        F.min_by("open", place).alias("open"),
+        F.min_by("category", place).alias("first_category"),
         F.lit(False).alias("_missing"),
     )
     rows = real.unionByName(missing.withColumn("_missing", F.lit(True)), allowMissingColumns=True)

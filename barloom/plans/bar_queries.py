@@ -390,8 +390,8 @@ r AS (SELECT bartype, "interval", symbol, date, count(*) AS b,
              CASE WHEN any_value(bartype) = 0 THEN count(*) ELSE count(DISTINCT bar_time) END AS a
       FROM rep GROUP BY ALL)""",
         """SELECT count(*) AS files_scanned, count(*) FILTER (b > a) AS files_touched,
-             CAST(sum(b) FILTER (bartype <> 0) AS BIGINT) AS rows_before,
-             CAST(sum(a) FILTER (bartype <> 0) AS BIGINT) AS rows_after,
+             CAST(coalesce(sum(b) FILTER (bartype <> 0), 0) AS BIGINT) AS rows_before,
+             CAST(coalesce(sum(a) FILTER (bartype <> 0), 0) AS BIGINT) AS rows_after,
              CAST(sum(b - a) AS BIGINT) AS rows_removed,
              count(*) FILTER (bartype = 0) AS tick_files_skipped FROM r""",
     )
