@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 SEGMENT_WIDTH = 1 << 18
 SEGMENT, SEED = "_segment", "_seed"
+SALTS = 64
 
 
 def seeded(
@@ -92,10 +93,18 @@ def last_by(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
     """The first `n` rows per key in a given order.
 
-    Spark limits each group inside every task before the shuffle (up to
-    `spark.sql.optimizer.windowGroupLimitThreshold` rows), so a hot key sends
-    at most `n` rows per task.
+    Spark limits each group inside every task before the shuffle, so a hot key
+    sends at most `n` rows per task. Beyond the size up to which it does so, the
+    key is first cut into salted parts, whose first `n` rows hold the answer.
     """
-    rank = "_rank"
-    ranked = df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    return ranked.where(F.col(rank) <= n).drop(rank)
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if n > limit:
+        salt = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS))
+        parts = _ranked(df.withColumn("_salt", salt), [*keys, "_salt"], order, n)
+        df = parts.drop("_salt")
+    return _ranked(df, keys, order, n)
+
+
+def _ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")

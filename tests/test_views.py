@@ -153,3 +153,14 @@ def test_view_tables_equal_loop_after_every_batch(spark, folder):
             st = states[r["symbol"]]
             assert (r["last_arrival"], r["session_date"]) == (st["held"][-1][0], st["session"])
             assert (r["open_bar_time"] is None) == (st["open"] is None)
+
+
+def test_long_top_lists_are_cut_in_salted_parts(spark):
+    key = "spark.sql.optimizer.windowGroupLimitThreshold"
+    rows = [{"symbol": "A", "bar_time": minute(i)} for i in range(200)]
+    spark.conf.set(key, "2")
+    try:
+        got = collect(snap.recent_points(points(spark, rows), 50), "arrival")
+    finally:
+        spark.conf.unset(key)
+    assert sorted(r[0] for r in got) == list(range(150, 200))
