@@ -22,6 +22,9 @@ RUNTIME_SETTINGS = {
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
+# Folder of each local session that names none.
+_local_dirs: dict[str, str] = {}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings the operators depend on to an existing session."""
@@ -49,14 +52,15 @@ def local_session(cores: str = "8", app: str = "barloom", **extra: str) -> Spark
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, for tables that cut lineage.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only a local master, where
-    driver and executors are one process, may fall back to a fresh folder.
+    A cluster names it in ``spark.checkpoint.dir``. Where that is unset, a local
+    session, whose driver and executors are one process, gets a folder of its own.
     """
-    named = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
+    context = spark.sparkContext
+    named = spark.conf.get(CHECKPOINT_KEY, None) or context.getConf().get(CHECKPOINT_KEY)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set(CHECKPOINT_KEY, folder)
-    return folder
+    if context.applicationId not in _local_dirs:
+        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="barloom-")
+    return _local_dirs[context.applicationId]
