@@ -125,7 +125,7 @@ def may_have(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hash of each word; remembers a bounded number of words."""
 
-    LIMIT = 500_000
+    LIMIT = 100_000
 
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)

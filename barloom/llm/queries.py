@@ -31,7 +31,7 @@ URL_RULES = [  # (host, path, verdict)
 def prepared(spark: SparkSession) -> SparkSession:
     """Session settings, and Arrow batches that hold a bounded part of long texts."""
     configure(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
     return spark
 
 

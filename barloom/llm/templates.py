@@ -47,7 +47,7 @@ WINDOWS = T.ArrayType(
 class Words(dict):
     """What each written word is in a template: (kind or word, value); remembers a bounded number."""
 
-    LIMIT = 300_000
+    LIMIT = 100_000
 
     def __missing__(self, raw: bytes) -> tuple[bytes, bytes]:
         bare = raw.strip(EDGES)
