@@ -6,9 +6,9 @@ punctuation at their ends. Windows of `WINDOW` template words are hashed and joi
 window with fewer than two plain words says too little and is left out.
 
 A document holds an item if at least `min_percent` percent of the item's windows lie in it
-at one offset, give or take `DRIFT` words, and if the slots are consistent: of all values
-in the item's matched slots, at least that share is exchanged for the same value wherever
-it occurs. A verbatim passage exchanges every value for itself.
+at one offset, give or take `DRIFT` words, and if the slots are consistent: at least
+`slot_percent` percent of the values in the item's matched slots are exchanged for the same
+value wherever they occur. A verbatim passage exchanges every value for itself.
 
 Only documents that have one of an item's rarest windows are compared with it: an item of
 n windows of which m must be found cannot be held without one of any n - m + 1 of them. So
@@ -38,10 +38,16 @@ UNITS = frozenset(
     b"euros pound pounds inch inches foot feet yard yards mile miles meter meters kilometer "
     b"kilometers gram grams kilogram kilograms liter liters percent degree degrees".split()
 )
-_S = T.StructField
-WINDOWS = T.ArrayType(
-    T.StructType([_S("h", T.LongType()), _S("at", T.IntegerType()), _S("slots", T.ArrayType(T.StringType()))])
+# Words that are no names even with a capital letter.
+PLAIN = frozenset(
+    b"a an and are as at be by can do does each every find for from give given has have he her his how "
+    b"i if in is it its let many much no not of on one or she so that the their then there they this to "
+    b"was we were what when where which who why will with you your "
+    b"ce de der des die du el en et il in la las le les los que qui si un una und une von wenn wie".split()
 )
+_S = T.StructField
+SLOT = T.StructType([_S("place", T.IntegerType()), _S("value", T.StringType())])
+WINDOWS = T.ArrayType(T.StructType([_S("h", T.LongType()), _S("at", T.IntegerType()), _S("slots", T.ArrayType(SLOT))]))
 
 
 class Words(dict):
@@ -55,10 +61,10 @@ class Words(dict):
             out = (b"", b"")
         elif bare[:1].isdigit():
             out = (NUMBER, bare)
-        elif bare.decode()[0].isupper():
-            out = (NAME, bare.lower())
         else:
-            out = (bare.decode().lower().encode(), b"")
+            text = bare.decode()
+            low = text.lower().encode()
+            out = (NAME, low) if text[0].isupper() and low not in PLAIN else (low, b"")
         if len(self) < self.LIMIT:
             self[raw] = out
         return out
@@ -98,7 +104,8 @@ def windows_of(wanted=None):
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words, cache = Words(), WordHashes()
         keys = None if wanted is None else wanted.value
-        kind = pa.list_(pa.struct([("h", pa.int64()), ("at", pa.int32()), ("slots", pa.list_(pa.string()))]))
+        slot = pa.struct([("place", pa.int32()), ("value", pa.string())])
+        kind = pa.list_(pa.struct([("h", pa.int64()), ("at", pa.int32()), ("slots", pa.list_(slot))]))
         for batch in batches:
             out = []
             for text in batch.to_pylist():
@@ -108,7 +115,11 @@ def windows_of(wanted=None):
                     h, at = h[take], at[take]
                 out.append(
                     [
-                        {"h": x, "at": i, "slots": [v.decode() for v in values[i : i + WINDOW] if v]}
+                        {
+                            "h": x,
+                            "at": i,
+                            "slots": [{"place": k, "value": values[k].decode()} for k in range(i, i + WINDOW) if values[k]],
+                        }
                         for x, i in zip(h.view(np.int64).tolist(), at.tolist())
                     ]
                 )
@@ -125,6 +136,7 @@ def leaks(
     item_col: str = "item_id",
     item_text_col: str = "text",
     min_percent: int = 80,
+    slot_percent: int = 90,
 ) -> DataFrame:
     """(id, text_hash, item, found, windows, exchanged): each document that holds an item.
 
@@ -172,7 +184,11 @@ def leaks(
     slots = met.join(held.select("id_", "th", "key", "bin"), same, "left_semi").withColumn(
         "slot", F.explode_outer(F.arrays_zip(F.col("item_slots").alias("was"), F.col("slots").alias("now")))
     )
-    values = slots.groupBy(*group, F.col("slot.was").alias("was"), F.col("slot.now").alias("now")).agg(F.count("*").alias("n"))
+    # Neighbouring windows show the same slots: each place of the item counts once.
+    once = slots.select(
+        *group, F.col("slot.was.place").alias("place"), F.col("slot.was.value").alias("was"), F.col("slot.now.value").alias("now")
+    ).distinct()
+    values = once.groupBy(*group, "was", "now").agg(F.count("*").alias("n"))
     mapped = values.groupBy(*group, "was").agg(
         F.sum("n").alias("n"), F.max("n").alias("most"), F.max(F.col("was") != F.col("now")).alias("other")
     )
@@ -181,7 +197,7 @@ def leaks(
         F.sum(F.when(F.col("was").isNotNull(), F.col("most"))).alias("most"),
         F.max("other").alias("other"),
     )
-    steady = judged.where(F.col("n").isNull() | (100 * F.col("most") >= min_percent * F.col("n")))
+    steady = judged.where(F.col("n").isNull() | (100 * F.col("most") >= slot_percent * F.col("n")))
     right = steady.select(*[F.col(c).alias(f"r_{c}") for c in group], "other")
     on = [held[c].eqNullSafe(right[f"r_{c}"]) for c in group]
     out = held.join(right, on).groupBy("id_", "th", "item").agg(

@@ -24,7 +24,7 @@ def found(df):
     return {(r.doc_id, r.item_id, r.exchanged) for r in df.collect()}
 
 
-def plain(docs, items, min_percent=80):
+def plain(docs, items, min_percent=80, slot_percent=90):
     """Every document against every item."""
     words, cache, out = templates.Words(), templates.WordHashes(), set()
     for doc_id, text in docs:
@@ -40,15 +40,16 @@ def plain(docs, items, min_percent=80):
             for hits in bins.values():
                 if 100 * len({h for h, _, _ in hits}) < min_percent * len(set(ih.tolist())):
                     continue
-                values = {}
+                values, seen = {}, set()
                 for _, at, i in hits:
-                    was = [v for v in iv[i : i + templates.WINDOW] if v]
-                    now = [v for v in dv[at : at + templates.WINDOW] if v]
-                    for a, b in zip(was, now):
-                        values.setdefault(a, {}).setdefault(b, 0)
-                        values[a][b] += 1
+                    for k in range(templates.WINDOW):
+                        if iv[i + k]:
+                            seen.add((i + k, iv[i + k], dv[at + k]))
+                for _, a, b in seen:
+                    values.setdefault(a, {}).setdefault(b, 0)
+                    values[a][b] += 1
                 n, most = sum(sum(v.values()) for v in values.values()), sum(max(v.values()) for v in values.values())
-                if 100 * most >= min_percent * n:
+                if 100 * most >= slot_percent * n:
                     out.add((doc_id, item))
     return out
 
@@ -59,11 +60,7 @@ def documents(seed=3):
     texts = [fixtures.document(rng) for _ in range(12)]
     texts.append(fixtures.document(rng) + "\n" + q[1] + " " + fixtures.sentence(rng, 30))
     texts.append("Intro text. " + q[1].replace("Alice", "Mary Ann").replace("12", "48").replace("Bob", "Tom").replace(" 5 ", " 7 "))
-    inconsistent = q[1].split(" ")
-    for i, w in enumerate(inconsistent):
-        if w[0].isupper() or w[0].isdigit():
-            inconsistent[i] = f"Q{i}" if w[0].isupper() else str(i * 3)
-    texts.append(" ".join(inconsistent))
+    texts.append(q[1].replace("Alice", "Mary", 1).replace("Alice", "Zoe").replace("Bob", "Tom"))
     texts.append(q[2].replace("km", "miles").replace("40", "90"))
     texts.append(" ".join(q[2].split(" ")[:12]))
     texts += [q[5], q[6], q[5].upper(), None, "", q[2] + " " + q[2], "x " * 5000 + q[2]]
