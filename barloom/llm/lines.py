@@ -48,7 +48,11 @@ def normalised(line: str, min_words: int) -> tuple[list[str], str] | None:
 
 
 def simhashes(words: list[list[str]], cache: WordHashes) -> np.ndarray:
-    """SimHash of every list of words: each bit as most of the words' hashes have it."""
+    """SimHash of every list of words: each bit as most of the words' hashes have it.
+
+    A word counts by its length, less two letters: short words are in most lines and would
+    make the hashes of all of them alike.
+    """
     sizes = np.array([len(w) for w in words])
     out = np.empty(len(words), np.uint64)
     shifts, powers = np.arange(64, dtype=np.uint64), np.uint64(1) << np.arange(64, dtype=np.uint64)
@@ -56,11 +60,14 @@ def simhashes(words: list[list[str]], cache: WordHashes) -> np.ndarray:
     while i < len(words):
         # About 20,000 words at once, or one longer line.
         n = max(int(np.searchsorted(np.cumsum(sizes[i : i + 4096]), 20_000, "right")), 1)
-        h = cache.of([w.encode() for line in words[i : i + n] for w in line])
-        bits = ((h[:, None] >> shifts) & np.uint64(1)).astype(np.int32)
+        flat = [w for line in words[i : i + n] for w in line]
+        h = cache.of([w.encode() for w in flat])
+        weight = np.maximum(np.array([len(w) for w in flat], np.int64) - 2, 1)
+        bits = ((h[:, None] >> shifts) & np.uint64(1)).astype(np.int64) * weight[:, None]
         starts = np.concatenate(([0], np.cumsum(sizes[i : i + n])[:-1]))
         ones = np.add.reduceat(bits, starts, axis=0)
-        out[i : i + n] = ((2 * ones > sizes[i : i + n, None]) * powers).sum(1, dtype=np.uint64)
+        half = np.add.reduceat(weight, starts)
+        out[i : i + n] = ((2 * ones > half[:, None]) * powers).sum(1, dtype=np.uint64)
         i += n
     return out
 
