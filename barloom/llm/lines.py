@@ -1,6 +1,6 @@
 """Fuzzy line removal across documents.
 
-Lines are normalised (lower case, words of letters and digits, one space between). Equal
+Lines are normalised (lower case, no punctuation, one space between words). Equal
 normalised lines are one line from the start. Each gets a 64-bit SimHash of its words; two
 that differ in at most `DISTANCE` = 3 of the 64 bits agree on two of five blocks, so they
 meet under one of ten keys. A key with many lines is split again by four blocks of the bits
@@ -11,7 +11,6 @@ connected group, the first line of the lowest document id stays.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,13 +20,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.llm.common import Scratch, WordHashes, key_filter, may_have
+from barloom.llm.common import Scratch, key_filter, may_have
 from barloom.llm.linking import Linker
 
 DISTANCE = 3
 BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))  # (first bit, bits) of the five
 PAIRS = [(i, j) for i in range(5) for j in range(i)]
-_WORD = re.compile(r"[^\W_]+")
+LANE = 16
+LANES = np.arange(0, 64, LANE, dtype=np.uint64)
+BITS = np.arange(64, dtype=np.uint64)
+NIBBLES = np.arange(0, 64, 4, dtype=np.uint64)
+# The four bits of a number below 16, each in a lane of its own.
+FOUR_BITS = ((np.arange(16, dtype=np.uint64)[:, None] >> np.arange(4, dtype=np.uint64) & np.uint64(1)) << LANES).sum(1, dtype=np.uint64)
+# A word weighs this much at most, and so many are added before a lane could overflow.
+HEAVIEST = 30
+PART = 2000
+_SPACED = bytes(b if b > 127 or b == 10 or chr(b).isalnum() else 32 for b in range(256))
 LINE = T.ArrayType(
     T.StructType(
         [
@@ -41,40 +49,86 @@ LINE = T.ArrayType(
 )
 
 
-def normalised(line: str, min_words: int) -> tuple[list[str], str] | None:
-    """The words of a line and the line they make, or None if they are too few."""
-    words = _WORD.findall(line.lower())
-    return (words, " ".join(words)) if len(words) >= min_words else None
+def normalised(text: str, min_words: int) -> list[tuple[int, list[bytes], bytes]]:
+    """(number, words, line made of them) of every line with words enough.
 
+    Lower case; ASCII characters but letters and digits separate words.
+    """
+    out = []
+    for no, line in enumerate(text.lower().encode().translate(_SPACED).split(b"\n")):
+        words = line.split()
+        if len(words) >= min_words:
+            out.append((no, words, b" ".join(words)))
+    return out
 
-def simhashes(words: list[list[str]], cache: WordHashes) -> np.ndarray:
-    """SimHash of every list of words: each bit as most of the words' hashes have it.
+
+class WordLanes(dict):
+    """Each word's place in `rows`: the bits of its hash in lanes, times its weight.
 
     A word counts by its length, less two letters: short words are in most lines and would
-    make the hashes of all of them alike.
+    make the hashes of all of them alike. Starts anew when it has `LIMIT` words.
+    """
+
+    LIMIT = 250_000
+
+    def __init__(self):
+        super().__init__()
+        self.rows = np.empty((1024, 16), np.uint64)
+        self.weights = np.empty(1024, np.uint64)
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self.new.append(word)
+        self[word] = place = len(self)
+        return place
+
+    def places(self, words: list[bytes]) -> np.ndarray:
+        if len(self) > self.LIMIT:
+            self.clear()
+        out = np.array(list(map(self.__getitem__, words)), np.int64)
+        if self.new:
+            h = np.array(list(map(xxhash.xxh3_64_intdigest, self.new)), np.uint64)
+            lengths = np.array(list(map(len, self.new)), np.int64)
+            weight = np.clip(lengths - 2, 1, HEAVIEST).astype(np.uint64)
+            while len(self) > len(self.rows):
+                self.rows = np.concatenate((self.rows, self.rows))
+                self.weights = np.concatenate((self.weights, self.weights))
+            new = slice(len(self) - len(h), len(self))
+            self.rows[new] = FOUR_BITS[(h[:, None] >> NIBBLES) & np.uint64(15)] * weight[:, None]
+            self.weights[new] = weight
+            self.new = []
+        return out
+
+
+def simhashes(words: list[list[bytes]], cache: WordLanes) -> np.ndarray:
+    """SimHash of every list of words: each bit as most of the words' hashes have it.
+
+    Words are added up a few thousand at a time; four bits of a hash are counted in one
+    integer, in `LANE` binary digits each, and a long line's parts are added at the end.
     """
-    sizes = np.array([len(w) for w in words])
     out = np.empty(len(words), np.uint64)
-    shifts, powers = np.arange(64, dtype=np.uint64), np.uint64(1) << np.arange(64, dtype=np.uint64)
     i = 0
     while i < len(words):
-        # About 20,000 words at once, or one longer line.
-        n = max(int(np.searchsorted(np.cumsum(sizes[i : i + 4096]), 20_000, "right")), 1)
-        flat = [w for line in words[i : i + n] for w in line]
-        h = cache.of([w.encode() for w in flat])
-        weight = np.maximum(np.array([len(w) for w in flat], np.int64) - 2, 1)
-        bits = ((h[:, None] >> shifts) & np.uint64(1)).astype(np.int64) * weight[:, None]
-        starts = np.concatenate(([0], np.cumsum(sizes[i : i + n])[:-1]))
-        ones = np.add.reduceat(bits, starts, axis=0)
-        half = np.add.reduceat(weight, starts)
-        out[i : i + n] = ((2 * ones > half[:, None]) * powers).sum(1, dtype=np.uint64)
-        i += n
+        flat: list[bytes] = []
+        starts, owners, first = [], [], i
+        while i < len(words) and len(flat) < 20_000:
+            for k in range(0, len(words[i]), PART):
+                starts.append(len(flat)), owners.append(i - first)
+                flat += words[i][k : k + PART]
+            i += 1
+        at = cache.places(flat)
+        parts = np.add.reduceat(cache.rows[at], starts, axis=0)
+        ones = ((parts[:, :, None] >> LANES) & np.uint64((1 << LANE) - 1)).reshape(len(starts), 64)
+        each, total = np.zeros((i - first, 64), np.uint64), np.zeros(i - first, np.uint64)
+        np.add.at(each, owners, ones)
+        np.add.at(total, owners, np.add.reduceat(cache.weights[at], starts))
+        out[first:i] = ((2 * each > total[:, None]).astype(np.uint64) << BITS).sum(1, dtype=np.uint64)
     return out
 
 
-def _digest(text: str) -> tuple[int, int]:
-    both = np.frombuffer(xxhash.xxh3_128_digest(text.encode()), np.int64)
-    return int(both[0]), int(both[1])
+def _digests(lines: list[bytes]) -> np.ndarray:
+    """Two 64-bit hashes of each line."""
+    return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, lines)), np.int64).reshape(-1, 2)
 
 
 def line_prints(min_words: int):
@@ -82,44 +136,44 @@ def line_prints(min_words: int):
 
     @F.arrow_udf(LINE)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        cache = WordHashes()
+        cache = WordLanes()
         for batch in batches:
-            counts, no, norm, words = [], [], [], []
-            for text in batch.to_pylist():
-                before = len(no)
-                for i, line in enumerate((text or "").split("\n")):
-                    if found := normalised(line, min_words):
-                        no.append(i), words.append(found[0]), norm.append(found[1])
-                counts.append(len(no) - before)
-            digests = np.array([_digest(t) for t in norm], np.int64).reshape(-1, 2)
+            each = [normalised(text or "", min_words) for text in batch.to_pylist()]
+            found = [line for lines in each for line in lines]
+            digests = _digests([line for _, _, line in found])
+            _, once, same = np.unique(digests[:, 0], return_index=True, return_inverse=True)
+            sims = simhashes([found[i][1] for i in once], cache).view(np.int64)[same]
             fields = [
-                pa.array(no, pa.int32()),
+                pa.array([no for no, _, _ in found], pa.int32()),
                 pa.array(digests[:, 0].copy()),
                 pa.array(digests[:, 1].copy()),
-                pa.array(simhashes(words, cache).view(np.int64)),
-                pa.array([len(t) for t in norm], pa.int32()),
+                pa.array(sims),
+                pa.array([len(line) for _, _, line in found], pa.int32()),
             ]
-            offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+            offsets = np.concatenate(([0], np.cumsum([len(lines) for lines in each]))).astype(np.int32)
             values = pa.StructArray.from_arrays(fields, names=["no", "h1", "h2", "sim", "chars"])
             yield pa.ListArray.from_arrays(offsets, values)
 
     return run
 
 
-def wanted_lines(min_words: int, wanted):
-    """Arrow function: text to its normalised lines whose hash is wanted."""
+def wanted_lines(min_words: int, documents, lines):
+    """Arrow function: (document's hash, text) to those of its normalised lines that are wanted.
+
+    Only a document whose hash is wanted is looked into.
+    """
 
     @F.arrow_udf(T.ArrayType(T.StructType([T.StructField("h1", T.LongType()), T.StructField("line", T.StringType())])))
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        keys = wanted.value
-        for batch in batches:
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        kind = pa.list_(pa.struct([("h1", pa.int64()), ("line", pa.string())]))
+        for keys, texts in batches:
             out = []
-            for text in batch.to_pylist():
-                norm = [found[1] for line in (text or "").split("\n") if (found := normalised(line, min_words))]
-                h1 = np.array([_digest(t)[0] for t in norm], np.int64)
-                take = np.flatnonzero(may_have(keys, h1)) if len(norm) else ()
-                out.append([{"h1": int(h1[i]), "line": norm[i]} for i in take])
-            yield pa.array(out, pa.list_(pa.struct([("h1", pa.int64()), ("line", pa.string())])))
+            for take, text in zip(may_have(documents.value, keys.to_numpy(zero_copy_only=False)), texts):
+                norm = [line for _, _, line in normalised(text.as_py() or "", min_words)] if take else []
+                h1 = _digests(norm)[:, 0]
+                chosen = np.flatnonzero(may_have(lines.value, h1))
+                out.append([{"h1": int(h1[i]), "line": norm[i].decode()} for i in chosen])
+            yield pa.array(out, kind)
 
     return run
 
@@ -230,8 +284,11 @@ def dedup_lines(
 
     def prepare(found: DataFrame, large: DataFrame) -> None:
         asked = found.select(F.explode(F.array("a", "b")).alias("id")).unionByName(large.select("id"))
-        wanted = key_filter(asked, "id")
-        made = slim.select(F.explode(wanted_lines(min_words, wanted)(F.col("text_"))).alias("l")).select("l.*")
+        first = lines.join(asked, lines["h1"] == asked["id"], "left_semi")
+        first = first.select(F.xxhash64("first.id_", "first.th").alias("doc"))
+        pick = wanted_lines(min_words, key_filter(first, "doc"), key_filter(asked, "id"))
+        place_of = F.xxhash64("id_", F.xxhash64("text_"))
+        made = slim.select(F.explode(pick(place_of, F.col("text_"))).alias("l")).select("l.*")
         whole = made.groupBy("h1").agg(F.min("line").alias("line"))
         texts.append(scratch.keep(whole, "texts"))
 

@@ -1,9 +1,10 @@
+import re
+
 import fixtures
-import numpy as np
 import pytest
+import xxhash
 
 from barloom.llm import lines
-from barloom.llm.common import WordHashes
 
 
 def plain_distance(a, b):
@@ -30,16 +31,28 @@ def test_edit_distance(seed):
             assert (lines.edit_distance(a, b, most) <= most) == (want <= most)
 
 
+def plain_simhash(words):
+    ones, total = [0] * 64, 0
+    for w in words:
+        h = xxhash.xxh3_64_intdigest(w.encode())
+        weight = min(max(len(w.encode()) - 2, 1), 30)
+        total += weight
+        for b in range(64):
+            ones[b] += weight * (h >> b & 1)
+    return sum(1 << b for b in range(64) if 2 * ones[b] > total)
+
+
 def brute(rows, min_words=5, min_percent=80):
     """{(doc_id, text): cleaned text} by comparing all pairs of lines."""
-    cache, seen = WordHashes(), {}
+    seen = {}
     docs = sorted({(r[0] is None, r[0] or 0, r[1]) for r in rows if r[1] is not None})
     for none, doc_id, text in docs:
         for no, line in enumerate(text.split("\n")):
-            if found := lines.normalised(line, min_words):
-                seen[(none, doc_id, no, text)] = found
+            words = re.sub(r"[\x00-\x7f]", lambda c: c[0] if c[0].isalnum() else " ", line.lower()).split(" ")
+            if len(words := [w for w in words if w]) >= min_words:
+                seen[(none, doc_id, no, text)] = (words, " ".join(words))
     norms = sorted({v[1] for v in seen.values()})
-    sims = dict(zip(norms, map(int, lines.simhashes([n.split(" ") for n in norms], cache)))) if norms else {}
+    sims = {n: plain_simhash(n.split(" ")) for n in norms}
     links = []
     for i, a in enumerate(norms):
         for b in norms[:i]:
@@ -116,7 +129,11 @@ def test_empty_table(no_docs):
     assert lines.dedup_lines(no_docs).collect() == []
 
 
-def test_simhash_of_long_lines():
-    words = [f"w{i}" for i in range(70_000)]
-    both = lines.simhashes([words, ["a"], words[::-1]], WordHashes())
-    assert both[0] == both[2] and both.dtype == np.uint64
+def test_simhashes_of_long_lines_and_many_words(monkeypatch):
+    monkeypatch.setattr(lines.WordLanes, "LIMIT", 500)
+    cache = lines.WordLanes()
+    words = [[f"w{i}" for i in range(7000)], ["a", "b"], ["x" * 70_000], [f"abcdefgh{i}" for i in range(3000)]]
+    words += [[f"{i}", "one", "two"] for i in range(2000)]
+    for part in (words, words[1:5]):
+        got = lines.simhashes([[w.encode() for w in line] for line in part], cache)
+        assert [int(h) for h in got] == [plain_simhash(line) for line in part]
