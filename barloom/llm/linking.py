@@ -34,7 +34,7 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     pairs = edges.select(
         F.greatest("a", "b").alias("id"), F.least("a", "b").alias("label")
     ).where("id <> label")
-    now, mark = None, None
+    now = None
     while True:
         # Large stars: larger neighbours go to the smallest neighbour of their centre.
         both = pairs.unionByName(pairs.select(F.col("label").alias("id"), F.col("id").alias("label")))
@@ -58,8 +58,11 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         before, now = now, scratch.keep(small, "stars")
         if before is not None:
             scratch.drop(before)
-        was, mark = mark, now.agg(F.count("*"), F.sum(F.xxhash64("id", "label").cast("decimal(38,0)"))).first()
-        if mark == was or mark[0] == 0:
+        # Stars: every id has one label, and no label has one itself.
+        ends = now.select(F.col("id").alias("x"), F.lit(1).alias("own"), F.lit(0).alias("is_label"))
+        tops = now.select(F.col("label").alias("x"), F.lit(0).alias("own"), F.lit(1).alias("is_label"))
+        seen = ends.unionByName(tops).groupBy("x").agg(F.sum("own").alias("own"), F.max("is_label").alias("is_label"))
+        if seen.where("own > 1 or (own = 1 and is_label = 1)").isEmpty():
             return now
         pairs = now
 
