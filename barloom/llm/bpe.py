@@ -18,7 +18,9 @@ import base64
 import json
 import os
 import re
+from array import array
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,11 @@ ENCODED = T.StructType(
 )
 # A match of a pattern that starts runs of white space anew never crosses these places.
 _CUT = re.compile(r"(?<=\S)[ \n]")
+_OTHER_SPACE = re.compile(r"[^\S \n]")
+_LETTERS, _MARKS = "[A-Za-zÀ-ÖØ-öø-ÿ]+", "[.,!?%&$#*]"
+_ONE_WORD = re.compile(f" ?{_LETTERS}")
+# Letters up to white space or a mark; marks up to white space; anything up to white space.
+_PARTS = re.compile(rf"[ \n]*{_LETTERS}(?=[ \n]|{_MARKS}|\Z)|{_MARKS}+(?=[ \n]|\Z)|[ \n]*[^ \n]+|[ \n]+")
 
 
 def byte_table() -> list[str]:
@@ -113,19 +120,50 @@ def pieces(text: str, size: int = CHUNK_CHARS) -> Iterator[str]:
     yield text[start:]
 
 
-def encode_texts(tok: Tokenizer, texts: list[str]) -> Iterator[np.ndarray]:
-    """The ids of each text in turn, about `CHUNK_CHARS` characters at a time."""
-    made: list[np.ndarray] = []
-    current = 0
-    for group in _groups((i, part) for i, text in enumerate(texts) for part in pieces(text)):
-        found = tok.encode_batch_fast([part for _, part in group], add_special_tokens=False)
-        for (i, _), ids in zip(group, found):
-            if i != current:
-                yield np.concatenate(made)
-                made, current = [], i
-            made.append(np.array(ids.ids, np.int32))
-    if texts:
-        yield np.concatenate(made)
+class Encoder:
+    """Ids of texts; equal parts of a text are given to the library once.
+
+    A text without other white space than spaces and line feeds is cut where no match of
+    the pattern can cross: before white space behind anything else, and between letters and
+    the marks behind a word. The library encodes each distinct part; a space and letters
+    are one match, which needs no pattern. Any other text goes to the library whole.
+    """
+
+    LIMIT = 400_000  # remembered parts
+
+    def __init__(self, content: bytes):
+        self.whole, self.word = loaded(content), loaded(content)
+        self.word.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.known: dict[str, bytes] = {}  # ids as 32-bit integers
+
+    def _learn(self, parts: set[str]) -> None:
+        words = [p for p in parts if _ONE_WORD.fullmatch(p)]
+        others = list(parts.difference(words))
+        for tok, group in ((self.word, words), (self.whole, others)):
+            found = tok.encode_batch_fast(group, add_special_tokens=False)
+            for part, ids in zip(group, found):
+                self.known[part] = array("i", ids.ids).tobytes()
+
+    def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text in turn, about `CHUNK_CHARS` characters at a time."""
+        made: list[bytes] = []
+        current = 0
+        for group in _groups((i, part) for i, text in enumerate(texts) for part in pieces(text)):
+            if len(self.known) > self.LIMIT:
+                self.known.clear()
+            cut = [[part] if _OTHER_SPACE.search(part) else _PARTS.findall(part) for _, part in group]
+            every = set(chain.from_iterable(cut))
+            self._learn(every.difference(self.known))
+            for (i, _), parts in zip(group, cut):
+                if i != current:
+                    yield np.frombuffer(b"".join(made), np.int32)
+                    made, current = [], i
+                made.append(b"".join(map(self.known.__getitem__, parts)))
+            for part in every:
+                if len(part) > 64:
+                    del self.known[part]
+        if texts:
+            yield np.frombuffer(b"".join(made), np.int32)
 
 
 def _groups(parts: Iterator[tuple[int, str]]) -> Iterator[list[tuple[int, str]]]:
@@ -172,11 +210,11 @@ def encoder(packed, offsets: bool):
 
     @F.arrow_udf(ENCODED)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tok = loaded(packed.value)
+        ids_of = Encoder(packed.value)
         sizes = np.array([len(b) for b in bytes_of_ids(packed.value)], np.int64)
         for batch in batches:
             texts = [t or "" for t in batch.to_pylist()]
-            ids = list(encode_texts(tok, texts))
+            ids = list(ids_of(texts))
             lists = [_lists(ids)]
             for side in zip(*(spans(t.encode(), i, sizes) for t, i in zip(texts, ids))) if offsets else ():
                 lists.append(_lists(list(side)))
@@ -231,17 +269,17 @@ def decode(rows: DataFrame, path: str, pattern: str | None, ids_col: str = "ids"
 
 def decoded_text(binary):
     """Decoded bytes as text; a character cut at either end becomes U+FFFD."""
-    return F.decode(F.col(binary) if isinstance(binary, str) else binary, "UTF-8")
+    return F.call_function("make_valid_utf8", (F.col(binary) if isinstance(binary, str) else binary).cast("string"))
 
 
 def id_arrays(packed, end_id: int) -> Callable[[pa.Array], Iterator[np.ndarray]]:
     """What turns a column of texts into ids, `end_id` behind those of each text."""
-    held: list[Tokenizer] = []
+    held: list[Encoder] = []
 
     def run(texts: pa.Array) -> Iterator[np.ndarray]:
         if not held:
-            held.append(loaded(packed.value))
-        for ids in encode_texts(held[0], [t or "" for t in texts.to_pylist()]):
+            held.append(Encoder(packed.value))
+        for ids in held[0]([t or "" for t in texts.to_pylist()]):
             yield np.append(ids, np.int32(end_id))
 
     return run

@@ -53,47 +53,64 @@ def _tables() -> tuple[np.ndarray, list[list[int]]]:
 _STEP, _FAR = _tables()
 
 
-def crc32c(data: bytes) -> int:
-    """CRC-32C: lanes of `LANE` bytes advance side by side and are then strung together."""
-    crc = 0xFFFFFFFF
-    if len(data) < 2 * LANE:
-        for b in data:
-            crc = int(_STEP[(crc ^ b) & 255]) ^ (crc >> 8)
-        return crc ^ 0xFFFFFFFF
-    # Zeros in front change nothing; the start value flips the first four bytes.
-    pad = -len(data) % LANE
-    lanes = np.zeros(pad + len(data), np.uint8)
-    lanes[pad:] = np.frombuffer(data, np.uint8)
-    lanes[pad : pad + 4] ^= 255
-    lanes = lanes.reshape(-1, LANE)
-    crcs = np.zeros(len(lanes), np.uint32)
-    for column in lanes.T:
-        crcs = _STEP[(crcs ^ column) & 255] ^ (crcs >> np.uint32(8))
-    crc, (f0, f1, f2, f3) = 0, _FAR
-    for lane in crcs.tolist():
-        crc = f0[crc & 255] ^ f1[crc >> 8 & 255] ^ f2[crc >> 16 & 255] ^ f3[crc >> 24] ^ lane
-    return crc ^ 0xFFFFFFFF
-
-
-def masked(data: bytes) -> bytes:
-    crc = crc32c(data)
-    return struct.pack("<I", ((crc >> 15 | crc << 17) + MASK_DELTA) & 0xFFFFFFFF)
-
+def crc32c_each(datas: list[bytes]) -> list[int]:
+    """CRC-32C of each string of bytes.
 
-def frame(data: bytes) -> bytes:
-    length = struct.pack("<Q", len(data))
-    return b"".join((length, masked(length), data, masked(data)))
-
-
-def unframe(record: bytes) -> bytes:
-    """The data of one record; raises if a length or a checksum is not right."""
-    (length,) = struct.unpack_from("<Q", record)
-    if len(record) != length + 16 or record[8:12] != masked(record[:8]):
-        raise ValueError("damaged record length")
-    data = record[12:-4]
-    if record[-4:] != masked(data):
-        raise ValueError("damaged record")
-    return data
+    Zeros in front of the data change nothing, so each is filled up to lanes of `LANE`
+    bytes; the lanes of all of them advance side by side and are then strung together.
+    The start value flips the first four bytes.
+    """
+    pads = [-len(d) % LANE if len(d) >= 4 else 0 for d in datas]
+    buffer = np.zeros(sum(p + len(d) for p, d in zip(pads, datas) if len(d) >= 4), np.uint8)
+    at = 0
+    for pad, data in zip(pads, datas):
+        if len(data) >= 4:
+            at += pad
+            buffer[at : at + len(data)] = np.frombuffer(data, np.uint8)
+            buffer[at : at + 4] ^= 255
+            at += len(data)
+    lanes = np.ascontiguousarray(buffer.reshape(-1, LANE).T)
+    crcs = np.zeros(lanes.shape[1], np.uint32)
+    for column in lanes:
+        crcs = _STEP[(crcs ^ column) & 255] ^ (crcs >> np.uint32(8))
+    parts, place, out = crcs.tolist(), 0, []
+    f0, f1, f2, f3 = _FAR
+    for pad, data in zip(pads, datas):
+        if len(data) < 4:
+            crc = 0xFFFFFFFF
+            for b in data:
+                crc = int(_STEP[(crc ^ b) & 255]) ^ (crc >> 8)
+        else:
+            n, crc = (pad + len(data)) // LANE, 0
+            for lane in parts[place : place + n]:
+                crc = f0[crc & 255] ^ f1[crc >> 8 & 255] ^ f2[crc >> 16 & 255] ^ f3[crc >> 24] ^ lane
+            place += n
+        out.append(crc ^ 0xFFFFFFFF)
+    return out
+
+
+def masked_each(datas: list[bytes]) -> list[bytes]:
+    turned = (((crc >> 15 | crc << 17) + MASK_DELTA) & 0xFFFFFFFF for crc in crc32c_each(datas))
+    return [struct.pack("<I", crc) for crc in turned]
+
+
+def frames(datas: list[bytes]) -> list[bytes]:
+    """The record of each string of bytes."""
+    lengths = [struct.pack("<Q", len(d)) for d in datas]
+    sums = masked_each([*lengths, *datas])
+    return [b"".join(x) for x in zip(lengths, sums, datas, sums[len(datas) :])]
+
+
+def unframed(records: list[bytes]) -> list[bytes]:
+    """The data of each record; raises if a length or a checksum is not right."""
+    datas = [r[12:-4] for r in records]
+    sums = masked_each([*(r[:8] for r in records), *datas])
+    for record, data, head, tail in zip(records, datas, sums, sums[len(datas) :]):
+        if len(record) < 16 or record[:8] != struct.pack("<Q", len(data)) or record[8:12] != head:
+            raise ValueError("damaged record length")
+        if record[-4:] != tail:
+            raise ValueError("damaged record")
+    return datas
 
 
 def packed(doc_id: int | None, ids: np.ndarray, width: int) -> bytes:
@@ -131,8 +148,9 @@ def write(rows: DataFrame, folder: str, ids_of: Callable[[pa.Array], Iterator[np
         try:
             for batch in batches:
                 lines = []
-                for doc_id, ids in zip(batch.column(0).to_pylist(), ids_of(batch.column(1))):
-                    record = frame(packed(doc_id, ids, width))
+                names, each = batch.column(0).to_pylist(), list(ids_of(batch.column(1)))
+                made = frames([packed(doc_id, ids, width) for doc_id, ids in zip(names, each)])
+                for doc_id, ids, record in zip(names, each, made):
                     out = out or fs.open_output_stream(f"{base}/{name}")
                     out.write(record)
                     lines.append((doc_id, part, name, at, len(record), len(ids), before))
@@ -167,15 +185,17 @@ def read(index: DataFrame, folder: str, with_ids: bool = True) -> DataFrame:
         name, source = None, None
         for batch in batches:
             lines = []
-            for row in batch.to_pylist():
+            rows, records = batch.to_pylist(), []
+            for row in rows:
                 if row["file"] != name:
                     if source is not None:
                         source.close()
                     name = row["file"]
                     source = fs.open_input_file(f"{base}/{name}")
-                doc_id, ids = unpacked(unframe(source.read_at(row["length"], row["at"])))
+                records.append(source.read_at(row["length"], row["at"]))
+            for row, (doc_id, ids) in zip(rows, map(unpacked, unframed(records))):
                 if doc_id != row["doc_id"]:
-                    raise ValueError(f"{name} has document {doc_id} where its index has {row['doc_id']}")
+                    raise ValueError(f"{row['file']} has document {doc_id} where its index has {row['doc_id']}")
                 lines.append((doc_id, row["part"], row["before"], len(ids), zlib.crc32(ids.tobytes()), ids.astype(np.int64) if with_ids else None))
             columns = list(zip(*lines)) or [()] * 6
             kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 3, pa.list_(pa.int64())]

@@ -18,21 +18,21 @@ def plain_crc32c(data):
 
 
 def test_checksum():
-    assert records.crc32c(b"123456789") == 0xE3069283
+    assert records.crc32c_each([b"123456789"]) == [0xE3069283]
     rng = np.random.default_rng(1)
-    for n in (0, 1, 3, 4, 63, 64, 127, 128, 129, 1000):
-        data = rng.integers(0, 256, n, dtype=np.uint8).tobytes()
-        assert records.crc32c(data) == plain_crc32c(data)
-        assert records.unframe(records.frame(data)) == data
+    datas = [rng.integers(0, 256, n, dtype=np.uint8).tobytes() for n in (0, 1, 3, 4, 5, 63, 64, 127, 128, 129, 1000)]
+    assert records.crc32c_each(datas) == list(map(plain_crc32c, datas))
+    assert records.unframed(records.frames(datas)) == datas
+    assert records.frames([]) == records.unframed([]) == []
 
 
 def test_damage_is_found():
-    record = bytearray(records.frame(b"some data" * 30))
+    record = bytearray(records.frames([b"some data" * 30])[0])
     for i in (0, 9, 40, len(record) - 1):
         broken = record.copy()
         broken[i] ^= 1
         with pytest.raises(ValueError):
-            records.unframe(bytes(broken))
+            records.unframed([bytes(broken)])
 
 
 @pytest.fixture(scope="module")
@@ -73,7 +73,7 @@ def test_files_are_plain_frames(written):
         assert len(data) == r["sum(length)"]
         while data:
             size = int.from_bytes(data[:8], "little") + 16
-            records.unpacked(records.unframe(data[:size]))
+            records.unpacked(records.unframed([data[:size]])[0])
             data, n = data[size:], n + 1
         assert n == r["count(1)"]
 
