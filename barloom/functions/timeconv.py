@@ -8,6 +8,7 @@ from zoneinfo import ZoneInfo
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from barloom.functions import whole
 from barloom.schemas import (
     EASTERN,
     SESSION_CLOSE_SECONDS,
@@ -92,8 +93,11 @@ def in_regular_hours(instant: Column) -> Column:
 
 
 def left_edge(instant: Column, minutes: Column) -> Column:
-    """The start label of a bar of full length; wrong for a shortened bar."""
-    return F.timestamp_micros(F.unix_micros(instant) - minutes * 60_000_000)
+    """The start label of a bar of full length; wrong for a shortened bar.
+
+    No number of minutes fails; absurd ones give the earliest or latest instant."""
+    moved = whole.minus(F.unix_micros(instant), whole.times(minutes.cast("bigint"), F.lit(60_000_000)))
+    return F.timestamp_micros(moved)
 
 
 def bound(value: datetime) -> Column:

@@ -38,16 +38,26 @@ def _unreadable_days(spark: SparkSession, root: str, scope: cp.Scope) -> DataFra
 def verify_store(
     spark: SparkSession, root: str, scope: cp.Scope, symbols: Sequence[str] | None = None
 ) -> Verification:
-    """Check a store against its own learned bar times, all symbols at once."""
+    """Check a store against its own learned bar times, all symbols at once.
+
+    The bars are scanned twice: once to learn, once to compare. A symbol that was asked
+    for and has no data counts as one with too few days.
+    """
     bars = store.scan(spark, root, scope.bar_type, scope.bar_interval, symbols)
-    learned = staged(cp.profile(bars, scope), "profile")
-    report = staged(cp.day_report(bars, scope, _unreadable_days(spark, root, scope)), "report")
-    runs = cp.gap_runs(cp.reconcile(bars, learned, scope))
-    thin = cp.thin_symbols(bars, scope)
+    learned = cp.learn(bars, scope)
+    slots = staged(cp.reconcile(bars, learned.profile, scope), "slots")
+    report = staged(
+        cp.day_report(bars, scope, _unreadable_days(spark, root, scope), learned, slots), "report"
+    )
+    if symbols is None:
+        asked = store.discover_symbols(spark, root, scope.bar_type, scope.bar_interval)
+    else:
+        asked = spark.createDataFrame([(s,) for s in symbols], "symbol string")
+    thin = cp.thin_symbols(bars, scope, asked, learned.reference)
     counts = cp.symbol_counts(report)
     return Verification(
         report=report,
-        gaps=cp.gap_text(runs, scope.zone),
+        gaps=cp.gap_text(cp.gap_runs(slots), scope.zone),
         summary=cp.cross_summary(counts),
         thin=thin,
         totals=cp.totals(counts, thin),
@@ -68,7 +78,10 @@ def impute_store(
     if output.rstrip("/") == root.rstrip("/"):
         raise ValueError("the imputed copy must not be written into the collected store")
     bars = store.scan(spark, root, scope.bar_type, scope.bar_interval, symbols)
-    report = staged(imp.report(bars, scope, method), "imputation")
+    learned = cp.learn(bars, scope)
+    slots = staged(cp.reconcile(bars, learned.profile, scope), "slots")
+    report = staged(imp.report(bars, scope, method, learned=learned, slots=slots), "imputation")
     if not dry_run:
-        store.write_imputed(imp.impute(bars, scope, method), root, output)
+        filled = imp.impute(bars, scope, method, learned=learned, slots=slots)
+        store.write_imputed(filled, root, output)
     return report

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.operators.ordered import last_by
-from barloom.operators.sides import small_side
 from barloom.schemas import CHART
 
 
@@ -18,13 +17,13 @@ def announced_charts(hellos: DataFrame) -> DataFrame:
 def with_subscription(charts: DataFrame, symbols: DataFrame) -> DataFrame:
     """Mark the charts whose symbol is subscribed; points of others never arrive."""
     subscribed = symbols.select(F.col("id").alias("symbol"), F.lit(True).alias("receiving"))
-    return charts.join(small_side(subscribed.distinct()), "symbol", "left").withColumn(
+    return charts.join(subscribed.distinct(), "symbol", "left").withColumn(
         "receiving", F.coalesce("receiving", F.lit(False))
     )
 
 
 def unsubscribed_charts(charts: DataFrame, symbols: DataFrame) -> DataFrame:
-    subscribed = small_side(symbols.select(F.col("id").alias("symbol")))
+    subscribed = symbols.select(F.col("id").alias("symbol"))
     return charts.join(subscribed, "symbol", "left_anti")
 
 

@@ -82,9 +82,28 @@ def _observed_times(bars: DataFrame, scope: Scope) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Learned:
+    """What a set of bars teaches: reference days per symbol, and the usual times."""
+
+    reference: DataFrame
+    profile: DataFrame
+
+
+def learn(bars: DataFrame, scope: Scope) -> Learned:
+    """Scan the bars once; both answers come from the times that were seen."""
+    observed = staged(_observed_times(bars, scope), "observed")
+    reference = _reference(observed, scope)
+    return Learned(reference, staged(_profile(observed, reference), "profile"))
+
+
 def reference_days(bars: DataFrame, scope: Scope) -> DataFrame:
     """Per symbol the days with any bar in the window, and whether they suffice."""
-    days = _observed_times(bars, scope).groupBy("symbol", "date").agg(F.count("*").alias("n"))
+    return _reference(_observed_times(bars, scope), scope)
+
+
+def _reference(observed: DataFrame, scope: Scope) -> DataFrame:
+    days = observed.groupBy("symbol", "date").agg(F.count("*").alias("n"))
     return days.groupBy("symbol").agg(
         F.count("*").alias("reference_days"),
         (F.count("*") >= scope.min_reference_days).alias("trusted"),
@@ -96,11 +115,20 @@ def discovered_symbols(bars: DataFrame, scope: Scope) -> DataFrame:
     return bars.where(kind).select("symbol").distinct()
 
 
-def thin_symbols(bars: DataFrame, scope: Scope) -> DataFrame:
-    """Symbols with too few days to learn from; each counts as one error."""
+def thin_symbols(
+    bars: DataFrame,
+    scope: Scope,
+    symbols: DataFrame | None = None,
+    reference: DataFrame | None = None,
+) -> DataFrame:
+    """Symbols with too few days to learn from; each counts as one error.
+
+    `symbols` are those asked for, with or without data; by default all that have some.
+    """
+    symbols = discovered_symbols(bars, scope) if symbols is None else symbols.select("symbol").distinct()
+    reference = reference_days(bars, scope) if reference is None else reference
     return (
-        discovered_symbols(bars, scope)
-        .join(reference_days(bars, scope), "symbol", "left")
+        symbols.join(reference, "symbol", "left")
         .select("symbol", F.coalesce("reference_days", F.lit(0)).alias("reference_days"), "trusted")
         .where(~F.coalesce("trusted", F.lit(False)))
         .drop("trusted")
@@ -109,10 +137,13 @@ def thin_symbols(bars: DataFrame, scope: Scope) -> DataFrame:
 
 def profile(bars: DataFrame, scope: Scope) -> DataFrame:
     """Learned times of day per trusted symbol, as seconds of day."""
-    slots = _observed_times(bars, scope).groupBy("symbol", "tod").agg(
-        F.count("*").alias("days_seen")
-    )
-    trusted = reference_days(bars, scope).where("trusted").drop("trusted")
+    observed = _observed_times(bars, scope)
+    return _profile(observed, _reference(observed, scope))
+
+
+def _profile(observed: DataFrame, reference: DataFrame) -> DataFrame:
+    slots = observed.groupBy("symbol", "tod").agg(F.count("*").alias("days_seen"))
+    trusted = reference.where("trusted").drop("trusted")
     return slots.join(trusted, "symbol").where(2 * F.col("days_seen") > F.col("reference_days"))
 
 
@@ -159,18 +190,23 @@ def extra_bars(slots: DataFrame, trusted: DataFrame) -> DataFrame:
 
 
 def day_report(
-    bars: DataFrame, scope: Scope, unreadable_days: DataFrame | None = None
+    bars: DataFrame,
+    scope: Scope,
+    unreadable_days: DataFrame | None = None,
+    learned: Learned | None = None,
+    slots: DataFrame | None = None,
 ) -> DataFrame:
     """One row per (trusted symbol, calendar day) with status and counts.
 
-    `unreadable_days(symbol, date)` lists days whose files could not be read.
+    `unreadable_days(symbol, date)` lists days whose files could not be read. What was
+    learned and reconciled before can be handed in.
     """
-    learned = staged(profile(bars, scope), "profile")
-    trusted = reference_days(bars, scope).where("trusted").select("symbol")
-    sizes = learned.groupBy("symbol").agg(F.count("*").alias("profile_size"))
+    learned = learned or learn(bars, scope)
+    trusted = learned.reference.where("trusted").select("symbol")
+    sizes = learned.profile.groupBy("symbol").agg(F.count("*").alias("profile_size"))
+    slots = reconcile(bars, learned.profile, scope) if slots is None else slots
     per_day = (
-        reconcile(bars, learned, scope)
-        .groupBy("symbol", "date")
+        slots.groupBy("symbol", "date")
         .agg(
             F.sum("stored_rows").alias("stored"),
             F.count_if(F.expr("is_expected AND stored_rows = 0")).alias("missing_n"),
@@ -263,7 +299,7 @@ def symbol_counts(report: DataFrame) -> DataFrame:
 
 
 def cross_summary(counts: DataFrame) -> DataFrame:
-    """A verdict per symbol."""
+    """A verdict per symbol; its wording is a fixed value."""
     ok, inc, miss, unread = (F.col(c) for c in ("ok", "incomplete", "file_missing", "unreadable"))
     verdict = (
         F.when(inc + miss + unread == 0, F.lit("clean"))

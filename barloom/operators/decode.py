@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from barloom.functions import market
 from barloom.functions import timeconv as tc
 from barloom.functions.settle import settled
-from barloom.operators.sides import small_side
 from barloom.schemas import CONTROL_TOPIC, PROTOCOL, QUANTITIES, WIRE_PRICES
 
 POINT, ANNOUNCEMENT = "point", "announcement"
@@ -38,8 +37,7 @@ def route(frames: DataFrame, subscribed: DataFrame | None = None) -> DataFrame:
     if subscribed is None:
         return labelled
     wanted = subscribed.select(F.col("id").alias("topic")).distinct()
-    wanted = small_side(wanted.withColumn("_wanted", F.lit(True)))
-    joined = labelled.join(wanted, "topic", "left")
+    joined = labelled.join(wanted.withColumn("_wanted", F.lit(True)), "topic", "left")
     return joined.where(control | F.col("_wanted")).drop("_wanted")
 
 

@@ -76,15 +76,22 @@ def fill_value(method: str) -> tuple[Column, Column]:
     raise ValueError(f"unknown method: {method!r}")
 
 
-def invented_bars(bars: DataFrame, scope: cp.Scope, method: str, order: str = "ts") -> DataFrame:
+def invented_bars(
+    bars: DataFrame,
+    scope: cp.Scope,
+    method: str,
+    order: str = "ts",
+    learned: cp.Learned | None = None,
+    slots: DataFrame | None = None,
+) -> DataFrame:
     """Rows for the missing times of days that have a file, with a `note`.
 
     An invented bar is flat, trades nothing and has no quote.
     """
     value, note = fill_value(method)
-    learned = staged(cp.profile(bars, scope), "profile")
-    due = cp.due_bars(bars, scope).join(learned.select("symbol").distinct(), "symbol", "left_semi")
-    missing = cp.missing_bars(cp.reconcile(bars, learned, scope))
+    learned = learned or cp.learn(bars, scope)
+    due = cp.due_bars(bars, scope).join(learned.profile.select("symbol").distinct(), "symbol", "left_semi")
+    missing = cp.missing_bars(cp.reconcile(bars, learned.profile, scope) if slots is None else slots)
     found = neighbours(due, missing, order).where("prev IS NOT NULL OR next IS NOT NULL")
     zero, nothing = F.lit(0).cast("bigint"), F.lit(None).cast("double")
     return found.withColumns({"_value": value, "note": note}).select(
@@ -102,26 +109,41 @@ def invented_bars(bars: DataFrame, scope: cp.Scope, method: str, order: str = "t
     )
 
 
-def impute(bars: DataFrame, scope: cp.Scope, method: str, order: str = "ts") -> DataFrame:
+def impute(
+    bars: DataFrame,
+    scope: cp.Scope,
+    method: str,
+    order: str = "ts",
+    learned: cp.Learned | None = None,
+    slots: DataFrame | None = None,
+) -> DataFrame:
     """A whole copy of the days in scope: real rows as they are, invented rows added."""
-    trusted = staged(cp.reference_days(bars, scope).where("trusted").select("symbol"), "trusted")
+    learned = learned or cp.learn(bars, scope)
+    trusted = learned.reference.where("trusted").select("symbol")
     real = cp.due_bars(bars, scope).join(trusted, "symbol", "left_semi")
     columns = [*BAR_COLUMNS, "imputed", *PATH_KEYS]
     return (
         real.withColumn("imputed", F.lit(False))
         .select(*columns)
-        .unionByName(invented_bars(bars, scope, method, order).select(*columns))
+        .unionByName(invented_bars(bars, scope, method, order, learned, slots).select(*columns))
     )
 
 
-def report(bars: DataFrame, scope: cp.Scope, method: str, order: str = "ts") -> DataFrame:
+def report(
+    bars: DataFrame,
+    scope: cp.Scope,
+    method: str,
+    order: str = "ts",
+    learned: cp.Learned | None = None,
+    slots: DataFrame | None = None,
+) -> DataFrame:
     """What imputing would do per symbol; writes nothing.
 
     Days with a readable file always offer a neighbour, so no row is skipped.
     """
     if method not in METHODS:
         raise ValueError(f"unknown method: {method!r}")
-    days = cp.day_report(bars, scope)
+    days = cp.day_report(bars, scope, None, learned, slots)
     touched = F.col("status") == cp.INCOMPLETE
     return days.groupBy("symbol").agg(
         F.count_if(touched).alias("files_touched"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.functions import market
+from barloom.functions import market, whole
 from barloom.schemas import CHART, DAILY
 
 
@@ -24,7 +24,7 @@ def identity_checks(points: DataFrame) -> DataFrame:
     )
     return points.groupBy(*CHART).agg(
         F.count("*").alias("rows"),
-        F.count_if(intraday & (ticks != up + down)).alias("ticks_not_up_plus_down"),
+        F.count_if(intraday & (ticks != whole.plus(up, down))).alias("ticks_not_up_plus_down"),
         F.count_if(intraday & (interest != down)).alias("interest_not_down"),
         F.count_if(intraday & (volume != up)).alias("volume_not_up"),
         F.count_if(daily & (F.col("category") == 2) & (ticks != volume)).alias(
@@ -40,11 +40,11 @@ def total_volume(bars: DataFrame) -> DataFrame:
     Intraday totals sit in `el_ticks`, daily totals in `el_volume`.
     """
     volume = F.when(F.col("bartype") == DAILY, F.col("el_volume")).otherwise(F.col("el_ticks"))
-    traded = F.nullif(F.sum(volume), F.lit(0))
+    traded = F.nullif(whole.total(volume), F.lit(0))
     return bars.groupBy("symbol", "bartype", "interval").agg(
         traded.alias("total_volume"),
         (F.sum(F.col("close") * volume) / traded).alias("vwap"),
-        F.sum(F.when(F.col("bartype") == DAILY, F.col("el_open_interest"))).alias("open_interest"),
+        whole.total(F.when(F.col("bartype") == DAILY, F.col("el_open_interest"))).alias("open_interest"),
     )
 
 
@@ -55,7 +55,8 @@ def daily_against_intraday(daily: DataFrame, intraday: DataFrame) -> DataFrame:
     """
     day = F.to_date("bar_time_et").alias("date")
     per_day = intraday.groupBy("symbol", "date").agg(
-        F.sum("el_ticks").alias("intraday_total"), F.sum("el_volume").alias("intraday_up")
+        whole.total(F.col("el_ticks")).alias("intraday_total"),
+        whole.total(F.col("el_volume")).alias("intraday_up"),
     )
     return (
         daily.select("symbol", day, F.col("el_volume").alias("daily_volume"))

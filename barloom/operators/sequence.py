@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barloom.functions import whole
 from barloom.operators.ordered import SEGMENT_WIDTH, max_before, seeded, unseeded
 
 COUNTER = ["sid", "topic"]
@@ -17,16 +18,19 @@ def steps(
 
     A counter belongs to one publisher session and topic. Its first frame sets
     the baseline, a smaller number than expected leaves the expectation alone.
+    Numbers stay in BIGINT: after its largest one, that is still expected.
     `history` holds the largest `seq` per counter of earlier data.
     """
     ready = seeded(observed, COUNTER, "arrival", maxima=["seq"], history=history, width=width)
-    expected = max_before("seq", COUNTER, "arrival") + 1
-    return unseeded(ready.withColumn("expected", expected)).select(
+    largest = unseeded(ready.withColumn("largest", max_before("seq", COUNTER, "arrival")))
+    return largest.withColumn("expected", whole.plus(F.col("largest"), F.lit(1))).select(
         "arrival",
         *COUNTER,
         "seq",
         "expected",
-        F.greatest(F.coalesce(F.col("seq") - F.col("expected"), F.lit(0)), F.lit(0)).alias("lost"),
+        F.greatest(
+            F.coalesce(whole.minus(F.col("seq"), F.col("expected")), F.lit(0)), F.lit(0)
+        ).alias("lost"),
         F.coalesce(F.col("seq") < F.col("expected"), F.lit(False)).alias("regressed"),
     )
 
@@ -34,7 +38,7 @@ def steps(
 def loss_by_topic(seq_steps: DataFrame) -> DataFrame:
     return seq_steps.groupBy("topic").agg(
         F.count("*").alias("frames"),
-        F.sum("lost").alias("messages_lost"),
+        whole.total(F.col("lost")).alias("messages_lost"),
         F.count_if(F.col("lost") > 0).alias("gaps"),
         F.count_if("regressed").alias("regressions"),
         F.count_if(F.col("expected").isNull()).alias("baselines"),
@@ -45,7 +49,7 @@ def loss_total(seq_steps: DataFrame) -> DataFrame:
     """One row; `messages_lost` is NULL when no numbered frame was seen."""
     return seq_steps.agg(
         F.count("*").alias("frames"),
-        F.sum("lost").alias("messages_lost"),
+        whole.total(F.col("lost")).alias("messages_lost"),
         (F.count("*") > 0).alias("gap_detection_available"),
     )
 
@@ -55,5 +59,5 @@ def counters(seq_steps: DataFrame) -> DataFrame:
     return seq_steps.groupBy(*COUNTER).agg(
         F.max("seq").alias("seq"),
         F.count("*").alias("frames"),
-        F.sum("lost").alias("lost"),
+        whole.total(F.col("lost")).alias("lost"),
     )

@@ -1,24 +1,13 @@
-"""Small join sides, their size checked before anything is broadcast."""
+"""Intermediate tables in the shared folder."""
 
 from __future__ import annotations
 
 from uuid import uuid4
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from barloom.session import shared_dir
 
-BROADCAST_ROWS = 100_000
-
-
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a dimension for broadcast if it has at most `max_rows` rows.
-
-    A larger one is left to a shuffled join, whose skew the runtime splits.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write a result to the shared folder and read it back.

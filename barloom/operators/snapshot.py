@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions import timeconv as tc
 from barloom.operators.ordered import first_rows, last_by
-from barloom.operators.sides import small_side, staged
+from barloom.operators.sides import staged
 
 RECENT_POINTS = 100
 
@@ -48,7 +48,7 @@ def with_policy(
     points: DataFrame, policies: DataFrame, default: tuple[bool, int | None] | None = None
 ) -> DataFrame:
     """Attach the session policy; symbols without one get the default or none."""
-    listed = small_side(policies.withColumn("_listed", F.lit(True)))
+    listed = policies.withColumn("_listed", F.lit(True))
     joined = points.join(listed, "symbol", "left")
     if default is None:
         return joined.drop("_listed")

@@ -83,7 +83,7 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     so points arrive out of order; `k` below 19 damages or reroutes a frame."""
     k, user = F.col("k"), F.col("user_id")
     bar_type = F.when(user < 30, TICK).otherwise(MINUTE)
-    interval = F.when(user < 30, 1).when(user < 90, 60).otherwise(15)
+    interval = F.when(user < 4, 5).when(user < 30, 1).when(user < 90, 60).otherwise(15)
     ev = (
         spread(events(spark, sf_dir))
         .withColumn("stamp_us", F.col("us") - F.col("cents") * 10_000)

@@ -414,6 +414,22 @@ def daily_merge_last(spark, sf_dir):
     return merge.merge_last(stored, incoming, "ts", ["bartype", "interval", "symbol"])
 
 
+@query(
+    sql.with_(
+        sql.DAILY,
+        """SELECT symbol, bartype AS bar_type, "interval" AS bar_interval, count(*) AS rows,
+                  CAST(0 AS BIGINT) AS ticks_not_up_plus_down, CAST(0 AS BIGINT) AS interest_not_down,
+                  CAST(0 AS BIGINT) AS volume_not_up,
+                  count(*) FILTER (category = 2 AND el_ticks <> el_volume) AS daily_ticks_not_volume,
+                  count(*) FILTER (category = 2 AND el_downticks <> 0) AS daily_down_not_zero
+           FROM daily GROUP BY ALL""",
+    )
+)
+def daily_identities(spark, sf_dir):
+    names = {"bartype": "bar_type", "interval": "bar_interval"}
+    return quality.identity_checks(ad.daily_bars(spark, sf_dir).withColumnsRenamed(names))
+
+
 # --- meaning -----------------------------------------------------------------
 
 

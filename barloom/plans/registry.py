@@ -7,12 +7,12 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.plans import bar_queries, stream_queries, wire_queries
+from barloom.plans import bar_queries, store_queries, stream_queries, wire_queries
 from barloom.plans.results import comparable
 from barloom.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
-FAMILIES = (wire_queries, bar_queries, stream_queries)
+FAMILIES = (wire_queries, bar_queries, store_queries, stream_queries)
 
 
 def _prepared(fn: Query) -> Query:

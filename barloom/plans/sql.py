@@ -31,7 +31,7 @@ FRAMES = f"""{EVENTS},
 fr0 AS (
   SELECT *, us - cents * 10000 AS stamp_us,
          CAST(CASE WHEN user_id < 30 THEN 0 ELSE 1 END AS BIGINT) AS bar_type,
-         CAST(CASE WHEN user_id < 30 THEN 1 WHEN user_id < 90 THEN 60 ELSE 15 END AS BIGINT)
+         CAST(CASE WHEN user_id < 4 THEN 5 WHEN user_id < 30 THEN 1 WHEN user_id < 90 THEN 60 ELSE 15 END AS BIGINT)
            AS bar_interval
   FROM ev),
 fr AS (

@@ -37,7 +37,7 @@ def query(oracle: str | None = None):
     return register
 
 
-def run(spark, sf_dir, **parts) -> Ingest:
+def run(spark, sf_dir, max_files=2**31 - 1, **parts) -> Ingest:
     """Land the frames up to a day, then the rest; the job catches up after each."""
     root = f"{shared_dir(spark)}/ingest-{uuid4().hex}"
     job = Ingest(spark, root, ad.symbols(spark), **parts)
@@ -45,7 +45,7 @@ def run(spark, sf_dir, **parts) -> Ingest:
     early = F.col("landed_at").cast("timestamp_ntz") < F.lit(CUT)
     for part in (frames.where(early), frames.where(~early)):
         fr.write_frames(part, f"{root}/landing")
-        stream = fr.stream_frames(spark, f"{root}/landing", max_files=100_000)
+        stream = fr.stream_frames(spark, f"{root}/landing", max_files=max_files)
         job.start(stream, availableNow=True).awaitTermination()
     return job
 
@@ -67,7 +67,7 @@ def stream_closed_bars(spark, sf_dir):
     )
 )
 def stream_messages_lost(spark, sf_dir):
-    return run(spark, sf_dir, close_bars=False).messages_lost(1)
+    return run(spark, sf_dir, close_bars=False).messages_lost()
 
 
 @query(
@@ -105,8 +105,8 @@ def stream_live_views(spark, sf_dir):
         part.write.mode("append").parquet(f"{root}/bars")
         stream = (
             spark.readStream.schema(closing_step.POINT)
-            .option("maxFilesPerTrigger", 100_000)
+            .option("maxFilesPerTrigger", 2**31 - 1)
             .parquet(f"{root}/bars")
         )
         views.start(stream, availableNow=True).awaitTermination()
-    return views.views(1)
+    return views.views()

@@ -52,14 +52,21 @@ def stream_frames(spark: SparkSession, path: str, max_files: int = 64) -> DataFr
     return spark.readStream.schema(FRAME).option("maxFilesPerTrigger", max_files).json(path)
 
 
-def frames_from_log(messages: DataFrame) -> DataFrame:
-    """Frames from a message log's `(key, value, offset, timestamp)` columns.
+def frames_from_log(messages: DataFrame, partitions: int = 1) -> DataFrame:
+    """Frames from a message log's `(key, value, partition, offset, timestamp)` columns.
 
+    `partitions` is the number of the log's partitions. `arrival` counts through them in
+    turn, so it is unique, keeps the order of each partition and grows as densely as the
+    partitions fill evenly. A topic's frames must share a partition to keep their order.
     Bytes that are not UTF-8 are kept apart, as replacement text.
     """
+    place = F.col("partition") if "partition" in messages.columns else F.lit(0)
+    known = F.when(place < partitions, place).otherwise(
+        F.raise_error(F.lit(f"the log has more than {partitions} partitions"))
+    )
     text = F.expr("try_validate_utf8(cast(value AS STRING))")
     return messages.select(
-        F.col("offset").cast("bigint").alias("arrival"),
+        (F.col("offset").cast("bigint") * partitions + known).alias("arrival"),
         F.expr("make_valid_utf8(cast(key AS STRING))").alias("topic"),
         text.alias("payload"),
         F.when(text.isNull(), F.expr("make_valid_utf8(cast(value AS STRING))")).alias(

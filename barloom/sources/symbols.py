@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from barloom.schemas import SYMBOLS
 
@@ -29,10 +31,14 @@ def with_policy_defaults(raw: DataFrame) -> DataFrame:
 
 
 def symbols_table(spark: SparkSession, rows: list[dict]) -> DataFrame:
-    """The dimension from configuration entries."""
-    names = SYMBOLS.fieldNames()
-    data = [tuple(r.get(c) for c in names) for r in rows]
-    return with_policy_defaults(spark.createDataFrame(data, SYMBOLS))
+    """The dimension from configuration entries.
+
+    As an Arrow table its size is known to the planner, which broadcasts it if it is
+    below `spark.sql.autoBroadcastJoinThreshold`.
+    """
+    columns = {c: [r.get(c) for r in rows] for c in SYMBOLS.fieldNames()}
+    table = pa.table(columns, schema=to_arrow_schema(SYMBOLS))
+    return with_policy_defaults(spark.createDataFrame(table, SYMBOLS))
 
 
 def read_symbols(spark: SparkSession, path: str) -> DataFrame:

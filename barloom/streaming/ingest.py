@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from barloom.functions import whole
 from barloom.operators import decode as dec
 from barloom.operators import merge, sequence
 from barloom.operators.ordered import SEGMENT_WIDTH
 from barloom.schemas import CHART
 from barloom.streaming import closing_step
 from barloom.streaming.sinks import Writer, fan_out
-from barloom.streaming.state import StateTable
+from barloom.streaming.state import StateTable, latest_batch
 
 COUNTERS = T.StructType(
     [
@@ -86,6 +87,7 @@ class Ingest:
 
     def process(self, frames: DataFrame, batch_id: int) -> None:
         """Run one micro-batch; safe to run again."""
+        frames = frames.where("arrival IS NOT NULL")  # the clock's rows carry nothing
         decoded = self._table("decoded", batch_id, dec.decode(frames, self._subscribed))
         self._table("refused", batch_id, dec.refused(decoded))
         self._table("announcements", batch_id, dec.announcements(decoded))
@@ -101,7 +103,7 @@ class Ingest:
         after = before.unionByName(sequence.counters(steps)).groupBy("sid", "topic")
         self._counters.put(
             batch_id,
-            after.agg(F.max("seq").alias("seq"), F.sum("frames").alias("frames"), F.sum("lost").alias("lost")),
+            after.agg(F.max("seq").alias("seq"), F.sum("frames").alias("frames"), whole.total(F.col("lost")).alias("lost")),
         )
 
     def _close(self, points: DataFrame, batch_id: int) -> None:
@@ -117,36 +119,76 @@ class Ingest:
         self._charts.put(batch_id, closing_step.next_state(state, closed, waiting))
 
         sealed = self._sealed.before(batch_id)
-        split = merge.split_late(closed, sealed, self._width)
-        late = self._table("late", batch_id, split.where("late").drop("late"))
+        split = self._table("split", batch_id, merge.split_late(closed, sealed, self._width))
+        self._table("late", batch_id, split.where("late").drop("late"))
         days = split.where("day IS NOT NULL").select(*CHART, "day").unionByName(sealed)
         self._sealed.put(batch_id, days.groupBy(*CHART).agg(F.max("day").alias("day")))
 
-        on_time = closed.join(late.select("arrival"), "arrival", "left_anti")
-        failures = fan_out(on_time, batch_id, self._sinks)
+        self._give_out(split.where("NOT late").drop("late", "day"), batch_id)
+
+    def _give_out(self, bars: DataFrame, batch_id: int) -> None:
+        failures = fan_out(bars, batch_id, self._sinks)
         if failures:
             self._table("failures", batch_id, self._spark.createDataFrame(failures, FAILURES))
 
-    def messages_lost(self, batch_id: int) -> DataFrame:
-        """Loss per topic after a batch, over the whole run."""
-        counters = self._counters.before(batch_id + 1)
+    def latest(self) -> int | None:
+        """The last batch that is complete."""
+        return latest_batch(self._spark, f"{self.root}/checkpoint")
+
+    def messages_lost(self, batch_id: int | None = None) -> DataFrame:
+        """Loss per topic after a batch, the last one by default, over the whole run."""
+        last = self.latest() if batch_id is None else batch_id
+        counters = self._counters.before(0 if last is None else last + 1)
         return counters.groupBy("topic").agg(
-            F.sum("frames").alias("frames"), F.sum("lost").alias("messages_lost")
+            F.sum("frames").alias("frames"), whole.total(F.col("lost")).alias("messages_lost")
         )
 
     def drained(self) -> DataFrame:
         """Bars still waiting after the last batch; a stopped replay adds these."""
-        # A batch without waiting bars leaves no row, so the decoded frames tell.
-        last = self.table("decoded").agg(F.max("batch")).first()[0]
-        return self.table("waiting").where(F.col("batch") == last).drop("batch")
+        last = self.latest()
+        if last is None:
+            return self._spark.createDataFrame([], closing_step.POINT)
+        path = f"{self.root}/waiting/batch={last}"
+        return self._spark.read.schema(closing_step.POINT).parquet(path)
+
+    def drain(self) -> DataFrame:
+        """Give the waiting bars of a stopped job to the sinks and forget them.
+
+        They go out as batch `-1 - last`, so a sink that is handed them again replaces
+        them. The state learns how far its charts are closed: a job started again takes
+        their later refreshes for stale and gives nothing out twice.
+        """
+        last = self.latest()
+        if last is None:
+            return self.drained()
+        batch_id = -1 - last
+        bars = self._table("closed", batch_id, self.drained())
+        self._give_out(bars, batch_id)
+        nothing = self._spark.createDataFrame([], closing_step.POINT)
+        state = closing_step.next_state(self._charts.before(last + 1), bars, nothing)
+        # The state is read from where it is written to.
+        aside = f"{self.root}/state/drain"
+        state.write.mode("overwrite").parquet(aside)
+        self._charts.put(last, self._spark.read.schema(state.schema).parquet(aside))
+        self._table("waiting", last, nothing)
+        return bars
 
     def start(self, frames: DataFrame, **trigger) -> StreamingQuery:
-        """Follow a stream of frames; `trigger` as in `writeStream.trigger`."""
+        """Follow a stream of frames; `trigger` as in `writeStream.trigger`.
+
+        With a `clock`, a source of one empty row a second runs beside the frames, so
+        that quiet charts are closed while nothing arrives. A job that only catches up
+        (`availableNow`) looks at the clock with each batch of frames.
+        """
         metered = frames.observe(
             "frames",
             F.count(F.lit(1)).alias("frames_in"),
             F.approx_count_distinct("topic").alias("topics"),
         )
+        if self._clock is not None and not trigger.get("availableNow"):
+            second = self._spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+            empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in metered.schema]
+            metered = metered.unionByName(second.select(*empty))
         return (
             metered.writeStream.foreachBatch(self.process)
             .option("checkpointLocation", f"{self.root}/checkpoint")

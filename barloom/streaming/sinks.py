@@ -56,18 +56,17 @@ class Handlers:
 
 
 def store_sink(root: str, staging: str) -> Writer:
-    """Append intraday bars and merge daily bars into the store.
+    """Append intraday bars and merge daily bars into the store, each batch once.
 
-    A batch that is run again after a lost driver appends its intraday bars a
-    second time; `store.dedupe` removes them.
+    A batch that is run again replaces what it has written before.
     """
 
     def write(bars: DataFrame, batch_id: int) -> None:
         rows = store.as_bars(bars)
-        store.append_intraday(rows, root)
-        failed = store.merge_daily(rows, root, staging)
+        store.append_batch(rows, root, f"{staging}/intraday", batch_id)
+        failed = store.merge_daily(rows, root, f"{staging}/daily")
         if failed:
-            raise store.ForeignStoreError("; ".join(reason for _, reason in failed))
+            raise store.OtherSchema("; ".join(reason for *_, reason in failed))
 
     return write
 

@@ -16,6 +16,16 @@ from pyspark.sql import types as T
 STAMP = "_batch"
 
 
+def latest_batch(spark: SparkSession, checkpoint: str) -> int | None:
+    """The number of the last batch that a query has committed."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return None
+    names = [f.getPath().getName() for f in fs.listStatus(folder)]
+    return max((int(n) for n in names if n.isdigit()), default=None)
+
+
 class StateTable:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType) -> None:
         self._spark = spark

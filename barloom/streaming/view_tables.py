@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from barloom.operators import snapshot as snap
 from barloom.operators.ordered import first_rows, last_by
 from barloom.streaming.closing_step import POINT
-from barloom.streaming.state import StateTable
+from barloom.streaming.state import StateTable, latest_batch
 
 OPENING = T.StructType(
     [
@@ -94,13 +94,21 @@ class ViewTables:
             f"{self.root}/views/batch={batch_id}"
         )
 
-    def recent(self, batch_id: int) -> DataFrame:
-        """The points held after a batch."""
-        return self._held.before(batch_id + 1)
+    def latest(self) -> int | None:
+        """The last batch that is complete."""
+        return latest_batch(self._spark, f"{self.root}/checkpoint")
 
-    def views(self, batch_id: int, symbols: list[str] | None = None) -> DataFrame:
-        """Views after a batch, of all symbols or of the ones asked for."""
-        views = self._spark.read.parquet(f"{self.root}/views/batch={batch_id}")
+    def recent(self, batch_id: int | None = None) -> DataFrame:
+        """The points held after a batch, by default the last one."""
+        last = self.latest() if batch_id is None else batch_id
+        return self._held.before(0 if last is None else last + 1)
+
+    def views(self, batch_id: int | None = None, symbols: list[str] | None = None) -> DataFrame:
+        """Views after a batch, by default the last one, of all symbols or those asked for."""
+        last = self.latest() if batch_id is None else batch_id
+        if last is None:
+            raise ValueError("no batch is complete yet")
+        views = self._spark.read.parquet(f"{self.root}/views/batch={last}")
         return views if symbols is None else views.where(F.col("symbol").isin(symbols))
 
     def start(self, bars: DataFrame, **trigger) -> StreamingQuery:

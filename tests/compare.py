@@ -56,7 +56,7 @@ def difference(df, con, sql: str) -> str | None:
 
 
 def main(sf_dir: str, names: list[str]) -> int:
-    from barloom.plans import registry
+    import __spark_entry__ as registry
     from barloom.session import local_session
 
     spark, con = local_session(), connect(sf_dir)

@@ -35,10 +35,18 @@ def test_verify_and_impute_a_store(spark, folder):
     jobs.impute_store(spark, root, output, scope(15), "interpolate", ["SPY"])
     copy = spark.read.parquet(output)
     assert copy.count() == 150 and copy.where("imputed").count() == 2
-    with pytest.raises(store.ForeignStoreError, match="imputed"):
+    with pytest.raises(store.OtherSchema, match="imputed"):
         store.scan(spark, output, 1, 60)
 
 
+def test_symbols_without_data_count_as_bad(spark, folder):
+    seen = jobs.verify_store(spark, f"{folder}/nothing", scope(15), ["SPY", "QQQ"])
+    assert collect(seen.thin, "symbol", "reference_days") in (
+        [("SPY", 0), ("QQQ", 0)], [("QQQ", 0), ("SPY", 0)],
+    )
+    assert tuple(seen.totals.first()) == (2, 0)
+
+
 def test_an_empty_root_is_no_error(spark, folder):
     seen = jobs.verify_store(spark, f"{folder}/nothing", scope(15))
     assert seen.report.count() == 0 and tuple(seen.totals.first()) == (0, 0)

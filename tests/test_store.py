@@ -72,13 +72,13 @@ def test_open_files_are_skipped_and_reported(spark, folder):
 def test_foreign_store_is_refused(spark, folder):
     rows = two_symbols(spark)
     store.write_imputed(rows.withColumn("imputed", F.lit(False)), "/elsewhere", folder)
-    with pytest.raises(store.ForeignStoreError, match="imputed"):
+    with pytest.raises(store.OtherSchema, match="imputed"):
         store.load_bars(spark, folder, "SPY", START, END, 1, 1)
     with pytest.raises(ValueError):
         store.write_imputed(rows, folder, folder + "/")
     old = f"{folder}/old/bartype=1/interval=1/symbol=SPY/date=2026-04-20"
     rows.select("bar_time", "close").write.parquet(old)
-    with pytest.raises(store.ForeignStoreError, match="missing"):
+    with pytest.raises(store.OtherSchema, match="absent"):
         store.load_bars(spark, f"{folder}/old", "SPY", START, END, 1, 1)
 
 
@@ -108,7 +108,8 @@ def test_daily_merge_reports_an_old_schema_and_goes_on(spark, folder):
     old.write.parquet(f"{root}/bartype=2/interval=1/symbol=SPY")
     both = daily(spark, [0], 1.0).unionByName(daily(spark, [1], 2.0, interval=2))
     failed = store.merge_daily(both, root, staging)
-    assert [i for i, _ in failed] == [1] and "el_volume" in failed[0][1]
+    assert [f[:2] for f in failed] == [(1, "SPY")] and "el_volume" in failed[0][2]
+    assert spark.read.parquet(f"{root}/bartype=2/interval=1").where("symbol = 'SPY'").count() == 1
     assert store.load_bars(spark, root, "SPY", datetime(2026, 1, 1), datetime(2026, 12, 31), 2, 2).count() == 1
 
 
@@ -127,6 +128,99 @@ def test_dedupe_keeps_the_first_landed_row(spark, folder):
     assert len(list(Path(root).rglob("*.parquet"))) == 1
 
 
+def two_daily(spark, days, close):
+    """Daily bars of a good series and of one that a test spoils."""
+    spoiled = daily(spark, days, close).withColumn("symbol", F.lit("BAD"))
+    return daily(spark, days, close).unionByName(spoiled)
+
+
+def spoil_by_damage(spark, path, rows):
+    (Path(path) / "open.parquet").write_bytes(b"PAR1 still open")
+
+
+def spoil_by_missing_column(spark, path, rows):
+    rows.drop("el_ticks").write.mode("append").parquet(path)
+
+
+def spoil_by_further_column(spark, path, rows):
+    rows.withColumn("imputed", F.lit(True)).write.mode("append").parquet(path)
+
+
+@pytest.mark.parametrize("spoil", [spoil_by_damage, spoil_by_missing_column, spoil_by_further_column])
+def test_a_spoiled_daily_series_keeps_every_row(spark, folder, spoil):
+    root, staging = f"{folder}/store", f"{folder}/staging"
+    store.merge_daily(two_daily(spark, [0, 1, 2], 1.0), root, staging)
+    path = f"{root}/bartype=2/interval=1/symbol=BAD"
+    spoil(spark, path, daily(spark, [9], 7.0).select(*BAR_COLUMNS))
+    before = {f: f.read_bytes() for f in Path(path).glob("*.parquet")}
+    failed = store.merge_daily(two_daily(spark, [2, 3], 2.0), root, f"{staging}/2")
+    assert [f[:2] for f in failed] == [(1, "BAD")]
+    assert {f: f.read_bytes() for f in Path(path).glob("*.parquet")} == before
+    good = spark.read.parquet(f"{root}/bartype=2/interval=1/symbol=SPY").orderBy("bar_time")
+    assert collect(good, "close") == [(1.0,), (1.0,), (2.0,), (2.0,)]
+
+
+@pytest.mark.parametrize("spoil", [spoil_by_damage, spoil_by_missing_column, spoil_by_further_column])
+def test_rewrites_leave_spoiled_partitions_alone(spark, folder, spoil):
+    root = f"{folder}/store"
+    rows = bars(spark, [{"bar_time": minute(n), "symbol": s} for n in (0, 1) for s in ("SPY", "BAD")])
+    for _ in range(2):
+        store.append_intraday(rows, root)
+    path = f"{root}/bartype=1/interval=1/symbol=BAD/date=2026-04-20"
+    spoil(spark, path, rows.limit(1).select(*BAR_COLUMNS))
+    before = {f: f.read_bytes() for f in Path(path).glob("*.parquet")}
+    done = store.compact(spark, root, 1, 1, f"{folder}/c", date(2026, 4, 21)).collect()
+    assert {r["symbol"]: r["reason"] is None for r in done} == {"SPY": True, "BAD": False}
+    report = store.dedupe(spark, root, 1, 1, f"{folder}/d").collect()
+    assert {r["symbol"]: r["reason"] is None for r in report} == {"SPY": True, "BAD": False}
+    assert {f: f.read_bytes() for f in Path(path).glob("*.parquet")} == before
+    assert spark.read.parquet(f"{root}/bartype=1/interval=1/symbol=SPY").count() == 2
+
+
+def test_a_file_without_a_column_fails_the_read_of_that_column(spark, folder):
+    store.append_intraday(bars(spark, [{"bar_time": minute(0)}]), folder)
+    path = f"{folder}/bartype=1/interval=1/symbol=SPY/date=2026-04-20"
+    spoil_by_missing_column(spark, path, bars(spark, [{"bar_time": minute(1)}]).select(*BAR_COLUMNS))
+    found = store.scan(spark, folder, 1, 1)
+    assert found.select("close").count() == 2
+    with pytest.raises(Exception, match="el_ticks is absent"):
+        found.select("el_ticks").collect()
+
+
+def test_large_files_are_not_compacted(spark, folder, monkeypatch):
+    monkeypatch.setattr(store, "TARGET_BYTES", 10)
+    for n in (0, 1):
+        store.append_intraday(bars(spark, [{"bar_time": minute(n)}]), f"{folder}/s")
+    assert store.compact(spark, f"{folder}/s", 1, 1, f"{folder}/c", date(2026, 5, 1)).collect() == []
+
+
+def test_a_batch_lands_once_ticks_included(spark, folder):
+    root = f"{folder}/store"
+    ticks = bars(spark, [{"bar_time": minute(0), "bar_type": 0, "ts": 1.0}] * 2)
+    other = bars(spark, [{"bar_time": minute(n)} for n in (0, 1)])
+    for batch, rows in ((0, ticks), (1, other), (1, other), (0, ticks)):
+        store.append_batch(rows, root, f"{folder}/staging", batch)
+    assert store.scan(spark, root, 0, 1).count() == 2 and store.scan(spark, root, 1, 1).count() == 2
+
+
+def test_the_row_that_arrived_later_wins_an_equal_time(spark, folder):
+    root, same = f"{folder}/store", {"bar_type": 2, "bar_time": minute(0), "ts": 5.0}
+    rows = [{"arrival": 8, "close": 2.0, **same}, {"arrival": 7, "close": 1.0, **same}]
+    store.merge_daily(bars(spark, rows), root, f"{folder}/staging")
+    assert collect(store.scan(spark, root, 2, 1), "close") == [(2.0,)]
+
+
+def test_skipped_files_come_with_the_answer(spark, folder):
+    store.append_intraday(two_symbols(spark), folder)
+    for symbol in ("SPY", "007"):
+        place = Path(folder, f"bartype=1/interval=1/symbol={symbol}/date=2026-04-23")
+        place.mkdir(parents=True)
+        (place / "bars.parquet").write_bytes(b"PAR1 still open")
+    got = store.load_with_skipped(spark, folder, "SPY", START, END, 1, 1)
+    assert got.bars.count() == 3 and collect(got.skipped, "symbol", "date") == [("SPY", date(2026, 4, 23))]
+    assert store.load_with_skipped(spark, f"{folder}/none", "SPY", START, END, 1, 1).skipped.count() == 0
+
+
 def test_dedupe_leaves_tick_series_alone(spark, folder):
     ticks = [{"bar_time": minute(0), "bar_type": 0, "ts": float(i)} for i in range(5)]
     store.append_intraday(bars(spark, ticks), folder)

@@ -131,3 +131,104 @@ def test_handlers_can_be_removed(spark):
     handlers(points(spark, [{"bar_time": minute(0)}]), 2)
     assert seen == [1]
     assert fan_out(points(spark, [{"bar_time": minute(0)}]), 3, [("x", lambda d, b: 1 / 0)])[0][:2] == (3, "x")
+
+
+def landed(spark, folder, parts):
+    """One file per part, in turn."""
+    for part in parts:
+        part.coalesce(1).write.mode("append").json(f"{folder}/landing")
+
+
+def test_answers_come_from_the_last_batch_whatever_its_number(spark, folder):
+    from barloom.sources.frames import stream_frames
+
+    everything = frames(spark, job_frames())
+    landed(spark, folder, [everything.where(F.col("arrival").between(i, i + 11)) for i in range(0, 60, 12)])
+    job = Ingest(spark, f"{folder}/job", None, width=8)
+    assert job.latest() is None and job.drained().count() == 0
+    job.start(stream_frames(spark, f"{folder}/landing", max_files=1), availableNow=True).awaitTermination()
+    assert job.latest() == 4
+    decoded = dec.decode(everything)
+    lost = sequence.loss_by_topic(sequence.steps(dec.observed(decoded)))
+    assert sorted(collect(job.messages_lost(), "topic", "frames", "messages_lost")) == sorted(
+        collect(lost, "topic", "frames", "messages_lost")
+    )
+    closed = job.table("closed").drop("batch").unionByName(job.drained())
+    want = sorted(r[0] for r in collect(closing.close_bars(dec.points(decoded)), "arrival"))
+    assert sorted(r[0] for r in collect(closed, "arrival")) == want
+
+
+def test_a_quiet_chart_is_closed_by_the_clock_of_the_running_job(spark, folder):
+    import time
+
+    from barloom.sources.frames import stream_frames
+
+    now = [minute(0)]
+    job = Ingest(spark, f"{folder}/job", None, [("log", table_sink(f"{folder}/log"))], clock=lambda: now[0], width=8)
+    landed(spark, folder, [frames(spark, [("SPY", payload(bar_type=1, ts_str="2026-04/20-09:31:00"))])])
+    query = job.start(stream_frames(spark, f"{folder}/landing"), processingTime="0 seconds")
+
+    def out():
+        try:
+            return spark.read.parquet(f"{folder}/log").count()
+        except Exception:
+            return 0
+
+    until = time.time() + 60
+    while (job.latest() is None or job.drained().count() == 0) and time.time() < until:
+        time.sleep(0.5)
+    assert out() == 0
+    now[0] = minute(1) + timedelta(seconds=8)
+    while out() == 0 and time.time() < until:
+        time.sleep(0.5)
+    query.stop()
+    assert out() == 1
+    job.start(stream_frames(spark, f"{folder}/landing"), availableNow=True).awaitTermination()
+    assert out() == 1
+
+
+def test_drained_bars_reach_the_sinks_once(spark, folder):
+    from barloom.sources.frames import stream_frames
+
+    def go(job):
+        job.start(stream_frames(spark, f"{folder}/landing", 1), availableNow=True).awaitTermination()
+
+    job = Ingest(spark, f"{folder}/job", None, [("log", table_sink(f"{folder}/log"))], width=8)
+    point = {"bar_type": 1, "ts_str": "2026-04/20-09:31:00"}
+    landed(spark, folder, [frames(spark, [("SPY", payload(**point))])])
+    go(job)
+    assert job.drain().count() == 1 and job.drained().count() == 0
+    assert spark.read.parquet(f"{folder}/log").count() == 1
+    again = frames(spark, [("SPY", payload(**point)), ("SPY", payload(bar_type=1, ts_str="2026-04/20-09:32:00"))])
+    landed(spark, folder, [again.withColumn("arrival", F.col("arrival") + 1)])
+    go(job)
+    assert spark.read.parquet(f"{folder}/log").count() == 1
+    assert job.table("stale").count() == 0 and job.drained().count() == 1 or job.table("stale").count() == 1
+
+
+def test_two_log_partitions_lose_nothing(spark, folder):
+    from barloom.sources.frames import frames_from_log
+
+    messages = spark.createDataFrame(
+        [(t, payload(seq=i), p, i) for i in range(4) for p, t in enumerate(("SPY", "QQQ"))],
+        "key string, value string, partition int, offset bigint",
+    ).selectExpr("cast(key AS BINARY) key", "cast(value AS BINARY) value", "partition", "offset", "now() timestamp")
+    got = frames_from_log(messages, partitions=2)
+    assert sorted(collect(got, "arrival")) == [(i,) for i in range(8)]
+    with pytest.raises(Exception, match="more than 1 partitions"):
+        frames_from_log(messages).collect()
+
+
+def test_extreme_numbers_end_no_job(spark):
+    top = 2**63 - 1
+    out = [("SPY", payload(seq=s, el_volume=v, el_ticks=v, el_upticks=v, el_downticks=v)) for s, v in ((top, top), (-top, 1), (top, top), (3, -top))]
+    decoded = dec.decode(frames(spark, out))
+    found = sequence.steps(dec.observed(decoded)).orderBy("arrival").collect()
+    assert [r.lost for r in found] == [0, 0, 0, 0] and [r.regressed for r in found] == [False, True, False, True]
+    rising = dec.decode(frames(spark, [("SPY", payload(seq=s)) for s in (-top, top, top)]))
+    assert sequence.loss_total(sequence.steps(dec.observed(rising))).first()["messages_lost"] == top
+    from barloom.operators import quality
+
+    assert quality.identity_checks(dec.points(decoded)).first()["rows"] >= 1
+    totals = quality.total_volume(store.as_bars(dec.points(decoded))).first()
+    assert totals["total_volume"] is not None
