@@ -177,15 +177,15 @@ class Ingest:
         """Follow a stream of frames; `trigger` as in `writeStream.trigger`.
 
         With a `clock`, a source of one empty row a second runs beside the frames, so
-        that quiet charts are closed while nothing arrives. A job that only catches up
-        (`availableNow`) looks at the clock with each batch of frames.
+        that quiet charts are closed while nothing arrives. A job that has run with a clock
+        must be started again with one: its checkpoint knows both sources.
         """
         metered = frames.observe(
             "frames",
             F.count(F.lit(1)).alias("frames_in"),
             F.approx_count_distinct("topic").alias("topics"),
         )
-        if self._clock is not None and not trigger.get("availableNow"):
+        if self._clock is not None:
             second = self._spark.readStream.format("rate").option("rowsPerSecond", 1).load()
             empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in metered.schema]
             metered = metered.unionByName(second.select(*empty))

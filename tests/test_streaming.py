@@ -174,7 +174,7 @@ def test_a_quiet_chart_is_closed_by_the_clock_of_the_running_job(spark, folder):
         except Exception:
             return 0
 
-    until = time.time() + 60
+    until = time.time() + 120
     while (job.latest() is None or job.drained().count() == 0) and time.time() < until:
         time.sleep(0.5)
     assert out() == 0
