@@ -81,7 +81,7 @@ class Tree:
         """Exact code length of each (context, byte)."""
         out = np.zeros(len(grams))
         todo = np.arange(len(grams))
-        n, q = np.full(len(grams), -1), np.zeros(len(grams), np.int64)  # -1: nothing ruled out yet
+        n, q = np.full(len(grams), -1), np.zeros(len(grams), np.int64)  # n of -1: nothing is ruled out
         for order in range(ORDER, -1, -1):
             level, g = self.levels[order], grams[todo] & ((1 << 8 * (order + 1)) - 1)
             if not len(level["keys"]):
@@ -99,7 +99,7 @@ class Tree:
             if order:
                 n[todo[gone]], q[todo[gone]] = level["n_left"][at[gone]], level["q_left"][at[gone]]
             else:
-                q[todo[gone]] = level["q"][0]
+                n[todo[gone]] = 0
             todo = todo[~hit]
         left = np.maximum(256 - np.where(n[todo] < 0, 0, len(self.levels[0]["keys"])), 1)
         out[todo] += np.log2(left)
