@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 from barloom.llm.common import Scratch, shipped
 
 ORDER = 3
+MAX_LANGS = 10_000
 PIECE = 1 << 21  # bytes whose code lengths are computed at once
 GRAMS = T.StructType([T.StructField("lang", T.StringType()), T.StructField("gram", T.LongType()), T.StructField("n", T.LongType())])
 PREDICTED = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
@@ -113,9 +114,13 @@ def training_rows(docs: DataFrame, sample_rows: int) -> DataFrame:
     ranking sees a bounded number of rows of any language.
     """
     labelled = docs.where("lang is not null and text is not null").withColumn("h", F.xxhash64("doc_id", "text"))
-    share = labelled.groupBy("lang").agg(F.least(F.lit(1.0), 2.0 * sample_rows / F.count("*")).alias("share"))
+    counted = docs.where("lang is not null and text is not null").groupBy("lang").count().limit(MAX_LANGS + 1).collect()
+    if len(counted) > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages")
+    shares = [(r["lang"], min(1.0, 2.0 * sample_rows / r["count"])) for r in counted]
+    share = docs.sparkSession.createDataFrame(shares, "lang string, share double")
     unit = F.pmod("h", F.lit(1 << 30)) / float(1 << 30)
-    few = labelled.join(share, "lang").where(unit < F.col("share"))
+    few = labelled.join(F.broadcast(share), "lang").where(unit < F.col("share"))  # a line per language
     order = Window.partitionBy("lang").orderBy("h", "doc_id")
     return few.withColumn("r", F.row_number().over(order)).where(F.col("r") <= sample_rows).select("lang", "text")
 
