@@ -3,9 +3,10 @@
 Lines are normalised (lower case, no punctuation, one space between words). Equal
 normalised lines are one line from the start. Each gets a 64-bit SimHash of its words; two
 that differ in at most `DISTANCE` = 3 of the 64 bits agree on two of five blocks, so they
-meet under one of ten keys. A key with many lines is split again by four blocks of the bits
-that it leaves open, one of which they agree on too, and so on: no pair within the distance
-is lost. Pairs are verified by the edit similarity of the normalised lines; of every
+meet under one of ten keys. A key with many lines is split again by four parts of the bits
+in which its lines differ, one of which they agree on too, and so on: no pair within the
+distance is lost. Lines whose SimHashes are too much alike for that are all compared, tile by
+tile. Pairs are verified by the edit similarity of the normalised lines; of every
 connected group, the first line of the lowest document id stays.
 """
 
@@ -16,11 +17,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.llm.common import Scratch, key_filter, may_have
+from barloom.llm.common import Scratch, key_filter, may_have, mixed, window_hashes
 from barloom.llm.linking import Linker
 
 DISTANCE = 3
@@ -35,6 +36,9 @@ FOUR_BITS = ((np.arange(16, dtype=np.uint64)[:, None] >> np.arange(4, dtype=np.u
 # A word weighs this much at most, and so many are added before a lane could overflow.
 HEAVIEST = 30
 PART = 2000
+# With so few bits that differ, four parts hold as many pairs as the whole; lines compared at once.
+ALIKE_BITS = 8
+TILE = 512
 _SPACED = bytes(b if b > 127 or b == 10 or chr(b).isalnum() else 32 for b in range(256))
 LINE = T.ArrayType(
     T.StructType(
@@ -229,9 +233,59 @@ def similar(min_percent: int):
     return run
 
 
-def _bits(sim: Column, places: list[int]) -> Column:
-    """Chosen bits of `sim`, the others cleared."""
-    return sim.bitwiseAND(F.lit(np.uint64(sum(1 << p for p in places)).astype(np.int64).item()))
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def parted(path: pa.Array, sim: pa.Array, varies: pa.Array) -> pa.Array:
+    """Four paths of a SimHash: its path, with each of four parts of the bits in `varies`."""
+    path, sim, varies = (x.to_numpy(zero_copy_only=False).view(np.uint64) for x in (path, sim, varies))
+    on = (varies[:, None] >> BITS) & np.uint64(1)
+    part = np.cumsum(on, axis=1, dtype=np.uint64) % np.uint64(4)
+    out = np.empty((len(sim), 4), np.uint64)
+    for q in range(4):
+        mask = ((on * (part == q)) << BITS).sum(1, dtype=np.uint64)
+        out[:, q] = mixed(mixed(path + np.uint64(q)) + mixed(sim & mask))
+    flat = pa.array(out.reshape(-1).view(np.int64))
+    return pa.ListArray.from_arrays(np.arange(0, 4 * len(sim) + 1, 4, dtype=np.int32), flat)
+
+
+def _grams(line: str, size: int) -> np.ndarray:
+    """Counts of the line's character n-grams in 64 classes."""
+    codes = np.frombuffer(line.encode("utf-32-le"), np.uint32).astype(np.uint64)
+    codes = window_hashes(codes, size) & np.uint64(63)
+    return np.bincount(codes.astype(np.int64), minlength=64).astype(np.int32)
+
+
+def tile_edges(min_percent: int):
+    """Arrow function: a tile pair's lines to similar pairs that tie its groups together.
+
+    An edit changes at most one character and two pairs of neighbours, each to another: so
+    counts that are further apart spare the edit distance, as does a group known already.
+    """
+
+    def run(tile: pa.Table) -> pa.Table:
+        ids, texts = tile["id"].to_pylist(), tile["line"].to_pylist()
+        sims = tile["sim"].to_numpy().view(np.uint64)
+        slots, other = tile["slot"].to_numpy(), tile["t"][0].as_py()
+        left = np.flatnonzero(slots == tile["s"][0].as_py())
+        right = np.flatnonzero(slots == other)
+        chars = np.array(list(map(len, texts)), np.int64)
+        ones, twos = (np.array([_grams(x, n) for x in texts]) for n in (1, 2))
+        group = np.unique(tile["comp"].to_numpy(), return_inverse=True)[1]
+        a, b = [], []
+        for i in left:
+            js = right[right > i] if tile["s"][0].as_py() == other else right
+            js = js[(group[js] != group[i]) & (np.bitwise_count(sims[js] ^ sims[i]) <= DISTANCE)]
+            longest = np.maximum(chars[js], chars[i])
+            most = (100 - min_percent) * longest // 100
+            js, most = (x[longest - np.minimum(chars[js], chars[i]) <= most] for x in (js, most))
+            js, most = (x[np.abs(ones[js] - ones[i]).sum(1) <= 2 * most] for x in (js, most))
+            js, most = (x[np.abs(twos[js] - twos[i]).sum(1) <= 4 * most] for x in (js, most))
+            for j, k in zip(js.tolist(), most.tolist()):
+                if group[j] != group[i] and edit_distance(texts[i], texts[j], k) <= k:
+                    group[group == group[j]] = group[i]
+                    a.append(min(ids[i], ids[j])), b.append(max(ids[i], ids[j]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
 
 
 def dedup_lines(
@@ -298,16 +352,35 @@ def dedup_lines(
         both = pairs.join(left, "a").join(right, "b")
         return both.withColumn("same", similar(min_percent)("x", "y")).where("same").select("a", "b")
 
+    def finish(open_rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Nodes still to be split, and the edges of all others.
+
+        Every pair of lines of a small node, or of one whose SimHashes differ in few bits, is
+        compared, in tiles of bounded size. Nodes of the same few SimHashes are one.
+        """
+        ends = open_rows.groupBy("path").agg(F.bit_and("sim").alias("low"), F.bit_or("sim").alias("high"))
+        known = open_rows.join(ends, "path").withColumn("varies", F.col("low").bitwiseXOR(F.col("high")))
+        alike = F.bit_count("varies") <= ALIKE_BITS
+        over = alike | (F.col("in_node") <= TILE)
+        node = F.when(alike, F.xxhash64("low", "high")).otherwise(F.col("path")).alias("node")
+        done = scratch.keep(known.where(over).select(node, "id", "sim", "comp").distinct(), "alike")
+        tiles = done.groupBy("node").agg(F.ceil(F.count("*") / TILE).alias("tiles"))
+        dealt = done.join(tiles, "node").withColumn("slot", F.pmod(F.xxhash64("id"), "tiles"))
+        dealt = dealt.join(texts[0].withColumnRenamed("h1", "id"), "id")
+        dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tiles") - 1)))
+        dealt = dealt.select("node", F.least("slot", "with").alias("s"), F.greatest("slot", "with").alias("t"), "slot", "id", "sim", "comp", "line")
+        edges = scratch.keep(dealt.groupBy("node", "s", "t").applyInArrow(tile_edges(min_percent), "a bigint, b bigint"), "edges")
+        return scratch.keep(known.where(~over).drop("low", "high"), "split"), edges
+
     def branch(open_rows: DataFrame, level: int) -> DataFrame:
-        """Each path once for each of four parts of all bits, dealt anew at every level.
+        """Each path once for each of four parts of the bits in which its lines differ.
 
         Two lines within the distance agree on at least one of any four disjoint parts.
         """
-        parts = [[(p * (2 * level + 1) + level) % 64 for p in range(64)][q::4] for q in range(4)]
-        paths = F.array(*[F.xxhash64("path", F.lit(q), _bits(F.col("sim"), part)) for q, part in enumerate(parts)])
-        return open_rows.select(F.explode(paths).alias("path"), "id", "sim", "chars")
+        paths = F.explode(parted("path", "sim", "varies"))
+        return open_rows.select(paths.alias("path"), "id", "sim", "chars")
 
-    stars = Linker(near, verify, branch, scratch, leaf).run(rows, prepare)
+    stars = Linker(near, verify, branch, scratch, leaf, finish=finish).run(rows, prepare)
     owners = lines.select(F.col("h1").alias("id"), "h1", "h2", "first", "n")
     if stars is None:
         groups = owners.select("h1", "h2", "first", "n")

@@ -8,7 +8,8 @@ large node:
   whose cheap condition `near` lets only likely pairs out;
 - a larger node is compared with a few of its rows, the pivots, which are then done with
   and leave it. If its remaining rows already belong to one group, it has nothing more to
-  say and is dropped: no new connection can come from it. Otherwise `branch` splits it.
+  say and is dropped: no new connection can come from it. Otherwise `finish`, if there is
+  one, may link all rows of nodes that no split makes smaller; `branch` splits the others.
 
 Rows that belong to one group are never compared again. Likely pairs are confirmed by
 `verify`; each row's first pair is confirmed before the others, which mostly spares them.
@@ -101,9 +102,10 @@ class Linker:
         scratch: Scratch,
         leaf: int = 64,
         pivots: int = 16,
+        finish: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None,
     ):
         self.near, self.verify, self.branch = near, verify, branch
-        self.scratch, self.leaf, self.pivots = scratch, leaf, pivots
+        self.scratch, self.leaf, self.pivots, self.finish = scratch, leaf, pivots, finish
         self.stars: DataFrame | None = None
 
     def nodes(self, rows: DataFrame) -> DataFrame:
@@ -145,7 +147,10 @@ class Linker:
 
     def link(self, pairs: DataFrame) -> None:
         """Confirm pairs and merge their groups."""
-        edges = self.scratch.keep(self.verify(pairs), "edges")
+        self.tie(self.scratch.keep(self.verify(pairs), "edges"))
+
+    def tie(self, edges: DataFrame) -> None:
+        """Merge the groups of confirmed pairs."""
         if edges.isEmpty():
             return
         if self.stars is not None:
@@ -185,8 +190,11 @@ class Linker:
                 pivots.select("path", "id"), ["path", "id"], "left_anti"
             )
             # Only nodes that still hold two groups are split.
-            open_rows = self.scratch.keep(self.nodes(left).drop("comp", "linked", "in_node"), "open")
+            open_rows = self.scratch.keep(self.nodes(left), "open")
+            if self.finish is not None and not open_rows.isEmpty():
+                open_rows, edges = self.finish(open_rows)
+                self.tie(edges)
             if open_rows.isEmpty():
                 return self.stars
             level += 1
-            rows = self.branch(open_rows, level)
+            rows = self.branch(open_rows.drop("comp", "linked", "in_node"), level)

@@ -137,3 +137,29 @@ def test_simhashes_of_long_lines_and_many_words(monkeypatch):
     for part in (words, words[1:5]):
         got = lines.simhashes([[w.encode() for w in line] for line in part], cache)
         assert [int(h) for h in got] == [plain_simhash(line) for line in part]
+
+
+def test_many_dissimilar_lines_of_one_heavy_word(spark):
+    """All have the SimHash of their heaviest word; only planted copies are similar."""
+    import random
+
+    rng = random.Random(4)
+    texts = ["internationalization " + " ".join(str(rng.randrange(10**5, 10**6)) for _ in range(4)) for _ in range(700)]
+    for i in range(0, 60, 3):
+        texts[600 + i] = texts[i][:-1] + "x"
+    assert len({plain_simhash(t.split(" ")) for t in texts}) == 1
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id for r in lines.dedup_lines(df).where("n_removed > 0").collect()}
+    assert got == {600 + i for i in range(0, 60, 3)}
+
+
+def test_alike_hashes_of_two_values_are_finished(spark):
+    """Lines of two SimHashes that stay together in most parts of the bits equal all pairs."""
+    import random
+
+    rng = random.Random(6)
+    rows = [(i, f"internationalization {'ab'[i % 2] * 12} " + " ".join(str(rng.randrange(10**4)) for _ in range(3))) for i in range(90)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want, texts = brute(rows), dict(rows)
+    got = lines.dedup_lines(df, leaf=4).collect()
+    assert {(r.doc_id, texts[r.doc_id]): r.text for r in got} == want
