@@ -43,10 +43,17 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of every group of near copies."""
+    """One row of every group of near copies, the first by id, text and the other columns.
+
+    Null ids come last; rows alike in everything are told apart by a number written once.
+    """
     queries.prepared(spark)
-    judged = chosen_path.near_duplicates(docs)
-    return without(docs, judged.where("not kept"))
+    order = [F.col("doc_id").isNull(), F.col("doc_id"), F.xxhash64("text"), F.xxhash64(*docs.columns), F.monotonically_increasing_id()]
+    place = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(order)])
+    placed = Scratch(spark, "near-dup").keep(docs.select(F.struct(*docs.columns).alias("row"), place.alias("place")), "placed")
+    judged = chosen_path.near_duplicates(placed.select("place", "row.text"), id_col="place")
+    gone = judged.where("not kept").select(F.col("place.c4").alias("gone"))
+    return placed.join(gone, F.col("place.c4") == F.col("gone"), "left_anti").select("row.*")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

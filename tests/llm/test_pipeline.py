@@ -81,3 +81,19 @@ def test_empty_corpus(spark, corpus, tmp_path):
     spark.createDataFrame([], COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{folder}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_one_row_of_every_group_of_near_copies(spark, corpus):
+    """Repeated rows, near copies under one id, and groups without any id keep one row each."""
+    folder, _ = corpus
+    rng = random.Random(12)
+    texts = [fixtures.document(rng, 10, 12) for _ in range(4)]
+    rows = [(1, texts[0], "en", "s", 1)] * 2 + [(1, texts[0], "en", "t", 1)]
+    rows += [(2, texts[1], "en", "s", 1), (2, texts[1] + " more", "en", "s", 1)]
+    rows += [(None, texts[2], "en", "s", 1)] * 3 + [(None, texts[2] + " more", "en", "s", 1)]
+    rows += [(None, texts[3], "en", "s", 1), (9, texts[3], "en", "s", 1), (5, texts[3] + " more", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, COLUMNS)
+    got = corpus_pipeline.near_dedup(spark, docs, folder)
+    assert got.columns == docs.columns
+    kept = [(r.doc_id, next(i for i, t in enumerate(texts) if r.text.startswith(t))) for r in got.collect()]
+    assert sorted(kept, key=lambda k: k[1]) == [(1, 0), (2, 1), (None, 2), (5, 3)]
