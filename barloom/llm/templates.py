@@ -6,9 +6,10 @@ punctuation at their ends. Windows of `WINDOW` template words are hashed and joi
 window with fewer than two plain words says too little and is left out.
 
 A document holds an item if at least `min_percent` percent of the item's windows lie in it
-at one offset, give or take `DRIFT` words, and if the slots are consistent: at least
-`slot_percent` percent of the values in the item's matched slots are exchanged for the same
-value wherever they occur. A verbatim passage exchanges every value for itself.
+at one offset, give or take `DRIFT` words, and if the names are consistent: at least
+`slot_percent` percent of the names in the item's matched slots are exchanged for the same
+name wherever they occur. A verbatim passage exchanges every name for itself. Numbers and
+units are judged place by place: one number may have several roles in an item.
 
 Only documents that have one of an item's rarest windows are compared with it: an item of
 n windows of which m must be found cannot be held without one of any n - m + 1 of them. So
@@ -46,7 +47,7 @@ PLAIN = frozenset(
     b"ce de der des die du el en et il in la las le les los que qui si un una und une von wenn wie".split()
 )
 _S = T.StructField
-SLOT = T.StructType([_S("place", T.IntegerType()), _S("value", T.StringType())])
+SLOT = T.StructType([_S("place", T.IntegerType()), _S("value", T.StringType()), _S("name", T.BooleanType())])
 WINDOWS = T.ArrayType(T.StructType([_S("h", T.LongType()), _S("at", T.IntegerType()), _S("slots", T.ArrayType(SLOT))]))
 
 
@@ -89,12 +90,17 @@ def template(text: str, words: Words) -> tuple[list[bytes], list[bytes]]:
 def template_windows(text: str, words: Words, cache: WordHashes) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """Hashes of the windows that say enough, their places, and all slot values."""
     kinds, values = template(text, words)
+    return *telling(kinds, values, cache), values
+
+
+def telling(kinds: list[bytes], values: list[bytes], cache: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of a template's windows that say enough, and their places."""
     if len(kinds) < WINDOW:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), values
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
     h = window_hashes(cache.of(kinds), WINDOW)
     plain = np.concatenate(([0], np.cumsum([not v for v in values])))
     at = np.flatnonzero(plain[WINDOW:] - plain[:-WINDOW] >= 2)
-    return h[at], at, values
+    return h[at], at
 
 
 def windows_of(wanted=None):
@@ -104,12 +110,13 @@ def windows_of(wanted=None):
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words, cache = Words(), WordHashes()
         keys = None if wanted is None else wanted.value
-        slot = pa.struct([("place", pa.int32()), ("value", pa.string())])
+        slot = pa.struct([("place", pa.int32()), ("value", pa.string()), ("name", pa.bool_())])
         kind = pa.list_(pa.struct([("h", pa.int64()), ("at", pa.int32()), ("slots", pa.list_(slot))]))
         for batch in batches:
             out = []
             for text in batch.to_pylist():
-                h, at, values = template_windows(text or "", words, cache)
+                kinds, values = template(text or "", words)
+                h, at = telling(kinds, values, cache)
                 if keys is not None and len(h):
                     take = may_have(keys, h)
                     h, at = h[take], at[take]
@@ -118,7 +125,11 @@ def windows_of(wanted=None):
                         {
                             "h": x,
                             "at": i,
-                            "slots": [{"place": k, "value": values[k].decode()} for k in range(i, i + WINDOW) if values[k]],
+                            "slots": [
+                                {"place": k, "value": values[k].decode(), "name": kinds[k] == NAME}
+                                for k in range(i, i + WINDOW)
+                                if values[k]
+                            ],
                         }
                         for x, i in zip(h.view(np.int64).tolist(), at.tolist())
                     ]
@@ -186,15 +197,16 @@ def leaks(
     )
     # Neighbouring windows show the same slots: each place of the item counts once.
     once = slots.select(
-        *group, F.col("slot.was.place").alias("place"), F.col("slot.was.value").alias("was"), F.col("slot.now.value").alias("now")
-    ).distinct()
-    values = once.groupBy(*group, "was", "now").agg(F.count("*").alias("n"))
-    mapped = values.groupBy(*group, "was").agg(
+        *group, *[F.col(f"slot.was.{a}").alias(b) for a, b in (("place", "place"), ("name", "name"), ("value", "was"))],
+        F.col("slot.now.value").alias("now"),
+    ).distinct()
+    values = once.groupBy(*group, "name", "was", "now").agg(F.count("*").alias("n"))
+    mapped = values.groupBy(*group, "name", "was").agg(
         F.sum("n").alias("n"), F.max("n").alias("most"), F.max(F.col("was") != F.col("now")).alias("other")
     )
     judged = mapped.groupBy(*group).agg(
-        F.sum(F.when(F.col("was").isNotNull(), F.col("n"))).alias("n"),
-        F.sum(F.when(F.col("was").isNotNull(), F.col("most"))).alias("most"),
+        F.sum(F.when(F.col("name"), F.col("n"))).alias("n"),
+        F.sum(F.when(F.col("name"), F.col("most"))).alias("most"),
         F.max("other").alias("other"),
     )
     steady = judged.where(F.col("n").isNull() | (100 * F.col("most") >= slot_percent * F.col("n")))

@@ -96,3 +96,12 @@ def test_windows_that_many_items_share(spark):
     df = spark.createDataFrame(docs, "doc_id bigint, text string")
     got = templates.leaks(df, spark.createDataFrame(items, "item_id bigint, text string"))
     assert found(got) == {(99, 7, False)}
+
+
+def test_one_number_in_two_roles(spark):
+    """Numbers may be exchanged place by place; a name must stay the same person."""
+    text = "{} buys {} apples at the market and then walks for {} hours to the house where {} will eat them all"
+    items = spark.createDataFrame([(1, text.format("Alice", 2, 2, "Alice"))], "item_id bigint, text string")
+    rows = [(1, text.format("Alice", 3, 5, "Alice")), (2, text.format("Tom", 3, 5, "Tom")), (3, text.format("Tom", 2, 2, "Zoe"))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert found(templates.leaks(df, items)) == {(1, 1, True), (2, 1, True)}
