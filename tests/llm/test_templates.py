@@ -105,3 +105,21 @@ def test_one_number_in_two_roles(spark):
     rows = [(1, text.format("Alice", 3, 5, "Alice")), (2, text.format("Tom", 3, 5, "Tom")), (3, text.format("Tom", 2, 2, "Zoe"))]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert found(templates.leaks(df, items)) == {(1, 1, True), (2, 1, True)}
+
+
+def test_items_without_telling_windows_and_in_capitals(spark):
+    """Short items, sums, names and unspaced scripts are found verbatim, others in capitals too."""
+    items = [
+        (1, "Who wrote Hamlet?"),
+        (2, "12 + 7 * 3 - 48 / 6 = 27"),
+        (3, "Anna Berg, Carl Dahl, Emil Falk"),
+        (4, "从一加到一百的和是多少?"),
+        (5, ITEMS[0][1]),
+        (6, "What Is The Value Of The Sum Of The First Ten Odd Numbers In The List Below"),
+    ]
+    texts = [f"some words before it {t} and some words behind it" for _, t in items]
+    texts += [t.upper() for _, t in items] + [items[5][1].lower()]
+    texts += ["who wrote it was not hamlet", "12 + 7 * 3 - 48 / 7 = 27", "前文从一加到一百的和是多少后文", "Anna Berg, Carl Dahl, Emil Frank"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {(d, i) for d, i, _ in found(templates.leaks(df, spark.createDataFrame(items, "item_id bigint, text string")))}
+    assert got == {(k, k % 6 + 1) for k in range(12)} | {(12, 6), (15, 4)}
