@@ -32,10 +32,10 @@ class Scratch:
         self._made += 1
         return f"{self.root}/{self._made:04d}-{name}"
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
         """Write a table and read it back."""
         path = self.path(name)
-        df.write.parquet(path)
+        df.write.option("compression", compression).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out.scratch_path = path
         return out

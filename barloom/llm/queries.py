@@ -9,13 +9,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import bpe, chosen_path, interleave, langid, lines, quality, quotes, records, templates, urls
+from barloom.llm import align, bpe, chosen_path, interleave, langid, lines, quality, quotes, records, templates, urls
 from barloom.llm.common import Scratch
 from barloom.llm.sql import ORACLE
 from barloom.session import configure
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 PATTERN = public_tokenizers.PATTERN
 END_ID = 2
 SHARDS = 40
@@ -110,6 +111,11 @@ def op10_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return align.alignments(docs, TOKENIZER, PIECES, keep=["doc_id"])
+
+
 def _ready(fn: Callable) -> Callable:
     @wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,7 +128,7 @@ QUERIES = {
     fn.__name__: _ready(fn)
     for fn in (
         op1_bpe, op2_quotes, op3_langid, op4_quality, op5_templates, op6_lines, op7_near_dup, op8_urls, op9_records,
-        op10_interleave,
+        op10_interleave, op11_align,
     )
 }
 
