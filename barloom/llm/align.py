@@ -7,7 +7,7 @@ the whole corpus is counted in dense vectors:
 1. every text is encoded once by each tokenizer; the ids are written, packed
 2. the distinct pairs are gathered and get the numbers of a minimal perfect hash
 3. the ids are aligned again; each task counts its links in a vector indexed by that
-   hash, and the vectors are summed as a tree, `FAN` at a time
+   hash, and the vectors are summed as a tree
 4. the ids are aligned once more, and each link looks up its pair's count
 
 The hash is sent to the tasks in runs of at most `MOST_PAIRS` pairs; steps 3 and 4 are
@@ -34,10 +34,10 @@ from sentencepiece import sentencepiece_model_pb2
 
 from barloom.llm import bpe, perfect_hash
 from barloom.llm.common import Scratch, shipped
+from barloom.llm.trees import folded
 
 MOST_PAIRS = 1 << 21  # pairs of one run; 8 bytes each for key and count, 1 for the hash
 CHUNK = 1 << 14  # counts of a vector that travel together
-FAN = 32  # vectors summed at once
 REMEMBERED = 100_000  # parts of texts whose ids a task remembers
 SPACE = "▁"
 
@@ -53,6 +53,7 @@ ENCODED = T.StructType(
         T.StructField("groups_sha256", T.StringType()),
     ]
 )
+VECTORS = "chunk int, part int, counts binary"
 FOUND = T.StructType([T.StructField("n_best", T.LongType()), T.StructField("count_sum", T.LongType())])
 
 
@@ -252,20 +253,6 @@ def _summed(group: pa.Table) -> pa.Table:
     return pa.table([first.column("chunk"), first.column("part"), pa.array([total.tobytes()], pa.binary())], ["chunk", "part", "counts"])
 
 
-def tree_sum(vectors: DataFrame, scratch: Scratch) -> DataFrame:
-    """(chunk, part, counts) with one row per chunk: vectors of all tasks, `FAN` at a time."""
-    kept = scratch.keep(vectors, "counts")
-    parts = kept.agg(F.max("part")).first()[0]
-    while parts:
-        dealt = kept.withColumn("part", F.floor(F.col("part") / FAN).cast("int"))
-        kept = scratch.keep(dealt.groupBy("chunk", "part").applyInArrow(_summed, VECTORS), "counts")
-        parts //= FAN
-    return kept
-
-
-VECTORS = "chunk int, part int, counts binary"
-
-
 def _finder(packed_a, packed_b, run_of, best):
     @F.arrow_udf(FOUND)
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -329,7 +316,7 @@ def alignments(
             hashed, keys = perfect_hash.loaded(made, first, end, n_pairs)
             run_of = spark.sparkContext.broadcast((hashed, keys))
             vectors = ids.mapInArrow(_counter(packed_a, packed_b, run_of), VECTORS)
-            summed = tree_sum(vectors, scratch)
+            summed = folded(vectors, _summed, scratch, "counts", keys=("chunk",))
             counts = _dense(summed, hashed.n)
             np.maximum.at(best, (keys % np.uint64(size_b)).astype(np.int64), counts)
             runs.append((first, end, summed))

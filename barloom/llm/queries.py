@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import align, bpe, chosen_path, interleave, langid, lines, quality, quotes, records, templates, urls
+from barloom.llm import align, bpe, chosen_path, interleave, langid, lines, quality, quotes, records, templates, urls, whiten
 from barloom.llm.common import Scratch
 from barloom.llm.sql import ORACLE
 from barloom.session import configure
@@ -116,6 +116,24 @@ def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.alignments(docs, TOKENIZER, PIECES, keep=["doc_id"])
 
 
+def op13_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    fitted = whiten.fit(rows, "embedding")
+    made = whiten.whitened(rows, "embedding", fitted)
+    error = whiten.identity_error(made, fitted)
+    shares = F.array(*[F.lit(e) for e in fitted.explained]) if fitted else F.array().cast("array<double>")
+    placed = made.select("vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened"))
+    return placed.select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        F.lit(fitted.n if fitted else 0).cast("bigint").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(shares, F.col("place")).alias("explained"),
+        F.lit(error).cast("double").alias("identity_error"),
+    )
+
+
 def _ready(fn: Callable) -> Callable:
     @wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,7 +146,7 @@ QUERIES = {
     fn.__name__: _ready(fn)
     for fn in (
         op1_bpe, op2_quotes, op3_langid, op4_quality, op5_templates, op6_lines, op7_near_dup, op8_urls, op9_records,
-        op10_interleave, op11_align,
+        op10_interleave, op11_align, op13_whiten,
     )
 }
 
