@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import align, bpe, chosen_path, interleave, langid, lines, quality, quotes, records, templates, urls, whiten
+from barloom.llm import align, bpe, chosen_path, interleave, langid, lines, neighbours, quality, quotes, records, templates, urls, whiten
 from barloom.llm.common import Scratch
 from barloom.llm.sql import ORACLE
 from barloom.session import configure
@@ -116,6 +116,11 @@ def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.alignments(docs, TOKENIZER, PIECES, keep=["doc_id"])
 
 
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.search(rows, "vec_id", "embedding", F.col("vec_id") % 20 == 0)
+
+
 def op13_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     fitted = whiten.fit(rows, "embedding")
@@ -146,7 +151,8 @@ QUERIES = {
     fn.__name__: _ready(fn)
     for fn in (
         op1_bpe, op2_quotes, op3_langid, op4_quality, op5_templates, op6_lines, op7_near_dup, op8_urls, op9_records,
-        op10_interleave, op11_align, op13_whiten,
+        op10_interleave, op11_align, op12_neighbours,
+        op13_whiten,
     )
 }
 
