@@ -9,7 +9,8 @@
    calibrated: `CALIBRATED` vectors are compared with the whole table, and the share is the
    least at which those find `recall` of their true neighbours.
 5. Cells are cut into blocks of bounded size; every block of candidates meets every block
-   of the queries of its cell, and the nearest are scored again one by one.
+   of the queries of its cell, and the nearest are scored again one by one. A task keeps
+   the nearest of a block of queries over all blocks of candidates that come in a row.
 
 Copies of a vector are one candidate that carries its smallest ids, as many as any query
 can return, and one query whose answer all copies share.
@@ -33,7 +34,7 @@ SAMPLE_BYTES = 32 << 20
 CALIBRATED = 256
 RECALL = 0.95  # of the calibration; the operator promises 0.9
 GRAPH_NEAREST = 10
-CELL_ROWS, MOST_CELLS = 2048, 256  # rows a cell should have; cells beyond which they grow
+LEAST_CELLS, MOST_CELLS = 16, 256  # between them their number grows with the root of the rows
 BLOCK_ROWS, BLOCK_QUERIES = 2048, 512
 HIDDEN, EPOCHS, RATE = 64, 60, 3e-3
 NEAR_TIE = 1e-9  # relative; scores nearer than this are compared by their exact sums
@@ -186,7 +187,7 @@ def learned(distinct: DataFrame, n: int, dims: int) -> Router:
     drawn = _drawn(distinct, n, most, 1).orderBy("hash", "key").select("vector").toArrow()
     sample = _matrix(drawn.column("vector").combine_chunks())
     cells = 1
-    while cells * 2 <= min(MOST_CELLS, n / CELL_ROWS * 1.5, len(sample) / 16):
+    while cells * 2 <= min(MOST_CELLS, max(LEAST_CELLS, n**0.5 / 16), len(sample) / 64):
         cells *= 2
     if cells == 1 or len(sample) < 2:
         return Router(1.0, np.zeros((dims, 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1))
@@ -288,7 +289,7 @@ def _packed(group: pa.Table) -> pa.Table:
 
 
 def nearest_of(queries: np.ndarray, vectors: np.ndarray, keys: np.ndarray, ids: list[list[int]], k: int) -> Iterator[list[tuple]]:
-    """Each query's first `k` rows (score, id, key) by falling score and rising id."""
+    """Each query's first `k` rows (-score, id, key), nearest first, then by id."""
     rough = queries @ vectors.T
     room = NEAR_TIE * np.abs(rough).max(axis=1, initial=0)
     for i, query in enumerate(queries):
@@ -300,21 +301,30 @@ def nearest_of(queries: np.ndarray, vectors: np.ndarray, keys: np.ndarray, ids:
             chosen = np.arange(len(scores))
         exact = products(np.broadcast_to(query, (len(chosen), len(query))), vectors[chosen])
         rows = [(-s, v, int(keys[j])) for s, j in zip(exact.tolist(), chosen) for v in ids[j]]
-        yield [(-s, v, key) for s, v, key in sorted(rows)[:k]]
+        yield sorted(rows)[:k]
 
 
 def _searched(k: int, dims: int):
+    def out(asked: list[int], best: list[list[tuple]]) -> pa.RecordBatch:
+        lines = [(q, key, v, -s) for q, rows in zip(asked, best) for s, v, key in rows]
+        columns = list(zip(*lines)) or [()] * 4
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["q_key", "key", "vec_id", "score"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, best = [], []
         for batch in batches:
-            for pair in range(batch.num_rows):
-                row = {n: batch.column(n)[pair] for n in ("keys", "vectors", "q_keys", "q_vectors")}
-                keys, q_keys = (np.frombuffer(row[n].as_buffer(), np.int64) for n in ("keys", "q_keys"))
-                vectors, queries = (np.frombuffer(row[n].as_buffer(), np.float64).reshape(-1, dims) for n in ("vectors", "q_vectors"))
-                found = nearest_of(queries, vectors, keys, batch.column("ids")[pair].as_py(), k)
-                lines = [(q, key, v, s) for q, rows in zip(q_keys.tolist(), found) for s, v, key in rows]
-                columns = list(zip(*lines)) or [()] * 4
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["q_key", "key", "vec_id", "score"])
+            column = dict(zip(batch.schema.names, batch.columns))
+            for at in range(batch.num_rows):
+                keys, q_keys = (np.frombuffer(column[n][at].as_buffer(), np.int64) for n in ("keys", "q_keys"))
+                vectors, queries = (np.frombuffer(column[n][at].as_buffer(), np.float64).reshape(-1, dims) for n in ("vectors", "q_vectors"))
+                found = list(nearest_of(queries, vectors, keys, column["ids"][at].as_py(), k))
+                if q_keys.tolist() == asked:
+                    best = [sorted(old + new)[:k] for old, new in zip(best, found)]
+                    continue
+                yield out(asked, best)
+                asked, best = q_keys.tolist(), found
+        yield out(asked, best)
 
     return run
 
@@ -372,7 +382,8 @@ def search(rows: DataFrame, id_col: str, vector_col: str, is_query: Column, k: i
     asks = _blocks(routed, asked_of, BLOCK_QUERIES, "hash(key)").applyInArrow(_packed, "cell int, salt int, keys binary, vectors binary")
     asks = asks.select("cell", F.col("keys").alias("q_keys"), F.col("vectors").alias("q_vectors"))
 
-    met = blocks.join(asks, "cell").select("keys", "vectors", "ids", "q_keys", "q_vectors")
+    # A block of queries and then all blocks of its cell: the join walks its left side.
+    met = asks.join(blocks, "cell").select("keys", "vectors", "ids", "q_keys", "q_vectors")
     found = met.mapInArrow(_searched(k + 1, dims), FOUND)
     order = [F.col("score").desc(), F.col("vec_id").asc(), F.col("key").asc()]
     best = found.withColumn("rank", F.row_number().over(Window.partitionBy("q_key").orderBy(*order))).where(F.col("rank") <= k + 1)

@@ -35,12 +35,19 @@ def search(spark, rows, schema=SCHEMA, **more):
     return neighbours.search(df, "vec_id", "embedding", F.col("vec_id") % 20 == 0, **more)
 
 
-def test_query_equals_brute_force(spark):
-    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF_DIR}/embeddings.parquet").collect()]
-    got, want = answers(queries.QUERIES["op12_neighbours"](spark, SF_DIR)), plain(rows)
+def recall(got, want):
+    """The share of true neighbours found; every query has its 20, with their scores."""
     assert set(got) == set(want)
-    for q, rows in got.items():
-        assert [(i, s) for _, i, s in rows] == want[q][0] and [r for r, *_ in rows] == list(range(1, 21))
+    found = total = 0
+    for q, (best,) in want.items():
+        assert [r for r, *_ in got[q]] == list(range(1, len(best) + 1))
+        found, total = found + len({(i, s) for _, i, s in got[q]} & set(best)), total + len(best)
+    return found / total
+
+
+def test_query_finds_nine_in_ten(spark):
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF_DIR}/embeddings.parquet").collect()]
+    assert recall(answers(queries.QUERIES["op12_neighbours"](spark, SF_DIR)), plain(rows)) >= 0.9
 
 
 def test_copies_ties_repeats_and_lengths_of_blocks(spark, monkeypatch):
@@ -76,7 +83,8 @@ def test_empty_table_and_one_row(spark):
 
 @pytest.mark.parametrize("kind", ["clusters", "noise", "one vector in three"])
 def test_recall_in_many_cells(spark, monkeypatch, kind):
-    monkeypatch.setattr(neighbours, "CELL_ROWS", 150)
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 150)
+    monkeypatch.setattr(neighbours, "LEAST_CELLS", 32)
     rng = np.random.default_rng(7)
     v = rng.standard_normal((6000, 16))
     if kind != "noise":
@@ -84,14 +92,7 @@ def test_recall_in_many_cells(spark, monkeypatch, kind):
     if kind == "one vector in three":
         v[::3] = v[0]
     rows = [(i, x) for i, x in enumerate(v.astype(np.float32).tolist())]
-    got, want = answers(search(spark, rows)), plain(rows)
-    assert set(got) == set(want)
-    found = total = 0
-    for q, (best,) in want.items():
-        mine = {(i, s) for _, i, s in got[q]}
-        assert len(got[q]) == 20 and [r for r, *_ in got[q]] == list(range(1, 21))
-        found, total = found + len(mine & set(best)), total + len(best)
-    assert found / total >= 0.9
+    assert recall(answers(search(spark, rows)), plain(rows)) >= 0.9
 
 
 def test_cells_are_balanced_and_follow_the_graph():
