@@ -21,7 +21,7 @@ from barloom.session import shared_dir
 from barloom.sources import frames as fr
 from barloom.streaming import closing_step
 from barloom.streaming.ingest import Ingest
-from barloom.streaming.view_tables import ViewTables
+from barloom.streaming.live_view import LiveViews
 
 QUERIES, ORACLE = {}, {}
 CUT = datetime(2024, 1, 16)
@@ -80,27 +80,25 @@ def stream_stale_points(spark, sf_dir):
     return run(spark, sf_dir, count_loss=False).table("stale").select("arrival", "symbol", "bar_time")
 
 
-@query(
-    sql.with_(
-        f"""{RETAINED},
+VIEWS = f"""
 h AS (SELECT symbol, count(*) AS recent_points, min(bar_time) AS oldest_bar_time,
              max(high) AS recent_high, min(low) AS recent_low FROM held GROUP BY symbol),
 lst AS (SELECT symbol, arg_max(session_date, arrival) AS sd, max(arrival) AS last_arrival,
                arg_max(bar_time, arrival) AS last_bar_time, arg_max(close, arrival) AS last_close
-        FROM so GROUP BY symbol)""",
-        f"""SELECT l.symbol, {sql.day_text("l.sd")} AS session_date, last_arrival, last_bar_time,
-                   last_close, o.bar_time AS open_bar_time, o.open AS open_price, recent_points,
-                   oldest_bar_time, recent_high, recent_low
-            FROM lst l LEFT JOIN opening o ON o.symbol = l.symbol AND o.session_date = l.sd
-            LEFT JOIN h ON h.symbol = l.symbol""",
-    )
-)
-def stream_live_views(spark, sf_dir):
+        FROM so GROUP BY symbol),
+views AS (SELECT l.symbol, {sql.day_text("l.sd")} AS session_date, last_arrival, last_bar_time,
+                 last_close, o.bar_time AS open_bar_time, o.open AS open_price, recent_points,
+                 oldest_bar_time, recent_high, recent_low
+          FROM lst l LEFT JOIN opening o ON o.symbol = l.symbol AND o.session_date = l.sd
+          LEFT JOIN h ON h.symbol = l.symbol)"""
+
+
+def followed(spark, sf_dir) -> LiveViews:
     """The view job over closed bars, which reach it as a stream in two parts."""
     root = f"{shared_dir(spark)}/views-{uuid4().hex}"
     bars = closed_table(spark, sf_dir).select(*closing_step.POINT.fieldNames())
     early = F.col("ts") < F.unix_seconds(F.lit(CUT).cast("timestamp"))
-    views = ViewTables(spark, root, policies(spark), default=(False, 60))
+    job = LiveViews(spark, root, policies(spark), default=(False, 60), width=1 << 10)
     for part in (bars.where(early), bars.where(~early)):
         part.write.mode("append").parquet(f"{root}/bars")
         stream = (
@@ -108,5 +106,34 @@ def stream_live_views(spark, sf_dir):
             .option("maxFilesPerTrigger", 2**31 - 1)
             .parquet(f"{root}/bars")
         )
-        views.start(stream, availableNow=True).awaitTermination()
-    return views.views()
+        job.start(stream, availableNow=True).awaitTermination()
+    return job
+
+
+@query(sql.with_(f"{RETAINED},{VIEWS}", "SELECT * FROM views"))
+def stream_live_views(spark, sf_dir):
+    return followed(spark, sf_dir).views()
+
+
+@query(
+    sql.with_(
+        f"{RETAINED},{VIEWS}".replace("FROM sess),", f"FROM sess WHERE ts < epoch(TIMESTAMP '{CUT}')),"),
+        "SELECT * FROM views",
+    )
+)
+def stream_views_as_of(spark, sf_dir):
+    """The views as they were after the first part."""
+    return followed(spark, sf_dir).views(batch_id=0)
+
+
+@query(
+    sql.with_(
+        RETAINED,
+        f"""SELECT symbol, arrival, bar_time, close, {sql.day_text("session_date")} AS session_date
+            FROM held""",
+    )
+)
+def stream_recent_points(spark, sf_dir):
+    """The points that the views hold, one by one."""
+    held = followed(spark, sf_dir).recent()
+    return held.select("symbol", "arrival", "bar_time", "close", "session_date")

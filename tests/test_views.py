@@ -3,15 +3,17 @@
 import random
 from collections import deque
 from datetime import datetime, timedelta, timezone
+from functools import reduce
 from zoneinfo import ZoneInfo
 
+import numpy as np
 import pytest
 from feed import collect, minute, points
 
+from barloom.operators import retention
 from barloom.operators import snapshot as snap
 from barloom.sources import symbols as sym
 from barloom.streaming import closing_step, live_view
-from barloom.streaming.view_tables import ViewTables
 
 ET = ZoneInfo("America/New_York")
 ROWS = [
@@ -117,42 +119,81 @@ def test_recent_points_per_symbol(spark):
     ]
 
 
-def test_live_view_equals_loop_with_disorder(spark, folder):
+@pytest.mark.parametrize("width", [1, 7, 64, 1 << 14])
+def test_live_views_follow_every_arrival(spark, folder, width):
+    """Disordered times, rows shuffled inside a trigger, segments cut anywhere."""
     rows = recording(4, disorder=True)
-    schema = closing_step.POINT
     numbered = [{"arrival": i, **r} for i, r in enumerate(rows)]
-    for part in (numbered[:200], numbered[200:420], numbered[420:]):
-        points(spark, part).coalesce(1).write.mode("append").parquet(f"{folder}/bars")
-        stream = spark.readStream.schema(schema).parquet(f"{folder}/bars")
-        views = live_view.live_views(stream, policies(spark), default=(False, 60), depth=20)
-        live_view.write_views(views, folder, availableNow=True).awaitTermination()
-    states = loop(rows, 20)
-    got = live_view.latest_views(spark, folder).collect()
-    assert {r["symbol"] for r in got} == set(states)
-    for r in got:
-        st = states[r["symbol"]]
-        assert r["last_arrival"] == st["held"][-1][0]
-        assert r["recent_points"] == len(st["held"])
-        assert r["session_date"] == st["session"]
-        assert (r["open_bar_time"] is None) == (st["open"] is None)
-    assert live_view.latest_views(spark, folder, ["SPY"]).count() == 1
-
-
-def test_view_tables_equal_loop_after_every_batch(spark, folder):
-    rows = recording(5, disorder=False)
-    numbered = [{"arrival": i, **r} for i, r in enumerate(rows)]
-    job = ViewTables(spark, folder, policies(spark), default=(False, 60), depth=20)
-    for batch, (lo, hi) in enumerate(((0, 200), (200, 420), (420, 500))):
-        job.process(points(spark, numbered[lo:hi]), batch)
+    edges = (0, 200, 203, 420, 500)
+    job = live_view.LiveViews(spark, folder, policies(spark), default=(False, 60), depth=20, width=width)
+    for lo, hi in zip(edges, edges[1:]):
+        part = numbered[lo:hi]
+        random.Random(lo).shuffle(part)
+        points(spark, part).repartition(1).write.mode("append").parquet(f"{folder}/bars")
+    stream = spark.readStream.schema(closing_step.POINT).option("maxFilesPerTrigger", 1).parquet(f"{folder}/bars")
+    job.start(stream, availableNow=True).awaitTermination()
+    for batch, hi in enumerate(edges[1:]) if width == 7 else [(None, 500)]:
         states = loop(rows[:hi], 20)
         held = {}
-        for symbol, arrival in collect(job.recent(batch), "symbol", "arrival"):
-            held.setdefault(symbol, set()).add(arrival)
-        assert held == {s: {i for i, _ in st["held"]} for s, st in states.items()}
-        for r in job.views(batch).collect():
+        for symbol, arrival in collect(job.recent(batch).orderBy("arrival"), "symbol", "arrival"):
+            held.setdefault(symbol, []).append(arrival)
+        assert held == {s: [i for i, _ in st["held"]] for s, st in states.items()}
+        got = job.views(batch).collect()
+        assert {r["symbol"] for r in got} == set(states)
+        for r in got:
             st = states[r["symbol"]]
             assert (r["last_arrival"], r["session_date"]) == (st["held"][-1][0], st["session"])
-            assert (r["open_bar_time"] is None) == (st["open"] is None)
+            assert r["recent_points"] == len(st["held"])
+            opened = r["open_bar_time"]
+            assert (opened and opened.replace(tzinfo=timezone.utc)) == st["open"]
+            assert r["oldest_bar_time"].replace(tzinfo=timezone.utc) == min(t for _, t in st["held"])
+    assert job.views(symbols=["SPY"]).count() == 1
+
+
+def walked(reset, depth, session, regular, cut, bars, prices):
+    """What is held after all arrivals, walked one by one."""
+    held, last, opening = [], None, None
+    for i in range(len(session)):
+        if last != session[i]:
+            opening = None
+            if reset:
+                held = []
+        if reset and regular[i] and opening is None:
+            held = []
+        while not reset and held and bars[held[0]] < cut[i]:
+            held.pop(0)
+        last = session[i]
+        if regular[i] and (opening is None or bars[i] < opening[0]):
+            opening = (bars[i], prices[i])
+        held = [*held, i][-depth:]
+    return held, last, opening
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_summaries_join_in_any_grouping(seed):
+    rng = np.random.default_rng(seed)
+    n, depth, reset = int(rng.integers(1, 90)), int(rng.integers(1, 12)), seed % 3 == 0
+    steps = np.cumsum(rng.integers(0, 3, n)) if seed % 2 else rng.integers(0, 40, n)
+    bars = steps + rng.integers(-4, 5, n) * (rng.random(n) < 0.3)
+    session = bars // 10
+    regular, cut = bars > session * 10 + 4, session * 10 + 4 - rng.integers(0, 6)
+    if seed % 4 == 3:
+        cut = rng.integers(-5, 40, n)
+    values = {"arrival": np.arange(n), "bar_us": bars, "open": rng.random(n)}
+    want = walked(reset, depth, session, regular, cut, bars, values["open"])
+    edges = [0, *sorted(rng.integers(0, n + 1, 4).tolist()), n]
+    runs = [
+        retention.summed(reset, depth, session[a:b], regular[a:b], cut[a:b], {c: v[a:b] for c, v in values.items()})
+        for a, b in zip(edges, edges[1:])
+    ]
+    empty = retention.Summary(reset, depth)
+    right = empty
+    for run in reversed(runs):
+        right = retention.then(run, right)
+    middle = retention.then(retention.then(runs[0], runs[1]), retention.then(retention.then(runs[2], runs[3]), runs[4]))
+    for made in (reduce(retention.then, runs, empty), right, middle, reduce(retention.follow, runs, empty)):
+        opening = None if made.open_us is None else (made.open_us, made.open_price)
+        assert (made.held["arrival"].tolist(), made.session, opening) == want
 
 
 def test_long_top_lists_are_cut_in_salted_parts(spark):
