@@ -38,10 +38,14 @@ from barloom.llm.trees import folded
 
 MOST_PAIRS = 1 << 21  # pairs of one run; 8 bytes each for key and count, 1 for the hash
 CHUNK = 1 << 14  # counts of a vector that travel together
-REMEMBERED = 100_000  # parts of texts whose ids a task remembers
+REMEMBERED = 150_000  # parts of texts whose alignment a task remembers, and as many older ones
+SHORT = 64  # characters of a part that is remembered
 SPACE = "▁"
 
-_PARTS = re.compile(r" *[^ ]+| +")
+_LETTERS, _MARKS = "[A-Za-zÀ-ÖØ-öø-ÿ]", "[.,!?%&$#*]"
+# Letters up to white space or a mark; marks up to white space; anything up to white space.
+_PARTS = re.compile(rf"[ \n]*{_LETTERS}+(?=[ \n]|{_MARKS}|\Z)|{_MARKS}+(?=[ \n]|\Z)|[ \n]*[^ \n]+|[ \n]+")
+_OTHER_SPACE = re.compile(r"[^\S \n]")
 ENCODED = T.StructType(
     [
         T.StructField("a", T.BinaryType()),
@@ -66,10 +70,11 @@ def piece_bytes(content: bytes) -> list[bytes]:
 
 
 def cuts_at_spaces(content: bytes) -> bool:
-    """Whether a text may be cut before its runs of spaces and encoded part by part.
+    """Whether a text may be encoded in the parts of `_PARTS`.
 
     So it is if the model leaves the text as it is, puts one space in front, and has no
-    piece that goes on after a space behind another character: no merge crosses the cut.
+    piece with a line feed, a space behind another character or a mark behind a letter: no
+    merge crosses.
     """
     model = sentencepiece_model_pb2.ModelProto.FromString(content)
     norm = model.normalizer_spec
@@ -77,36 +82,29 @@ def cuts_at_spaces(content: bytes) -> bool:
     types = {p.type for p in model.pieces}
     own = sentencepiece_model_pb2.ModelProto.SentencePiece.USER_DEFINED in types
     bpe_model = model.trainer_spec.model_type == sentencepiece_model_pb2.TrainerSpec.BPE
-    crossing = any(re.search(f"[^{SPACE}]{SPACE}", p.piece) for p in model.pieces)
+    crossing = any(re.search(f"[^{SPACE}]{SPACE}|\n|{_LETTERS}{_MARKS}", p.piece) for p in model.pieces)
     return bool(plain and bpe_model and not own and not crossing)
 
 
 class PieceEncoder:
-    """Ids of texts by a sentencepiece model; equal parts are given to the library once."""
+    """Ids of parts of texts by a sentencepiece model, the text's first space included."""
 
     def __init__(self, content: bytes):
         self.model = sentencepiece.SentencePieceProcessor(model_proto=content)
         self.cuts = cuts_at_spaces(content)
-        self.known: dict[str, bytes] = {}
-        self.one_space = array("i", [self.model.piece_to_id(SPACE)]).tobytes()
-
-    def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
-        if not self.cuts:
-            for text in texts:
-                yield np.array(self.model.encode(text, num_threads=1), np.int32)
-            return
-        cut = [_PARTS.findall(f" {text}") if text else [] for text in texts]
-        if not self.known or len(self.known) > REMEMBERED:
-            self.known = {" ": self.one_space}  # what the library makes of nothing is nothing
-        new = list(set(chain.from_iterable(cut)).difference(self.known))
-        # Each part begins with a space, as the model puts one in front.
-        for part, ids in zip(new, self.model.encode([p[1:] for p in new], num_threads=1) if new else ()):
-            self.known[part] = array("i", ids).tobytes()
-        for parts in cut:
-            yield np.frombuffer(b"".join(map(self.known.__getitem__, parts)), np.int32)
-        for part in new:
-            if len(part) > 64:
-                del self.known[part]
+        self.space = self.model.piece_to_id(SPACE)
+
+    def __call__(self, parts: list[str]) -> list[list[int]]:
+        # The model puts a space in front. That is the part's own; one without gets a line
+        # feed behind it, which joins nothing, and both are taken off again.
+        texts = [p[1:] if p[0] == " " else f"\n{p}" for p in parts]
+        ids = self.model.encode(texts, num_threads=1) if parts else []
+        for i, part in enumerate(parts):
+            if part == " ":  # the library makes nothing of nothing
+                ids[i] = [self.space]
+            elif part[0] != " ":
+                del ids[i][:2]
+        return ids
 
 
 class Pair:
@@ -118,67 +116,128 @@ class Pair:
         self.length_b = np.array([len(x) for x in self.b], np.int64)
         self.width_a, self.width_b = (2 if len(x) <= 1 << 16 else 4 for x in (self.a, self.b))
 
-    def packed(self, a: np.ndarray, b: np.ndarray) -> tuple[bytes, bytes]:
-        return a.astype(f"<u{self.width_a}").tobytes(), b.astype(f"<u{self.width_b}").tobytes()
-
-    def unpacked(self, a: bytes, b: bytes) -> tuple[np.ndarray, np.ndarray]:
-        return tuple(np.frombuffer(x, f"<u{w}").astype(np.int64) for x, w in ((a, self.width_a), (b, self.width_b)))
+    def unpacked(self, a: pa.Array, b: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of several texts in a row, and the number of A's in each."""
+        ids = [np.frombuffer(b"".join(x.to_pylist()), f"<u{w}") for x, w in ((a, self.width_a), (b, self.width_b))]
+        return *ids, np.array([len(x) // self.width_a for x in a.to_pylist()], np.int64)
 
     def links(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the tokens of A and of B that end together; no token is empty."""
+        """Places of the tokens of A and of B that end together.
+
+        No token is empty, and both sides of each text have as many bytes, so texts in a
+        row are aligned like one.
+        """
         end_a, end_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
         at = np.searchsorted(end_b, end_a)
-        both = at < len(end_b)
-        both[both] = end_b[at[both]] == end_a[both]
-        last_a = np.flatnonzero(both)
+        last_a = np.flatnonzero(end_b[at] == end_a)
         return last_a, at[last_a]
 
-    def keys(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """One number per link: its A id times the size of B, plus its B id."""
+    def keys(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place in A of each link and one number for its pair: A's id, then B's."""
         last_a, last_b = self.links(a, b)
-        return a[last_a].astype(np.uint64) * np.uint64(len(self.b)) + b[last_b].astype(np.uint64)
+        return last_a, a[last_a].astype(np.uint64) * np.uint64(len(self.b)) + b[last_b].astype(np.uint64)
 
 
-class GroupText:
-    """Writes groups as `a1,a2|b1;a3|b2,b3`."""
+class Aligner:
+    """Ids and groups of texts; equal parts are encoded and aligned once.
 
-    def __init__(self, ids: int):
-        # Each id's digits with what may follow: more of its side, the other side, a group.
-        self.ids, self.text = ids, [f"{i}{end}" for end in ",|;" for i in range(ids)]
+    Where both tokenizers may be cut, their tokens end together, so a text's groups are
+    those of its parts in a row. Texts with other white space are one part.
+    """
 
-    def __call__(self, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> str:
-        side = np.repeat([0, 1], [len(a), len(b)])
+    def __init__(self, pair: Pair, a: bytes, b: bytes):
+        self.pair, self.ids_a, self.ids_b = pair, bpe.Encoder(a), PieceEncoder(b)
+        self.known: dict[str, tuple | None] = {}
+        self.older: dict[str, tuple | None] = {}
+        # Each id's digits with what may follow: more of its side, the other side, a group.
+        self.ids = max(len(pair.a), len(pair.b))
+        self.digits = [f"{i}{end}" for end in ",|;" for i in range(self.ids)]
+
+    def _encoded(self, parts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        short = [p for p in parts if len(p) <= SHORT and not _OTHER_SPACE.search(p)]
+        self.ids_a.learn(set(short))
+        found = dict(zip(short, map(self.ids_a.known.pop, short)))
+        long = [p for p in parts if p not in found]
+        found.update(zip(long, self.ids_a(long)))
+        return [np.frombuffer(found[p], np.int32) for p in parts], [np.array(i, np.int32) for i in self.ids_b(parts)]
+
+    def _learn(self, parts: list[str]) -> None:
+        """Encode and align new parts, all of them in a row; None for those not given back."""
+        every_a, every_b = self._encoded(parts)
+        tables = (self.pair.a, every_a), (self.pair.b, every_b)
+        whole = "".join(parts).encode()
+        if any(b"".join(map(table.__getitem__, np.concatenate(ids).tolist())) != whole for table, ids in tables):
+            for i, part in enumerate(parts):
+                if any(b"".join([table[t] for t in ids[i]]) != part.encode() for table, ids in tables):
+                    self.known[part] = None
+            good = [i for i, part in enumerate(parts) if part not in self.known]
+            if not good:
+                return
+            parts, every_a, every_b = ([x[i] for i in good] for x in (parts, every_a, every_b))
+        a, b = np.concatenate(every_a), np.concatenate(every_b)
+        last_a, last_b = self.pair.links(a, b)
+        ends_a, ends_b = (np.cumsum([len(i) for i in ids]) for ids in (every_a, every_b))
         group = np.concatenate([np.searchsorted(last_a, np.arange(len(a))), np.searchsorted(last_b, np.arange(len(b)))])
+        side = np.repeat([0, 1], [len(a), len(b)])
         order = np.argsort(2 * group + side, kind="stable")
         ids, side, group = np.concatenate([a, b])[order], side[order], group[order]
-        ends = np.zeros(len(ids), np.int64)
-        ends[:-1] = np.where(group[1:] != group[:-1], 2, side[1:] != side[:-1])
-        return "".join(map(self.text.__getitem__, (ids + ends * self.ids).tolist()))[:-1]
+        follows = np.full(len(ids), 2)
+        follows[:-1] = np.where(group[1:] != group[:-1], 2, side[1:] != side[:-1])
+        written = list(map(self.digits.__getitem__, (ids + follows * self.ids).tolist()))
+        size_a, size_b = self.pair.width_a, self.pair.width_b
+        bytes_a, bytes_b = a.astype(f"<u{size_a}").tobytes(), b.astype(f"<u{size_b}").tobytes()
+        links = np.searchsorted(last_a, ends_a).tolist()
+        i = j = n = 0
+        for part, end_a, end_b, link in zip(parts, ends_a.tolist(), ends_b.tolist(), links):
+            groups = "".join(written[i + j : end_a + end_b])
+            self.known[part] = bytes_a[i * size_a : end_a * size_a], bytes_b[j * size_b : end_b * size_b], link - n, groups
+            i, j, n = end_a, end_b, link
+
+    def __call__(self, texts: list[str]) -> Iterator[tuple | None]:
+        """The columns of each text in turn; None for one without tokens."""
+        cut = []
+        for text in texts:
+            if not text:
+                cut.append([])
+            elif self.ids_b.cuts and not _OTHER_SPACE.search(text):
+                cut.append(_PARTS.findall(f" {text}"))
+            else:
+                cut.append([f" {text}"])
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
+        missing = set(chain.from_iterable(cut)).difference(self.known)
+        again = missing.intersection(self.older)
+        self.known.update(zip(again, map(self.older.__getitem__, again)))
+        new = list(missing.difference(again))
+        if new:
+            self._learn(new)
+        for parts in cut:
+            found = list(map(self.known.__getitem__, parts))
+            if not found or None in found:
+                yield None
+                continue
+            a, b, links, groups = zip(*found)
+            yield b"".join(a), b"".join(b), sum(links), "".join(groups)[:-1]
+        for part in new:
+            if len(part) > SHORT:
+                del self.known[part]
 
 
 def _encoder(packed_a, packed_b, with_groups: bool):
     @F.arrow_udf(ENCODED)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         pair = Pair(packed_a.value, packed_b.value)
-        ids_a, ids_b = bpe.Encoder(packed_a.value), PieceEncoder(packed_b.value)
-        ids_a.LIMIT = REMEMBERED
-        text_of = GroupText(max(len(pair.a), len(pair.b)))
+        aligned = Aligner(pair, packed_a.value, packed_b.value)
         none = (b"", b"", 0, 0, 0, "" if with_groups else None, "")
         for batch in batches:
             out = []
-            texts = [t or "" for t in batch.to_pylist()]
-            for text, a, b in zip(texts, ids_a([f" {t}" for t in texts]), ids_b(texts)):
-                whole = f" {text}".encode()
-                same = text and all(
-                    b"".join(map(table.__getitem__, ids.tolist())) == whole for table, ids in ((pair.a, a), (pair.b, b))
-                )
-                if not same:
+            for found in aligned([t or "" for t in batch.to_pylist()]):
+                if found is None:
                     out.append(none)
                     continue
-                last_a, last_b = pair.links(a, b)
-                groups = text_of(a, b, last_a, last_b)
+                a, b, links, groups = found
                 digest = hashlib.sha256(groups.encode()).hexdigest()
-                out.append((*pair.packed(a, b), len(a), len(b), len(last_a), groups if with_groups else None, digest))
+                out.append((a, b, len(a) // pair.width_a, len(b) // pair.width_b, links, groups if with_groups else None, digest))
             columns = zip(*out) if out else [()] * len(ENCODED)
             yield pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _FIELDS)], fields=_FIELDS)
 
@@ -196,23 +255,14 @@ def _pairs(packed_a, packed_b):
     """Arrow function: packed ids to the distinct pairs linked in them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair, held, n = Pair(packed_a.value, packed_b.value), [], 0
-
-        def out():
-            return pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(held)).view(np.int64))], ["key"])
-
+        pair, held = Pair(packed_a.value, packed_b.value), np.empty(0, np.uint64)
         for batch in batches:
-            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                held.append(np.unique(pair.keys(*pair.unpacked(a, b))))
-                n += len(held[-1])
-                if n > 1 << 20:
-                    held = [np.unique(np.concatenate(held))]
-                    n = len(held[0])
-                    if n > 1 << 19:
-                        yield out()
-                        held, n = [], 0
-        if held:
-            yield out()
+            a, b, _ = pair.unpacked(*batch.columns)
+            held = np.union1d(held, pair.keys(a, b)[1])
+            if len(held) > 1 << 20:
+                yield pa.RecordBatch.from_arrays([pa.array(held.view(np.int64))], ["key"])
+                held = held[:0]
+        yield pa.RecordBatch.from_arrays([pa.array(held.view(np.int64))], ["key"])
 
     return run
 
@@ -221,13 +271,12 @@ def _counter(packed_a, packed_b, run_of):
     """Arrow function: packed ids to the chunks of one dense vector of counts a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-
         pair, (hashed, keys) = Pair(packed_a.value, packed_b.value), run_of.value
         counts = np.zeros(-(-hashed.n // CHUNK) * CHUNK, np.int64)
         for batch in batches:
-            texts = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            found = [pair.keys(*pair.unpacked(a, b)) for a, b in texts]
-            counts += np.bincount(_numbers(hashed, keys, np.concatenate(found))[1], minlength=len(counts))
+            a, b, _ = pair.unpacked(*batch.columns)
+            number = _numbers(hashed, keys, pair.keys(a, b)[1])[1]
+            counts += np.bincount(number, minlength=len(counts))
         part = TaskContext.get().partitionId()
         for i, chunk in enumerate(counts.reshape(-1, CHUNK)):
             if chunk.any():
@@ -258,15 +307,14 @@ def _finder(packed_a, packed_b, run_of, best):
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         pair, (hashed, keys, counts), most = Pair(packed_a.value, packed_b.value), run_of.value, best.value
         for left, right in batches:
-            out = []
-            for a, b in zip(left.to_pylist(), right.to_pylist()):
-                wanted = pair.keys(*pair.unpacked(a, b))
-                mine, number = _numbers(hashed, keys, wanted)
-                count = counts[number]
-                highest = count == most[(wanted[mine] % np.uint64(len(most))).astype(np.int64)]
-                out.append((int(highest.sum()), int(count.sum())))
-            columns = zip(*out) if out else [()] * 2
-            yield pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], ["n_best", "count_sum"])
+            a, b, sizes = pair.unpacked(left, right)
+            place, wanted = pair.keys(a, b)
+            mine, number = _numbers(hashed, keys, wanted)
+            count = counts[number]
+            highest = count == most[(wanted[mine] % np.uint64(len(most))).astype(np.int64)]
+            ends = np.searchsorted(place[mine], np.cumsum(sizes))  # links of the texts so far
+            sums = [np.diff(np.concatenate([[0], np.cumsum(x)])[ends], prepend=0) for x in (highest, count)]
+            yield pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in sums], ["n_best", "count_sum"])
 
     return run
 

@@ -136,7 +136,8 @@ class Encoder:
         self.word.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.known: dict[str, bytes] = {}  # ids as 32-bit integers
 
-    def _learn(self, parts: set[str]) -> None:
+    def learn(self, parts: set[str]) -> None:
+        """Encode parts of texts that need no further cutting."""
         words = [p for p in parts if _ONE_WORD.fullmatch(p)]
         others = list(parts.difference(words))
         for tok, group in ((self.word, words), (self.whole, others)):
@@ -153,7 +154,7 @@ class Encoder:
                 self.known.clear()
             cut = [[part] if _OTHER_SPACE.search(part) else _PARTS.findall(part) for _, part in group]
             every = set(chain.from_iterable(cut))
-            self._learn(every.difference(self.known))
+            self.learn(every.difference(self.known))
             for (i, _), parts in zip(group, cut):
                 if i != current:
                     yield np.frombuffer(b"".join(made), np.int32)

@@ -84,16 +84,20 @@ def test_alignments_equal_a_plain_loop(spark, monkeypatch, most_pairs):
         assert tuple(got[i][c] for c in COLUMNS) == want[i] and got[i].text == text
 
 
-def test_parts_give_the_ids_of_the_whole_text(spark, monkeypatch):
+def test_parts_give_the_ids_of_the_whole_text(monkeypatch):
     monkeypatch.setattr(align, "REMEMBERED", 5)
-    content = open(queries.PIECES, "rb").read()
-    assert align.cuts_at_spaces(content)
-    encoder = align.PieceEncoder(content)
-    texts = [r[1] or "" for r in fixtures.rows()] + ODD + ["", "word " * 300_000, "x" * 200_000]
-    for _ in range(2):
-        assert all(np.array_equal(i, B.encode(t)) for t, i in zip(texts, encoder(texts)))
-    encoder.cuts = False
-    assert [list(i) for i in encoder(ODD)] == [B.encode(t) for t in ODD]
+    files = [open(f, "rb").read() for f in (queries.TOKENIZER, queries.PIECES)]
+    assert align.cuts_at_spaces(files[1])
+    aligner = align.Aligner(align.Pair(*files), *files)
+    texts = [r[1] or "" for r in fixtures.rows()] + ODD + [" \n x", "a\n\n b \n", "word " * 300_000, "x" * 200_000]
+    for cuts in (True, True, False):
+        aligner.ids_b.cuts = cuts
+        for text, found in zip(texts, aligner(texts)):
+            if found is None:
+                assert plain([text])[0][0] == 0
+                continue
+            assert np.array_equal(np.frombuffer(found[0], "<u2"), A.encode(" " + text, add_special_tokens=False).ids)
+            assert np.array_equal(np.frombuffer(found[1], "<u2"), B.encode(text))
 
 
 def test_empty_and_null_tables(spark, no_docs):
