@@ -22,6 +22,7 @@ from barloom.sources import frames as fr
 from barloom.streaming import closing_step
 from barloom.streaming.ingest import Ingest
 from barloom.streaming.live_view import LiveViews
+from barloom.streaming.loss import LossCounter, caught_up
 
 QUERIES, ORACLE = {}, {}
 CUT = datetime(2024, 1, 16)
@@ -37,23 +38,37 @@ def query(oracle: str | None = None):
     return register
 
 
-def run(spark, sf_dir, max_files=2**31 - 1, **parts) -> Ingest:
-    """Land the frames up to a day, then the rest; the job catches up after each."""
-    root = f"{shared_dir(spark)}/ingest-{uuid4().hex}"
-    job = Ingest(spark, root, ad.symbols(spark), **parts)
+def landings(spark, sf_dir, root):
+    """Land the frames up to a day, then the rest; a stream of them after each part."""
     frames = ad.frames(spark, sf_dir)
     early = F.col("landed_at").cast("timestamp_ntz") < F.lit(CUT)
     for part in (frames.where(early), frames.where(~early)):
         fr.write_frames(part, f"{root}/landing")
-        stream = fr.stream_frames(spark, f"{root}/landing", max_files=max_files)
+        yield fr.stream_frames(spark, f"{root}/landing", max_files=2**31 - 1)
+
+
+def run(spark, sf_dir, **parts) -> Ingest:
+    """The closing job; it catches up after each part."""
+    root = f"{shared_dir(spark)}/ingest-{uuid4().hex}"
+    job = Ingest(spark, root, ad.symbols(spark), **parts)
+    for stream in landings(spark, sf_dir, root):
         job.start(stream, availableNow=True).awaitTermination()
     return job
 
 
+def counted(spark, sf_dir) -> LossCounter:
+    """The counting job, stopped when it has caught up with each part."""
+    root = f"{shared_dir(spark)}/loss-{uuid4().hex}"
+    job = LossCounter(spark, f"{root}/job", ad.symbols(spark), width=1 << 12)
+    for stream in landings(spark, sf_dir, root):
+        caught_up(job.start(stream, processingTime="500 milliseconds")).stop()
+    return job
+
+
 @query(sql.with_(CLOSED, f"SELECT {POINT_LIST} FROM closed"))
 def stream_closed_bars(spark, sf_dir):
     """Bars closed by the live job, and those waiting when it stopped."""
-    job = run(spark, sf_dir, count_loss=False)
+    job = run(spark, sf_dir)
     closed = job.table("closed").drop("batch")
     return closed.unionByName(job.drained()).drop("wall_clock_skipped", "wall_clock_repeated")
 
@@ -67,7 +82,27 @@ def stream_closed_bars(spark, sf_dir):
     )
 )
 def stream_messages_lost(spark, sf_dir):
-    return run(spark, sf_dir, close_bars=False).messages_lost()
+    return counted(spark, sf_dir).messages_lost().select("topic", "frames", "messages_lost")
+
+
+@query(
+    sql.with_(
+        STEPS,
+        """SELECT topic, count(*) AS frames,
+             CAST(sum(greatest(coalesce(seq - expected, 0), 0)) AS BIGINT) AS messages_lost,
+             count(*) FILTER (seq > expected) AS gaps, count(*) FILTER (seq < expected) AS regressions,
+             count(*) FILTER (expected IS NULL) AS baselines
+           FROM seq_steps GROUP BY topic""",
+    )
+)
+def stream_loss_totals(spark, sf_dir):
+    return counted(spark, sf_dir).messages_lost()
+
+
+@query(sql.with_(STEPS, "SELECT sid, topic, max(seq) AS seq FROM seq_steps GROUP BY ALL"))
+def stream_live_counters(spark, sf_dir):
+    """The sessions that the counting job still knows."""
+    return counted(spark, sf_dir).counters().select("sid", "topic", "seq")
 
 
 @query(
@@ -77,7 +112,7 @@ def stream_messages_lost(spark, sf_dir):
     )
 )
 def stream_stale_points(spark, sf_dir):
-    return run(spark, sf_dir, count_loss=False).table("stale").select("arrival", "symbol", "bar_time")
+    return run(spark, sf_dir).table("stale").select("arrival", "symbol", "bar_time")
 
 
 VIEWS = f"""

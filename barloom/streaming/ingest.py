@@ -1,4 +1,4 @@
-"""The live job: frames to closed bars, loss counts and dead letters.
+"""The live job: frames to closed bars and dead letters; `loss` counts lost messages.
 
 Every micro-batch runs the batch operators on its rows and the state tables. All
 outputs are one folder per batch and replaced on a retry, so they hold each batch
@@ -16,24 +16,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from barloom.functions import whole
 from barloom.operators import decode as dec
-from barloom.operators import merge, sequence
+from barloom.operators import merge
 from barloom.operators.ordered import SEGMENT_WIDTH
 from barloom.schemas import CHART
 from barloom.streaming import closing_step
 from barloom.streaming.sinks import Writer, fan_out
 from barloom.streaming.state import StateTable, latest_batch
 
-COUNTERS = T.StructType(
-    [
-        T.StructField("sid", T.LongType()),
-        T.StructField("topic", T.StringType()),
-        T.StructField("seq", T.LongType()),
-        T.StructField("frames", T.LongType()),
-        T.StructField("lost", T.LongType()),
-    ]
-)
 SEALED = T.StructType(
     [
         T.StructField("symbol", T.StringType()),
@@ -49,8 +39,7 @@ class Ingest:
     """A restartable job under one `root` folder.
 
     `clock` gives the time by which quiet charts are closed; without it a bar
-    waits for its successor. `width` is the segment width of ordered scans. A job
-    may do without loss counts or without closing bars.
+    waits for its successor. `width` is the segment width of ordered scans.
     """
 
     def __init__(
@@ -61,18 +50,13 @@ class Ingest:
         sinks: Sequence[tuple[str, Writer]] = (),
         clock: Callable[[], datetime] | None = None,
         width: int = SEGMENT_WIDTH,
-        count_loss: bool = True,
-        close_bars: bool = True,
     ) -> None:
         self.root = root.rstrip("/")
         self._spark = spark
         self._subscribed = subscribed
-        self._count_loss = count_loss
-        self._close_bars = close_bars
         self._sinks = list(sinks)
         self._clock = clock
         self._width = width
-        self._counters = StateTable(spark, f"{self.root}/state/counters", COUNTERS)
         self._charts = StateTable(spark, f"{self.root}/state/charts", closing_step.CHART_STATE)
         self._sealed = StateTable(spark, f"{self.root}/state/sealed", SEALED)
 
@@ -91,20 +75,7 @@ class Ingest:
         decoded = self._table("decoded", batch_id, dec.decode(frames, self._subscribed))
         self._table("refused", batch_id, dec.refused(decoded))
         self._table("announcements", batch_id, dec.announcements(decoded))
-        if self._count_loss:
-            self._count(decoded, batch_id)
-        if self._close_bars:
-            self._close(dec.points(decoded), batch_id)
-
-    def _count(self, decoded: DataFrame, batch_id: int) -> None:
-        before = self._counters.before(batch_id)
-        steps = sequence.steps(dec.observed(decoded), before.select("sid", "topic", "seq"), self._width)
-        steps = self._table("sequence", batch_id, steps)
-        after = before.unionByName(sequence.counters(steps)).groupBy("sid", "topic")
-        self._counters.put(
-            batch_id,
-            after.agg(F.max("seq").alias("seq"), F.sum("frames").alias("frames"), whole.total(F.col("lost")).alias("lost")),
-        )
+        self._close(dec.points(decoded), batch_id)
 
     def _close(self, points: DataFrame, batch_id: int) -> None:
         now = None
@@ -135,14 +106,6 @@ class Ingest:
         """The last batch that is complete."""
         return latest_batch(self._spark, f"{self.root}/checkpoint")
 
-    def messages_lost(self, batch_id: int | None = None) -> DataFrame:
-        """Loss per topic after a batch, the last one by default, over the whole run."""
-        last = self.latest() if batch_id is None else batch_id
-        counters = self._counters.before(0 if last is None else last + 1)
-        return counters.groupBy("topic").agg(
-            F.sum("frames").alias("frames"), whole.total(F.col("lost")).alias("messages_lost")
-        )
-
     def drained(self) -> DataFrame:
         """Bars still waiting after the last batch; a stopped replay adds these."""
         last = self.latest()
