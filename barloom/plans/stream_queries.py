@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime
 from uuid import uuid4
 
 from pyspark.sql import functions as F
@@ -14,19 +13,20 @@ from barloom.plans.wire_queries import (
     POINT_LIST,
     RETAINED,
     STEPS,
+    CUT,
     closed_table,
     policies,
 )
 from barloom.session import shared_dir
 from barloom.sources import frames as fr
+from barloom.sources import store
 from barloom.streaming import closing_step
 from barloom.streaming.ingest import Ingest
 from barloom.streaming.live_view import LiveViews
 from barloom.streaming.loss import LossCounter, caught_up
+from barloom.streaming.sinks import Handlers, store_sink, table_sink
 
 QUERIES, ORACLE = {}, {}
-CUT = datetime(2024, 1, 16)
-
 
 def query(oracle: str | None = None):
     def register(fn):
@@ -115,6 +115,70 @@ def stream_stale_points(spark, sf_dir):
     return run(spark, sf_dir).table("stale").select("arrival", "symbol", "bar_time")
 
 
+GIVEN = f"""{CLOSED},
+dated AS (SELECT *, CAST({sql.et("bar_time")} AS DATE) AS day FROM closed),
+given AS (
+  SELECT * EXCLUDE (day) FROM (
+    SELECT *, max(day) OVER (PARTITION BY symbol, bar_type, bar_interval ORDER BY arrival
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM dated)
+  WHERE NOT coalesce(day < newest, false))"""
+
+
+class Flaky:
+    """A sink that cannot be reached the first times."""
+
+    def __init__(self, sink, failures: int) -> None:
+        self._sink, self._left = sink, failures
+
+    def __call__(self, bars, batch_id: int) -> None:
+        self._left -= 1
+        if self._left >= 0:
+            raise ConnectionError("not there yet")
+        self._sink(bars, batch_id)
+
+
+@query(
+    sql.with_(GIVEN, "SELECT sink, arrival, symbol, bar_time, close FROM given CROSS JOIN (VALUES ('steady'), ('flaky')) s(sink)")
+)
+def stream_sinks(spark, sf_dir):
+    """What two sinks hold in the end, one of which failed on its first two calls."""
+    out = f"{shared_dir(spark)}/sinks-{uuid4().hex}"
+    steady, flaky = (table_sink(f"{out}/sink={name}") for name in ("steady", "flaky"))
+    run(spark, sf_dir, sinks=[("flaky", Flaky(flaky, 2)), ("steady", steady)]).drain()
+    return spark.read.parquet(out).select("sink", "arrival", "symbol", "bar_time", "close")
+
+
+@query(
+    sql.with_(
+        GIVEN,
+        """SELECT 'any' AS handler, arrival, symbol, bar_time FROM given
+           UNION ALL SELECT 'error', arrival, symbol, bar_time FROM given WHERE symbol = 'error'""",
+    )
+)
+def stream_handlers(spark, sf_dir):
+    """What functions registered for one symbol and for all were called with; one that
+    always fails and one that was taken back are beside them."""
+    out = f"{shared_dir(spark)}/handlers-{uuid4().hex}"
+    handlers = Handlers()
+    gone = table_sink(f"{out}/handler=gone")
+    handlers.on("view", gone)
+    handlers.on_any(Flaky(gone, 2**31))
+    handlers.on("error", table_sink(f"{out}/handler=error"))
+    handlers.on_any(table_sink(f"{out}/handler=any"))
+    handlers.remove(gone, "view")
+    run(spark, sf_dir, sinks=[("handlers", handlers)]).drain()
+    return spark.read.parquet(out).select("handler", "arrival", "symbol", "bar_time")
+
+
+@query(sql.with_(GIVEN, "SELECT bar_type AS bartype, bar_interval AS \"interval\", symbol, bar_time, close, el_volume FROM given WHERE bar_type = 1"))
+def stream_store(spark, sf_dir):
+    """The store that the live job has filled, batch by batch and drained."""
+    root = f"{shared_dir(spark)}/live-store-{uuid4().hex}"
+    run(spark, sf_dir, sinks=[("store", store_sink(f"{root}/store", f"{root}/staging"))]).drain()
+    charts = [store.scan(spark, f"{root}/store", 1, minutes) for minutes in (15, 60)]
+    return charts[0].unionByName(charts[1]).select("bartype", "interval", "symbol", "bar_time", "close", "el_volume")
+
+
 VIEWS = f"""
 h AS (SELECT symbol, count(*) AS recent_points, min(bar_time) AS oldest_bar_time,
              max(high) AS recent_high, min(low) AS recent_low FROM held GROUP BY symbol),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +17,7 @@ from barloom.operators import (
     decode as dec,
     merge,
     quality,
+    sealing,
     sequence,
     snapshot as snap,
     wire_report,
@@ -410,6 +414,61 @@ def late_rows(spark, sf_dir):
     )
 
 
+# Bars in two parts, with the clock far beyond the first part's days in between.
+CUT = datetime(2024, 1, 16)
+CLOCKS = (datetime(2024, 1, 16, 0, 1), datetime(2024, 6, 1), datetime(2024, 6, 2))
+SEALING = f"""{CLOSED},
+parts AS (SELECT *, CAST({sql.et("bar_time")} AS DATE) AS day, ts < epoch(TIMESTAMP '{CUT}') AS early FROM closed),
+walk AS (
+  SELECT *, max(day) OVER (PARTITION BY symbol, bar_type, bar_interval ORDER BY early DESC, arrival
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest,
+         max(CASE WHEN early THEN day END) OVER (PARTITION BY symbol, bar_type, bar_interval) AS sealed
+  FROM parts),
+sorted_out AS (
+  SELECT *, coalesce(day < newest, false) OR (NOT early AND coalesce(day <= sealed, false)) AS late FROM walk)"""
+
+
+def sealed_in_steps(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Rows marked late or not, and days as they are sealed, over both parts and a last tick."""
+    bars = closed_table(spark, sf_dir)
+    early = F.col("ts") < F.unix_seconds(F.lit(CUT).cast("timestamp"))
+    state = spark.createDataFrame([], sealing.STATE)
+    marked, days = [], []
+    for clock, part in zip(CLOCKS, (bars.where(early), bars.where(~early), bars.limit(0))):
+        now = F.lit(clock).cast("timestamp")
+        aged = staged(sealing.quiet_days(state, now), "aged")
+        rows = staged(sealing.split(part, aged), "split")
+        marked.append(rows)
+        days.append(sealing.newly_sealed(state, aged, rows))
+        state = staged(sealing.next_state(aged, rows, now), "sealed")
+    return reduce(DataFrame.unionByName, marked), reduce(DataFrame.unionByName, days)
+
+
+@query(
+    sql.with_(
+        SEALING,
+        f"""SELECT arrival, symbol, bar_time, {sql.day_text("day")} AS day, late FROM sorted_out""",
+    )
+)
+def late_after_quiet(spark, sf_dir):
+    """Late rows where a day is sealed by a later day or by having been quiet."""
+    return sealed_in_steps(spark, sf_dir)[0].select("arrival", "symbol", "bar_time", "day", "late")
+
+
+@query(
+    sql.with_(
+        f"""{SEALING},
+taken AS (SELECT DISTINCT symbol, bar_type, bar_interval, early, day FROM sorted_out WHERE NOT late)""",
+        f"""SELECT symbol, bar_type, bar_interval, {sql.day_text("day")} AS day,
+                   CASE WHEN day < max(day) OVER (PARTITION BY symbol, bar_type, bar_interval, early)
+                        THEN 'later_day' ELSE 'quiet' END AS reason
+            FROM taken""",
+    )
+)
+def sealed_days(spark, sf_dir):
+    return sealed_in_steps(spark, sf_dir)[1]
+
+
 # --- live views --------------------------------------------------------------
 
 

@@ -2,44 +2,36 @@
 
 Every micro-batch runs the batch operators on its rows and the state tables. All
 outputs are one folder per batch and replaced on a retry, so they hold each batch
-exactly once. No frame can stop the stream: decoding uses `try_` expressions and
-every sink runs on its own.
+exactly once. No frame can stop the stream: decoding uses `try_` expressions, and every
+sink has its own ledger, which offers it what it missed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from barloom.operators import decode as dec
-from barloom.operators import merge
+from barloom.operators import sealing
 from barloom.operators.ordered import SEGMENT_WIDTH
-from barloom.schemas import CHART
 from barloom.streaming import closing_step
-from barloom.streaming.sinks import Writer, fan_out
+from barloom.streaming.ledger import Ledger
+from barloom.streaming.sinks import Writer
 from barloom.streaming.state import StateTable, latest_batch
 
-SEALED = T.StructType(
-    [
-        T.StructField("symbol", T.StringType()),
-        T.StructField("bar_type", T.LongType()),
-        T.StructField("bar_interval", T.LongType()),
-        T.StructField("day", T.DateType()),
-    ]
-)
-FAILURES = "batch_id bigint, sink string, error string"
+FAILURES = "batch_id bigint, sink string, missed bigint, error string"
 
 
 class Ingest:
     """A restartable job under one `root` folder.
 
     `clock` gives the time by which quiet charts are closed; without it a bar
-    waits for its successor. `width` is the segment width of ordered scans.
+    waits for its successor, and a day for a later one. A day that is over is sealed when
+    its chart has been quiet for `quiet`. `width` is the segment width of ordered scans.
     """
 
     def __init__(
@@ -50,15 +42,17 @@ class Ingest:
         sinks: Sequence[tuple[str, Writer]] = (),
         clock: Callable[[], datetime] | None = None,
         width: int = SEGMENT_WIDTH,
+        quiet: timedelta = sealing.QUIET,
     ) -> None:
         self.root = root.rstrip("/")
         self._spark = spark
         self._subscribed = subscribed
-        self._sinks = list(sinks)
         self._clock = clock
+        self._quiet = quiet
+        self._ledger = Ledger(spark, f"{self.root}/ledger", sinks)
         self._width = width
         self._charts = StateTable(spark, f"{self.root}/state/charts", closing_step.CHART_STATE)
-        self._sealed = StateTable(spark, f"{self.root}/state/sealed", SEALED)
+        self._sealed = StateTable(spark, f"{self.root}/state/sealed", sealing.STATE)
 
     def _table(self, name: str, batch_id: int, df: DataFrame) -> DataFrame:
         path = f"{self.root}/{name}/batch={batch_id}"
@@ -89,18 +83,25 @@ class Ingest:
         closed = self._table("closed", batch_id, closed)
         self._charts.put(batch_id, closing_step.next_state(state, closed, waiting))
 
-        sealed = self._sealed.before(batch_id)
-        split = self._table("split", batch_id, merge.split_late(closed, sealed, self._width))
+        before = self._sealed.before(batch_id)
+        aged = before if now is None else sealing.quiet_days(before, now, self._quiet)
+        split = self._table("split", batch_id, sealing.split(closed, aged, self._width))
         self._table("late", batch_id, split.where("late").drop("late"))
-        days = split.where("day IS NOT NULL").select(*CHART, "day").unionByName(sealed)
-        self._sealed.put(batch_id, days.groupBy(*CHART).agg(F.max("day").alias("day")))
+        self._table("sealed", batch_id, sealing.newly_sealed(before, aged, split))
+        written = F.current_timestamp() if now is None else now
+        self._sealed.put(batch_id, sealing.next_state(aged, split, written))
 
         self._give_out(split.where("NOT late").drop("late", "day"), batch_id)
 
     def _give_out(self, bars: DataFrame, batch_id: int) -> None:
-        failures = fan_out(bars, batch_id, self._sinks)
+        failures = self._ledger.hand_out(bars, batch_id)
         if failures:
-            self._table("failures", batch_id, self._spark.createDataFrame(failures, FAILURES))
+            rows = [(batch_id, sink, missed, error) for missed, sink, error in failures]
+            self._table("failures", batch_id, self._spark.createDataFrame(rows, FAILURES))
+
+    def missing(self, sink: str) -> list[int]:
+        """Batches that a sink has not taken in yet, oldest first; see `ledger`."""
+        return self._ledger.missing(sink)
 
     def latest(self) -> int | None:
         """The last batch that is complete."""
