@@ -299,15 +299,20 @@ def symbol_counts(report: DataFrame) -> DataFrame:
 
 
 def cross_summary(counts: DataFrame) -> DataFrame:
-    """A verdict per symbol; its wording is a fixed value."""
-    ok, inc, miss, unread = (F.col(c) for c in ("ok", "incomplete", "file_missing", "unreadable"))
-    verdict = (
-        F.when(inc + miss + unread == 0, F.lit("clean"))
-        .when(miss == ok + inc + miss, F.lit("ALL_MISSING"))
-        .when((miss > 0) & (inc == 0), F.format_string("%dd gap", miss))
-        .when((inc > 0) & (miss == 0), F.format_string("%dd incomplete", inc))
-        .otherwise(F.format_string("%dd gap + %dd incomplete", miss, inc))
+    """A verdict per symbol; its wording is a fixed value.
+
+    Without a bad day a symbol is clean; if no day could be read, neither a complete nor
+    an incomplete one, all is missing. Otherwise the kinds of bad days are named, both of
+    them where only unreadable days are bad.
+    """
+    gaps, partial = F.col("file_missing"), F.col("incomplete")
+    named = F.concat_ws(
+        " + ",
+        F.when((gaps > 0) | (partial == 0), F.format_string("%dd gap", gaps)),
+        F.when((partial > 0) | (gaps == 0), F.format_string("%dd incomplete", partial)),
     )
+    bad, readable = gaps + partial + F.col("unreadable"), F.col("ok") + partial
+    verdict = F.when(bad == 0, "clean").when(readable == 0, "ALL_MISSING").otherwise(named)
     return counts.withColumn("verdict", verdict)
 
 

@@ -21,6 +21,7 @@ from barloom.session import shared_dir
 from barloom.sources import frames as fr
 from barloom.sources import store
 from barloom.streaming import closing_step
+from barloom.streaming.heartbeat import COUNTERS
 from barloom.streaming.ingest import Ingest
 from barloom.streaming.live_view import LiveViews
 from barloom.streaming.loss import LossCounter, caught_up
@@ -179,6 +180,28 @@ def stream_store(spark, sf_dir):
     return charts[0].unionByName(charts[1]).select("bartype", "interval", "symbol", "bar_time", "close", "el_volume")
 
 
+@query(
+    sql.with_(
+        CLOSED,
+        """SELECT (SELECT count(*) FROM sub) AS frames_in,
+             (SELECT count(*) FROM sub WHERE k IN (0, 1, 2, 3, 4, 6, 7, 11, 14, 15)) AS refused,
+             (SELECT count(*) FROM marked) AS direct_in,
+             (SELECT count(*) FROM closed) - (SELECT count(*) FROM charts) AS bars_out,
+             (SELECT count(*) FROM pts WHERE bar_type = 0) AS ticks_out,
+             (SELECT count(*) FROM kept WHERE back > 1) AS refreshed,
+             (SELECT count(*) FROM marked WHERE stale) AS stale,
+             (SELECT count(*) FROM kept WHERE high < high_before OR low > low_before) AS subminute_suspected,
+             (SELECT count(*) FROM charts) AS waiting,
+             (SELECT count(DISTINCT symbol) FROM pts) AS symbols,
+             (SELECT CAST(sum(greatest(coalesce(seq - expected, 0), 0)) AS BIGINT) FROM seq_steps) AS messages_lost""",
+    ).replace("SELECT (SELECT count(*) FROM sub)", f", charts AS (SELECT DISTINCT symbol, bar_type, bar_interval FROM marked),{sql.SEQ_STEPS} SELECT (SELECT count(*) FROM sub)", 1)
+)
+def stream_heartbeat(spark, sf_dir):
+    """All counters of the live job and the loss of the counting job, read together."""
+    found = run(spark, sf_dir).counters() | {"messages_lost": counted(spark, sf_dir).total_lost()}
+    return spark.createDataFrame([found], f"{COUNTERS}, messages_lost bigint").drop("late")
+
+
 VIEWS = f"""
 h AS (SELECT symbol, count(*) AS recent_points, min(bar_time) AS oldest_bar_time,
              max(high) AS recent_high, min(low) AS recent_low FROM held GROUP BY symbol),

@@ -380,6 +380,8 @@ def merge_daily(bars: DataFrame, root: str, staging: str) -> list[tuple[int, str
     spark = bars.sparkSession
     columns = [*BAR_COLUMNS, *DAILY_KEYS.fieldNames()]
     incoming = _kept(bars.where(F.col("bartype") == DAILY), *columns)
+    if incoming.isEmpty():
+        return []
     touched = incoming.select("interval", "symbol").distinct()
     path = f"{root.rstrip('/')}/bartype={DAILY}"
     failed: list[tuple[int, str, str]] = []

@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from barloom.operators import decode as dec
-from barloom.operators import sealing
+from barloom.operators import closing, sealing
 from barloom.operators.ordered import SEGMENT_WIDTH
+from barloom.schemas import TICK
 from barloom.streaming import closing_step
+from barloom.streaming.heartbeat import COUNTERS, Beat
 from barloom.streaming.ledger import Ledger
 from barloom.streaming.sinks import Writer
 from barloom.streaming.state import StateTable, latest_batch
@@ -54,8 +56,10 @@ class Ingest:
         self._charts = StateTable(spark, f"{self.root}/state/charts", closing_step.CHART_STATE)
         self._sealed = StateTable(spark, f"{self.root}/state/sealed", sealing.STATE)
 
-    def _table(self, name: str, batch_id: int, df: DataFrame) -> DataFrame:
+    def _table(self, name: str, batch_id: int, df: DataFrame, beat: Beat | None = None) -> DataFrame:
         path = f"{self.root}/{name}/batch={batch_id}"
+        if beat is not None:
+            df = beat.watched(df, name)
         df.write.mode("overwrite").parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)
 
@@ -66,27 +70,45 @@ class Ingest:
     def process(self, frames: DataFrame, batch_id: int) -> None:
         """Run one micro-batch; safe to run again."""
         frames = frames.where("arrival IS NOT NULL")  # the clock's rows carry nothing
-        decoded = self._table("decoded", batch_id, dec.decode(frames, self._subscribed))
-        self._table("refused", batch_id, dec.refused(decoded))
+        beat = Beat()
+        decoded = self._table("decoded", batch_id, dec.decode(frames, self._subscribed), beat)
+        self._table("refused", batch_id, dec.refused(decoded), beat)
         self._table("announcements", batch_id, dec.announcements(decoded))
-        self._close(dec.points(decoded), batch_id)
+        self._close(dec.points(decoded), batch_id, beat)
+        charts = self._charts.before(batch_id + 1).select("symbol")
+        seen = charts.unionByName(self._sealed.before(batch_id + 1).select("symbol"))
+        before = self.counters(batch_id - 1) if batch_id > 0 else None
+        totals = beat.totals(before, seen.agg(F.count_distinct("symbol")).first()[0])
+        self._table("counters", batch_id, self._spark.createDataFrame([totals], COUNTERS))
+
+    def counters(self, batch_id: int | None = None) -> dict | None:
+        """What the job has counted up to a batch, the last one by default; None before any."""
+        last = self.latest() if batch_id is None else batch_id
+        if last is None:
+            return None
+        return self._spark.read.schema(COUNTERS).parquet(f"{self.root}/counters/batch={last}").first().asDict()
 
-    def _close(self, points: DataFrame, batch_id: int) -> None:
+    def _close(self, points: DataFrame, batch_id: int, beat: Beat) -> None:
         now = None
         if self._clock is not None:
             utc = self._clock().astimezone(timezone.utc).replace(tzinfo=None)
             now = F.lit(utc).cast("timestamp_ntz").cast("timestamp")
         state = self._charts.before(batch_id)
-        marked, closed, waiting = closing_step.step(points, state, now, self._width)
+        marked = self._table("direct", batch_id, closing_step.mark(points, state, self._width), beat)
         self._table("stale", batch_id, marked.where("stale"))
-        waiting = self._table("waiting", batch_id, waiting)
-        closed = self._table("closed", batch_id, closed)
+        kept = closing_step.in_hand(marked, state)
+        suspected = closing.refresh_steps(kept, self._width).where("subminute_suspected")
+        self._table("suspected", batch_id, suspected.select(*closing.BAR_KEY, "arrival"), beat)
+        closed, waiting = closing_step.closed_and_waiting(kept, now)
+        ticks = points.where(F.col("bar_type") == TICK).select(*closed.columns)
+        waiting = self._table("waiting", batch_id, waiting, beat)
+        closed = self._table("closed", batch_id, closed.unionByName(ticks), beat)
         self._charts.put(batch_id, closing_step.next_state(state, closed, waiting))
 
         before = self._sealed.before(batch_id)
         aged = before if now is None else sealing.quiet_days(before, now, self._quiet)
         split = self._table("split", batch_id, sealing.split(closed, aged, self._width))
-        self._table("late", batch_id, split.where("late").drop("late"))
+        self._table("late", batch_id, split.where("late").drop("late"), beat)
         self._table("sealed", batch_id, sealing.newly_sealed(before, aged, split))
         written = F.current_timestamp() if now is None else now
         self._sealed.put(batch_id, sealing.next_state(aged, split, written))

@@ -185,6 +185,10 @@ class LossCounter:
         """Totals per topic over the whole run, after a batch, the last one by default."""
         return self._state("totals", batch_id).select("key.topic", "value.*")
 
+    def total_lost(self) -> int | None:
+        """Messages lost on all topics so far; None before any numbered frame."""
+        return self.messages_lost().agg(F.sum("messages_lost")).first()[0]
+
     def counters(self, batch_id: int | None = None) -> DataFrame:
         """(sid, topic, seq, expires_ms): the sessions not forgotten yet."""
         held = self._state("counters", batch_id)

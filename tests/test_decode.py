@@ -20,11 +20,12 @@ def reasons(spark, texts, topic="SPY"):
 
 def test_every_field_of_a_point(spark):
     out = dec.points(decoded(spark, [("SPY", payload())]))
-    assert collect(out, utc_text("bar_time")) == [("2026-04-18 17:30:00",)]
+    assert collect(out, utc_text("bar_time")) == [("2026-05-06 15:42:00",)]
     row = out.first()
-    assert (row["open"], row["bid"], row["ask"], row["ts"]) == (450.0, 449.99, 450.01, 1776533445.5)
+    assert [row[c] for c in ("low", "bid", "open", "close", "ask", "high")] == [73.0, 73.125, 73.25, 73.375, 73.5, 73.625]
+    assert row["ts"] == 1778082137.25
     quantities = [row[c] for c in ("el_volume", "el_ticks", "el_upticks", "el_downticks", "el_open_interest")]
-    assert quantities == [100, 180, 101, 80, 81]
+    assert quantities == [642, 59, 391, 251, 17]
 
 
 def test_refusals_in_order_of_checks(spark):

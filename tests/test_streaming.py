@@ -118,6 +118,30 @@ def test_a_batch_can_be_run_again(spark, ran):
         job.process(everything, 9)
 
 
+def test_counters_are_read_together(spark, folder):
+    """Refreshes over batches, a stale point, a refused frame and a narrowed bar."""
+    def minute_point(m, **changes):
+        return "SPY", payload(bar_type=1, ts_str=f"2026-04/20-09:{m}:00", **changes)
+
+    messages = [
+        minute_point(31), minute_point(31), minute_point(32), minute_point(31), ("SPY", "junk"),
+        minute_point(32, h=73.5), ("QQQ", payload(bar_type=0)), minute_point(33), minute_point(33),
+    ]
+    every = frames(spark, messages)
+    job = Ingest(spark, f"{folder}/job", None, width=2)
+    beat = Heartbeat(counters=job.counters, lost=lambda: 5)
+    assert beat._read(0, 1000)["messages_lost"] == 5
+    for batch, (lo, hi) in enumerate(((0, 4), (0, 4), (5, 6), (7, 8))):
+        # The first batch is run twice, as after a crash.
+        job.process(every.where(F.col("arrival").between(lo, hi)), max(0, batch - 1))
+    assert job.counters(0) | {"symbols": 1} == job.counters(0)
+    want = {
+        "frames_in": 9, "refused": 1, "direct_in": 7, "stale": 1, "ticks_out": 1, "bars_out": 3,
+        "waiting": 1, "refreshed": 3, "subminute_suspected": 1, "late": 0, "symbols": 2,
+    }
+    assert job.counters(2) == want
+
+
 def test_handlers_can_be_removed(spark):
     seen, handlers = [], Handlers()
     note = lambda df, b: seen.append(b)
