@@ -111,29 +111,26 @@ def subminute_charts(steps: DataFrame) -> DataFrame:
 
 def ingest_counters(points: DataFrame, width: int = SEGMENT_WIDTH) -> DataFrame:
     """One row of counters for a finished recording."""
-    ticks = points.where(F.col("bar_type") == TICK)
     needed = points.select("arrival", *BAR_KEY, "high", "low")
     marked = staged(mark_stale(needed, width=width), "marked")
     kept = marked.where(~F.col("stale")).drop("stale")
-    bars = kept.groupBy(*BAR_KEY).agg((F.count("*") - 1).alias("refreshes"))
-    suspected = refresh_steps(kept, width=width).where("subminute_suspected")
-
-    def counted(name: str, df: DataFrame, value) -> DataFrame:
-        return df.agg(value.alias("n")).withColumn("counter", F.lit(name))
-
-    parts = [
-        counted("points_in", points, F.count("*")),
-        counted("ticks_out", ticks, F.count("*")),
-        counted("direct_bars_out", bars, F.count("*")),
-        counted("refreshed", bars, F.coalesce(F.sum("refreshes"), F.lit(0))),
-        counted("stale_dropped", marked, F.count_if("stale")),
-        counted("subminute_suspected", suspected, F.count("*")),
-        counted("symbols_seen", points, F.count_distinct("symbol")),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.select("counter", F.col("n").cast("bigint").alias("n"))
+    seen = points.agg(
+        F.count("*").alias("points_in"),
+        F.count_if(F.col("bar_type") == TICK).alias("ticks_out"),
+        F.count_distinct("symbol").alias("symbols_seen"),
+    )
+    per_bar = kept.groupBy(*BAR_KEY).agg(F.count("*").alias("n"))
+    bars = per_bar.agg(F.count("*").alias("direct_bars_out"), F.coalesce(F.sum("n"), F.lit(0)).alias("kept"))
+    narrowed = refresh_steps(kept, width=width).where("subminute_suspected")
+    suspected = narrowed.agg(F.count("*").alias("subminute_suspected"))
+    parts = [df.unpivot([], df.columns, "counter", "n") for df in (seen, bars, suspected)]
+    counted = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    names = ("points_in", "ticks_out", "symbols_seen", "direct_bars_out", "kept", "subminute_suspected")
+    row = counted.agg(*[F.max(F.when(F.col("counter") == name, F.col("n"))).alias(name) for name in names])
+    # A direct point was dropped, or gave a bar, or refreshed one.
+    dropped = F.col("points_in") - F.col("ticks_out") - F.col("kept")
+    full = row.withColumns({"refreshed": F.col("kept") - F.col("direct_bars_out"), "stale_dropped": dropped}).drop("kept")
+    return full.unpivot([], full.columns, "counter", "n").select("counter", F.col("n").cast("bigint").alias("n"))
 
 
 def repeated_bar_times(bars: DataFrame, width: int = SEGMENT_WIDTH) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barloom.functions.settle import settled
 from barloom.schemas import CONTROL_TOPIC, HELLO_KEYS, POINT_KEYS, PROTOCOL
 
 STRINGS, NUMBERS, NULLABLE = {"ts_str", "symbol"}, {"ts", "o", "h", "l", "c", "bid", "ask"}, {
@@ -15,7 +16,7 @@ STRINGS, NUMBERS, NULLABLE = {"ts_str", "symbol"}, {"ts", "o", "h", "l", "c", "b
 
 def _kind(key: str) -> Column:
     """JSON type of a field: string, integer, number, null or other; NULL if absent."""
-    kind, value = F.col(f"_t_{key}"), F.col(f"_value.{key}")
+    kind, value = F.schema_of_variant(_field(key)), F.col(f"_n_{key}")
     numeric = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
     return (
         F.when(kind.isNull(), F.lit(None).cast("string"))
@@ -27,6 +28,10 @@ def _kind(key: str) -> Column:
     )
 
 
+def _field(key: str) -> Column:
+    return F.try_element_at("_fields", F.lit(key))
+
+
 def _violation(key: str) -> Column:
     kind = F.col(f"_k_{key}")
     if key in STRINGS:
@@ -42,52 +47,46 @@ def _violation(key: str) -> Column:
 
 def _limits(keys: list[str]) -> list[Column]:
     def number(key: str) -> Column:
-        return F.when(F.col(f"_k_{key}").isin("integer", "number"), F.col(f"_value.{key}"))
+        return F.when(F.col(f"_k_{key}").isin("integer", "number"), F.col(f"_n_{key}"))
 
     checks = [
         F.when(number("proto") != PROTOCOL, F.lit("const:proto")),
         F.when(number("seq") < 1, F.lit("minimum:seq")),
     ]
     if "symbol" in keys:
-        empty = F.try_variant_get("_v", "$.symbol", "string") == ""
+        empty = F.try_variant_get(_field("symbol"), "$", "string") == ""
         checks.append(F.when((F.col("_k_symbol") == "string") & empty, F.lit("minLength:symbol")))
     return checks
 
 
 def violations(frames: DataFrame) -> DataFrame:
-    """One row per (frame, broken rule). The topic picks the schema."""
-
-    def check(side: DataFrame, keys: list[str]) -> DataFrame:
-        raw = ", ".join(f"{k} variant" for k in keys)
-        numbers = ", ".join(f"{k} double" for k in keys)
-        given = F.when(F.col("payload").rlike(r"^\s*\{"), F.json_object_keys("payload"))
-        parsed = side.select(
-            "arrival", "topic", F.try_parse_json("payload").alias("_v"), given.alias("_keys")
-        ).withColumns(
-            {
-                "_raw": F.try_variant_get("_v", "$", f"struct<{raw}>"),
-                "_value": F.try_variant_get("_v", "$", f"struct<{numbers}>"),
-            }
-        )
-        named = parsed.select(
-            "*", *[F.schema_of_variant(F.col(f"_raw.{k}")).alias(f"_t_{k}") for k in keys]
-        )
-        typed = named.select(
-            "arrival", "topic", "_v", "_keys", "_value", *[_kind(k).alias(f"_k_{k}") for k in keys]
-        )
+    """One row per (frame, broken rule). The topic picks the schema.
+
+    Frames are read once and a payload is parsed once: its fields become a map, from which
+    the rules of either schema take keys, types and values.
+    """
+    known = [*POINT_KEYS, *(k for k in HELLO_KEYS if k not in POINT_KEYS)]
+    parsed = frames.select("arrival", "topic", settled(F.try_parse_json("payload")).alias("_v"))
+    fields = parsed.select(
+        "arrival",
+        "topic",
+        F.col("_v").isNull().alias("_unread"),
+        settled(F.try_variant_get("_v", "$", "map<string,variant>")).alias("_fields"),
+    )
+    valued = fields.select("*", *[F.try_variant_get(_field(k), "$", "double").alias(f"_n_{k}") for k in known])
+    typed = valued.select("*", *[_kind(k).alias(f"_k_{k}") for k in known])
+
+    def broken(keys: list[str]) -> Column:
         extra = F.transform(
-            F.array_except("_keys", F.array(*[F.lit(k) for k in keys])),
+            F.array_except(F.map_keys("_fields"), F.array(*[F.lit(k) for k in keys])),
             lambda k: F.concat(F.lit("extra:"), k),
         )
-        rules = F.array_compact(F.array(*[_violation(k) for k in keys], *_limits(keys)))
-        found = (
-            F.when(F.col("_v").isNull(), F.array(F.lit("not_json")))
-            .when(F.col("_keys").isNull(), F.array(F.lit("type:object")))
-            .otherwise(F.concat(rules, extra))
-        )
-        return typed.select("arrival", "topic", F.explode(found).alias("violation"))
+        return F.concat(F.array_compact(F.array(*[_violation(k) for k in keys], *_limits(keys))), extra)
 
-    control = F.col("topic") == CONTROL_TOPIC
-    return check(frames.where(~control), POINT_KEYS).unionByName(
-        check(frames.where(control), HELLO_KEYS)
+    found = (
+        F.when(F.col("_unread"), F.array(F.lit("not_json")))
+        .when(F.col("_fields").isNull(), F.array(F.lit("type:object")))
+        .when(F.col("topic") == CONTROL_TOPIC, broken(HELLO_KEYS))
+        .otherwise(broken(POINT_KEYS))
     )
+    return typed.select("arrival", "topic", F.explode(found).alias("violation"))

@@ -199,3 +199,11 @@ def test_latency_percentiles_by_direct_sorting(spark):
     got = wire_report.latency_percentiles(spark.createDataFrame(rows, FRAME)).first()
     pick = lambda p: expected[min(int(len(expected) * p), len(expected) - 1)]
     assert tuple(got) == (301, statistics.median(expected), pick(0.95), pick(0.99), expected[-1])
+
+
+def test_conformance_reads_and_parses_once(spark, tmp_path):
+    frames(spark, [("SPY", payload())]).write.parquet(str(tmp_path / "frames"))
+    found = conformance.violations(spark.read.parquet(str(tmp_path / "frames")))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("parse_json") <= 1
