@@ -162,6 +162,11 @@ def scan(
     return bars.select(*[columns[c] for c in names])
 
 
+def days_of(start: datetime, end: datetime) -> tuple[date, date]:
+    """The partition dates that a range reads: a day more than its own on both sides."""
+    return tc.eastern_day(start) - timedelta(1), tc.eastern_day(end) + timedelta(1)
+
+
 def in_range(bars: DataFrame, start: datetime, end: datetime) -> DataFrame:
     """Bars between two inclusive bounds, oldest first; naive bounds are Eastern.
 
@@ -169,8 +174,7 @@ def in_range(bars: DataFrame, start: datetime, end: datetime) -> DataFrame:
     """
     kept = bars.where(F.col("bar_time").between(tc.bound(start), tc.bound(end)))
     if "date" in bars.columns:
-        first, last = tc.eastern_day(start) - timedelta(1), tc.eastern_day(end) + timedelta(1)
-        kept = kept.where(F.col("date").between(first, last))
+        kept = kept.where(F.col("date").between(*days_of(start, end)))
     return kept.orderBy("bar_time", "ts")
 
 
@@ -197,17 +201,18 @@ def load_with_skipped(
     bar_type: int,
     bar_interval: int,
 ) -> Answer:
-    """As `load_bars`, with the files of these symbols that gave no row."""
+    """As `load_bars`, with the files that it opens and that give no row.
+
+    Only folders of these symbols are listed, and only files of the range's days are read.
+    """
     symbols = [symbol] if isinstance(symbol, str) else list(symbol)
     bars = load_bars(spark, root, symbols, start, end, bar_type, bar_interval)
-    if not _symbol_folders(spark, root, bar_type, bar_interval):
-        return Answer(bars, spark.createDataFrame([], "path string, symbol string, date date"))
-    skipped = unreadable_files(spark, root, bar_type, bar_interval)
-    return Answer(bars, skipped.where(F.col("symbol").isin(symbols)))
+    days = None if bar_type == DAILY else days_of(start, end)
+    return Answer(bars, unreadable_files(spark, root, bar_type, bar_interval, symbols, days))
 
 
-def listed_files(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet files below a path with their size and path keys; listing only, no content."""
+def listed_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Parquet files below a path, or several, with their size and path keys; listing only, no content."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
@@ -269,19 +274,38 @@ def _file_states(spark: SparkSession, root: str, bar_type: int, path: str) -> Da
     return joined.withColumn("problem", problem).drop("_key", "absent", "further")
 
 
-def unreadable_files(spark: SparkSession, root: str, bar_type: int, bar_interval: int) -> DataFrame:
-    """Listed files that give no row: no footer yet, or damaged."""
-    path = chart_path(root, bar_type, bar_interval)
+def unreadable_files(
+    spark: SparkSession,
+    root: str,
+    bar_type: int,
+    bar_interval: int,
+    symbols: Sequence[str] | None = None,
+    days: tuple[date, date] | None = None,
+) -> DataFrame:
+    """Listed files that give no row: no footer yet, or damaged.
+
+    With `symbols` only their folders are listed; with `days`, a first and a last date, only
+    files of those partitions are looked at.
+    """
+    folders = _symbol_folders(spark, root, bar_type, bar_interval)
+    paths = [chart_path(root, bar_type, bar_interval)]
+    if symbols is not None:
+        wanted = {f"symbol={_escape(s)}" for s in symbols}
+        paths = [f"{paths[0]}/{f}" for f in folders if f in wanted]
+    if not folders or not paths:
+        return spark.createDataFrame([], "path string, symbol string, date date")
     readable = (
-        spark.read.schema(T.StructType([BAR["bar_time"]]))
+        spark.read.schema(T.StructType([BAR["bar_time"], *key_schema(bar_type).fields]))
         .option("basePath", root)
         .option("ignoreCorruptFiles", True)
-        .parquet(path)
-        .select(_plain(_unescape(F.col("_metadata.file_path"))).alias("_key"))
-        .distinct()
+        .parquet(*paths)
     )
-    files = listed_files(spark, path).withColumn("_key", _plain(F.col("path")))
-    return files.join(readable, "_key", "left_anti").select("path", "symbol", "date")
+    files = listed_files(spark, paths)
+    if days is not None:
+        readable, files = (df.where(F.col("date").between(*days)) for df in (readable, files))
+    seen = readable.select("bar_time", _plain(_unescape(F.col("_metadata.file_path"))).alias("_key"))
+    keyed = files.withColumn("_key", _plain(F.col("path")))
+    return keyed.join(seen.select("_key").distinct(), "_key", "left_anti").select("path", "symbol", "date")
 
 
 def discover_symbols(spark: SparkSession, root: str, bar_type: int, bar_interval: int) -> DataFrame:

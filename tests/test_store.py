@@ -216,8 +216,11 @@ def test_skipped_files_come_with_the_answer(spark, folder):
         place = Path(folder, f"bartype=1/interval=1/symbol={symbol}/date=2026-04-23")
         place.mkdir(parents=True)
         (place / "bars.parquet").write_bytes(b"PAR1 still open")
+    got = store.load_with_skipped(spark, folder, "SPY", START, datetime(2026, 4, 23), 1, 1)
+    assert got.bars.count() == 4 and collect(got.skipped, "symbol", "date") == [("SPY", date(2026, 4, 23))]
+    # A range that never opens the file has nothing to report.
     got = store.load_with_skipped(spark, folder, "SPY", START, END, 1, 1)
-    assert got.bars.count() == 3 and collect(got.skipped, "symbol", "date") == [("SPY", date(2026, 4, 23))]
+    assert got.bars.count() == 3 and got.skipped.count() == 0
     assert store.load_with_skipped(spark, f"{folder}/none", "SPY", START, END, 1, 1).skipped.count() == 0
 
 
@@ -240,3 +243,26 @@ def test_preview(spark):
     with pytest.raises(ValueError, match="nope"):
         preview.preview(rows, ["nope"])
     assert BAR_COLUMNS[0] == "bar_time"
+
+
+def test_skipped_files_are_looked_for_in_the_range_alone(spark, folder):
+    """Damaged files of other symbols and days are neither listed nor opened."""
+    import glob
+
+    root = f"{folder}/store"
+    rows = [{"symbol": s, "bar_time": minute(24 * 60 * d), "arrival": d} for s in ("A", "B") for d in range(9)]
+    store.append_intraday(store.as_bars(points(spark, rows)), root)
+    for place in glob.glob(f"{root}/bartype=1/interval=1/symbol=*/date=*"):
+        if "symbol=B" in place or place.endswith((f"{minute(0):%Y-%m-%d}", f"{minute(5 * 1440):%Y-%m-%d}")):
+            Path(place, "open.parquet").write_bytes(b"PAR1 still open")
+    start, end = minute(4 * 1440).replace(tzinfo=None), minute(6 * 1440).replace(tzinfo=None)
+    found = store.load_with_skipped(spark, root, "A", start, end, 1, 1)
+    day = minute(5 * 1440).date()
+    assert collect(found.skipped, "symbol", "date") == [("A", day)]
+    assert found.bars.count() == 2
+    read = [str(p) for p in found.skipped.inputFiles() if p.endswith(".parquet")]
+    assert read and all("symbol=A" in p for p in read)
+    plan = found.skipped._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
+    assert len(collect(store.unreadable_files(spark, root, 1, 1), "path")) == 9 + 2
+    assert store.load_with_skipped(spark, root, "C", start, end, 1, 1).skipped.count() == 0
