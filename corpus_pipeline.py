@@ -19,6 +19,13 @@ from barloom.llm.common import Scratch
 ORACLE_SQL = None
 
 
+def bounded(spark: SparkSession) -> None:
+    """Settings under which stages carry whole texts: Arrow batches and row groups of a few MB."""
+    queries.prepared(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+    spark.conf.set("parquet.block.size", str(32 << 20))
+
+
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """`docs` without those whose (doc_id, text_hash) is in `gone`."""
     gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"))
@@ -28,13 +35,13 @@ def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the fixed rules and the limits of their language and source accept."""
-    queries.prepared(spark)
+    bounded(spark)
     return quality.judged(docs).where("kept").select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One occurrence of every group of similar lines; documents without a word left go."""
-    queries.prepared(spark)
+    bounded(spark)
     cleaned = lines.dedup_lines(docs)
     changed = F.col("n_removed") > 0
     if "n_chars" in docs.columns:
@@ -47,7 +54,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null ids come last; rows alike in everything are told apart by a number written once.
     """
-    queries.prepared(spark)
+    bounded(spark)
     order = [F.col("doc_id").isNull(), F.col("doc_id"), F.xxhash64("text"), F.xxhash64(*docs.columns), F.monotonically_increasing_id()]
     place = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(order)])
     placed = Scratch(spark, "near-dup").keep(docs.select(F.struct(*docs.columns).alias("row"), place.alias("place")), "placed")
@@ -58,14 +65,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item, re-parameterised or not."""
-    queries.prepared(spark)
+    bounded(spark)
     benchmark = queries.table(spark, sf_dir, "benchmark")
     return without(docs, templates.leaks(docs, benchmark))
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their ids, the number of these, and whether they decode to the text."""
-    queries.prepared(spark)
+    bounded(spark)
     encoded = bpe.encode(docs, queries.RANKS, queries.PATTERN, offsets=False)
     decoded = bpe.decode(encoded, queries.RANKS, queries.PATTERN)
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
