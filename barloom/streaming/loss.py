@@ -130,7 +130,7 @@ class Counter(StatefulProcessor):
         pass
 
 
-def caught_up(query: StreamingQuery, seconds: float = 120.0) -> StreamingQuery:
+def caught_up(query: StreamingQuery, seconds: float = 900.0) -> StreamingQuery:
     """Wait until a job that runs on a clock has had a batch without input."""
     until = time.monotonic() + seconds
     while not any(p.numInputRows == 0 for p in query.recentProgress[-1:]):
