@@ -52,6 +52,14 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(conf).delete(target, True)
 
 
+def unused(name: str, *frames: DataFrame) -> str:
+    """`name`, or `name` with as many underscores behind it as make it no column of `frames`."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -8,8 +8,9 @@ language and source, a spread being the distance of the quartiles but at least `
 The quantiles come from sketches that are merged by adding: counts per bucket, a bucket
 holding values whose five leading binary digits agree, so that a quantile is off by at
 most a sixteenth of itself. Their sums do not depend on the order of merging, so a task
-that is run again gives the same limits. A language and source with fewer than
-`min_docs` documents takes the limits of its language, and that one those of all documents.
+that is run again gives the same limits. To every language and source's own documents
+`weight` documents are added that are spread like those of its language: the same sum at
+every size, so limits pass over smoothly from the language's to the group's own as it grows.
 """
 
 from __future__ import annotations
@@ -23,12 +24,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.llm.common import Scratch
+from barloom.llm.common import Scratch, unused
 
 SYMBOLS = "#*$%&|<>"  # fixed values of the rules
 SPACES = " \t\n\v\f\r"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 WINDOW = 5
+SCALE = 1_000_000  # parts of a document in which blended sketches count
 COUNTED = T.StructType([T.StructField(c, T.LongType()) for c in (*COUNTS, "n_lines")])
 
 
@@ -139,30 +141,31 @@ def sketches(rows: DataFrame) -> DataFrame:
 
 
 def quartiles(merged: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, rate, docs, q1, q3) of sketches merged to `keys`; the buckets of a group are few."""
+    """(keys, rate, q1, q3) of sketches merged to `keys`; the buckets of a group are few."""
     group = [*keys, "rate"]
     summed = merged.groupBy(*group, "at").agg(F.sum("n").alias("n"))
     upto = Window.partitionBy(*group).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     ranked = summed.withColumns({"upto": F.sum("n").over(upto), "docs": F.sum("n").over(Window.partitionBy(*group))})
     return ranked.groupBy(*group).agg(
-        F.max("docs").alias("docs"),
         F.min(F.expr("if(4 * upto >= docs, at, null)")).alias("q1"),
         F.min(F.expr("if(4 * upto >= 3 * docs, at, null)")).alias("q3"),
     )
 
 
-def limits(merged: DataFrame, reach: int, min_docs: int) -> DataFrame:
+def blended(merged: DataFrame, weight: int) -> DataFrame:
+    """Sketches in parts of a document: a group's own, and `weight` documents of its language."""
+    lang = merged.groupBy(F.col("lang").alias("of"), F.col("rate").alias("of_rate"), "at").agg(F.sum("n").alias("n"))
+    lang = lang.withColumn("total", F.sum("n").over(Window.partitionBy("of", "of_rate")))
+    groups = merged.select("lang", "source", "rate").distinct()
+    same = F.col("lang").eqNullSafe(F.col("of")) & (F.col("rate") == F.col("of_rate"))
+    share = F.expr(f"{weight * SCALE} * n div total").alias("n")
+    own = merged.select("lang", "source", "rate", "at", (F.col("n") * SCALE).alias("n"))
+    return own.unionByName(groups.join(lang, same).select("lang", "source", "rate", "at", share))
+
+
+def limits(merged: DataFrame, reach: int, weight: int) -> DataFrame:
     """One row per language and source with every rule's limit."""
-    own = quartiles(merged, ["lang", "source"])
-    lang = quartiles(merged, ["lang"]).select("lang", "rate", *[F.col(c).alias(f"l_{c}") for c in ("docs", "q1", "q3")])
-    every = quartiles(merged, []).select("rate", *[F.col(c).alias(f"e_{c}") for c in ("q1", "q3")])
-    joined = own.join(lang, own["lang"].eqNullSafe(lang["lang"]) & (own["rate"] == lang["rate"]))
-    joined = joined.drop(lang["lang"], lang["rate"])
-    joined = joined.join(every, "rate")
-    large, larger = F.col("docs") >= min_docs, F.col("l_docs") >= min_docs
-    q1 = F.when(large, F.col("q1")).when(larger, F.col("l_q1")).otherwise(F.col("e_q1"))
-    q3 = F.when(large, F.col("q3")).when(larger, F.col("l_q3")).otherwise(F.col("e_q3"))
-    chosen = joined.select("lang", "source", "rate", q1.alias("q1"), q3.alias("q3"))
+    chosen = quartiles(blended(merged, weight), ["lang", "source"])
     fences = []
     for i, rule in enumerate(RULES):
         spread = F.greatest(F.col("q3") - F.col("q1"), F.lit(rule.least))
@@ -173,27 +176,29 @@ def limits(merged: DataFrame, reach: int, min_docs: int) -> DataFrame:
 
 def judged(
     docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
-    reach: int = 4, min_docs: int = 100,
+    reach: int = 4, weight: int = 25,
 ) -> DataFrame:
     """Every row of `docs` with `m`, its counts and rates, `base_failed` and `kept`.
 
     The first pass over the texts makes the sketches, the second one judges; the limits,
     one row per language and source, are written between them and joined to the documents
     (broadcast only if their file is below Spark's own threshold). Null languages and
-    sources are groups of their own. A null or empty text has no words and fails. Equal
-    rows are judged alike. Columns named `m`, `base_failed` or `kept` are replaced. An empty
+    sources are groups of their own. A null or empty text has no words and fails. A very long
+    text is counted whole, within one task. Equal rows are judged alike. Columns named `m`,
+    `base_failed` or `kept` are replaced, all others stay whatever their names. An empty
     table stays empty.
     """
     scratch = Scratch(docs.sparkSession, "quality")
     slim = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"))
     merged = scratch.keep(sketches(measured(slim)), "sketches")
-    bounds = limits(merged, reach, min_docs)
-    bounds = scratch.keep(bounds.withColumnsRenamed({"lang": "of_lang", "source": "of_source"}), "limits")
-    rows = measured(docs.drop("m", "base_failed", "kept", *[f"limit_{i}" for i in range(len(RULES))]), text_col)
-    same = F.col(lang_col).eqNullSafe(F.col("of_lang")) & F.col(source_col).eqNullSafe(F.col("of_source"))
+    bounds = scratch.keep(limits(merged, reach, weight), "limits")
+    rows = measured(docs.drop("m", "base_failed", "kept"), text_col)
+    b = unused("bounds", rows)
+    bounds = bounds.select(F.struct(*bounds.columns).alias(b))
+    same = F.col(lang_col).eqNullSafe(F.col(f"{b}.lang")) & F.col(source_col).eqNullSafe(F.col(f"{b}.source"))
     rows = rows.withColumn("base_failed", base_failed()).join(bounds, same, "left")
     fits = ~F.col("base_failed")
     for i, rule in enumerate(RULES):
-        value, limit = F.col(f"m.{rule.rate}"), F.col(f"limit_{i}")
+        value, limit = F.col(f"m.{rule.rate}"), F.col(f"{b}.limit_{i}")
         fits = fits & F.coalesce(value <= limit if rule.upper else value >= limit, F.lit(True))
-    return rows.withColumn("kept", fits).drop("of_lang", "of_source", *[f"limit_{i}" for i in range(len(RULES))])
+    return rows.withColumn("kept", fits).drop(b)

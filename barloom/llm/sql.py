@@ -84,19 +84,23 @@ WITH t AS (
          (r.v >> greatest(length(bin(r.v)) - 5, 0)) << greatest(length(bin(r.v)) - 5, 0) AS low
   FROM (SELECT doc_id, lang, source, base_failed, unnest(rates) AS r FROM m)
 ), q AS (
-  SELECT lang, source, rate, count(*) AS n, quantile_disc(low, 0.25) AS q1, quantile_disc(low, 0.75) AS q3
-  FROM v WHERE NOT base_failed GROUP BY 1, 2, 3
+  SELECT lang, source, rate, low, 1000000 * count(*) AS n FROM v WHERE NOT base_failed GROUP BY 1, 2, 3, 4
 ), ql AS (
-  SELECT lang, rate, count(*) AS n, quantile_disc(low, 0.25) AS q1, quantile_disc(low, 0.75) AS q3
-  FROM v WHERE NOT base_failed GROUP BY 1, 2
-), qa AS (
-  SELECT rate, quantile_disc(low, 0.25) AS q1, quantile_disc(low, 0.75) AS q3
-  FROM v WHERE NOT base_failed GROUP BY 1
+  SELECT lang, rate, low, count(*) AS n, sum(count(*)) OVER (PARTITION BY lang, rate) AS total
+  FROM v WHERE NOT base_failed GROUP BY 1, 2, 3
+), blend AS (
+  SELECT lang, source, rate, low, n FROM q
+  UNION ALL
+  SELECT g.lang, g.source, g.rate, ql.low, 25 * 1000000 * ql.n // ql.total
+  FROM (SELECT DISTINCT lang, source, rate FROM q) g JOIN ql ON g.rate = ql.rate AND g.lang IS NOT DISTINCT FROM ql.lang
+), run AS (
+  SELECT lang, source, rate, low,
+         sum(sum(n)) OVER (PARTITION BY lang, source, rate ORDER BY low) AS upto,
+         sum(sum(n)) OVER (PARTITION BY lang, source, rate) AS docs
+  FROM blend GROUP BY 1, 2, 3, 4
 ), lim AS (
-  SELECT q.lang, q.source, rate,
-         CASE WHEN q.n >= 100 THEN q.q1 WHEN ql.n >= 100 THEN ql.q1 ELSE qa.q1 END AS q1,
-         CASE WHEN q.n >= 100 THEN q.q3 WHEN ql.n >= 100 THEN ql.q3 ELSE qa.q3 END AS q3
-  FROM q JOIN ql USING (rate) JOIN qa USING (rate) WHERE q.lang IS NOT DISTINCT FROM ql.lang
+  SELECT lang, source, rate, min(low) FILTER (4 * upto >= docs) AS q1, min(low) FILTER (4 * upto >= 3 * docs) AS q3
+  FROM run GROUP BY 1, 2, 3
 ), ok AS (
   SELECT doc_id, bool_and(
     v <= q3 + 4 * greatest(q3 - q1, CASE lim.rate WHEN 'symbol' THEN 25 WHEN 'line' THEN 50 WHEN 'repeat' THEN 20 ELSE 100 END)

@@ -23,7 +23,22 @@ def plain_bucket(v):
     return v >> cut << cut
 
 
-def plain_verdicts(rows, reach=4, min_docs=100):
+def plain_quartiles(own, language, weight):
+    """The values at a quarter and three quarters of own ones and `weight` of the language's."""
+    parts = Counter({v: 10**6 * n for v, n in Counter(own).items()})
+    parts.update({v: weight * 10**6 * n // len(language) for v, n in Counter(language).items()})
+    out, upto = [], 0
+    for quarters in (1, 3):
+        upto = 0
+        for v in sorted(parts):
+            upto += parts[v]
+            if 4 * upto >= quarters * parts.total():
+                out.append(v)
+                break
+    return out
+
+
+def plain_verdicts(rows, reach=4, weight=25):
     """base_failed and kept of each (text, lang, source), limits from sorted buckets."""
     def rates(c):
         return {
@@ -38,7 +53,7 @@ def plain_verdicts(rows, reach=4, min_docs=100):
     values = {}
     for c, f, (_, lang, source) in zip(counted, failed, rows):
         for rate, v in rates(c).items():
-            for key in ((lang, source), (lang,), ()):
+            for key in ((lang, source), (lang,)):
                 if not f:
                     values.setdefault((key, rate), []).append(plain_bucket(v))
     out = []
@@ -47,21 +62,19 @@ def plain_verdicts(rows, reach=4, min_docs=100):
         for rule in quality.RULES:
             if f:
                 break
-            group = next(k for k in ((lang, source), (lang,), ()) if k == () or len(values[(k, rule.rate)]) >= min_docs)
-            v = sorted(values[(group, rule.rate)])
-            q1, q3 = v[-(-len(v) // 4) - 1], v[-(-3 * len(v) // 4) - 1]
+            q1, q3 = plain_quartiles(values[((lang, source), rule.rate)], values[((lang,), rule.rate)], weight)
             spread, x = max(q3 - q1, rule.least), rates(c)[rule.rate]
             ok &= x <= q3 + reach * spread if rule.upper else x >= q1 - reach * spread
         out.append((f, ok))
     return counted, out
 
 
-@pytest.mark.parametrize("min_docs", [1, 10, 1000])
-def test_equals_plain_python(docs, min_docs):
+@pytest.mark.parametrize("weight", [0, 25, 1000])
+def test_equals_plain_python(docs, weight):
     rows = fixtures.rows()
-    counted, verdicts = plain_verdicts([(r[1], r[2], r[3]) for r in rows], min_docs=min_docs)
+    counted, verdicts = plain_verdicts([(r[1], r[2], r[3]) for r in rows], weight=weight)
     want = sorted(map(str, ((r[0], *c[:5], *v) for r, c, v in zip(rows, counted, verdicts))))
-    got = quality.judged(docs, min_docs=min_docs)
+    got = quality.judged(docs, weight=weight)
     assert sorted(map(str, ((r.doc_id, *[r.m[c] for c in quality.COUNTS], r.base_failed, r.kept) for r in got.collect()))) == want
     assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "path", "m", "base_failed", "kept"]
 
@@ -99,3 +112,33 @@ def test_limits_follow_the_source(spark):
 
 def test_empty_table(no_docs):
     assert quality.judged(no_docs).collect() == []
+
+
+def test_one_document_more_moves_no_limit_by_a_switch(spark):
+    """At 99 and 100 documents of a source the same documents are kept."""
+    import random
+
+    rng = random.Random(4)
+    rows = [(i, fixtures.document(rng, 8), "en", "prose") for i in range(200)]
+    rows += [(1000 + i, fixtures.document(rng, 8).replace(" ", "# "), "en", "code") for i in range(100)]
+    schema = "doc_id bigint, text string, lang string, source string"
+    for n in (299, 300):
+        got = quality.judged(spark.createDataFrame(rows[:n], schema)).collect()
+        assert all(r.kept for r in got)
+
+
+def test_clashing_names(spark):
+    names = ["limit_0", "of_lang", "of_source", "bounds", "Bounds_", "n_words", "kept", "m", "base_failed"]
+    schema = "doc_id bigint, text string, lang string, source string, " + ", ".join(f"`{c}` string" for c in names)
+    text = " ".join(f"word{i}" for i in range(30))
+    got = quality.judged(spark.createDataFrame([(1, text, None, "a", *names), (1, text, None, "a", *names), (2, None, "en", None, *names)], schema))
+    assert got.columns == ["doc_id", "text", "lang", "source", *names[:6], "m", "base_failed", "kept"]
+    rows = sorted(got.collect(), key=lambda r: r.doc_id)
+    assert [r.kept for r in rows] == [True, True, False]
+    assert all(r[c] == c for r in rows for c in names[:6])
+
+
+def test_a_text_of_megabytes(spark):
+    text = " ".join(f"w{i % 70001}x{i}" for i in range(400_000))
+    got = quality.judged(spark.createDataFrame([(1, text, "en", "a")], "doc_id bigint, text string, lang string, source string")).collect()
+    assert [(r.m.n_words, r.m.n_repeat_words, r.kept) for r in got] == [(400_000, 0, True)]
