@@ -21,7 +21,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from barloom.llm.common import Scratch, WordHashes, key_filter, may_have, window_hashes
 from barloom.llm.linking import Linker, with_component
@@ -29,6 +28,7 @@ from barloom.llm.linking import Linker, with_component
 MINS = 128  # minwise tokens per set; the sketch has two bits of each
 PATHS = 48  # of them, those kept for choosing paths
 SCREEN = 37
+LONG = 20_000  # sets of more shingles are compared pair by pair, others a block at a time
 EVEN_BITS = 0x5555555555555555
 _RNG = np.random.default_rng(20250307)
 _FACTORS = _RNG.integers(1, 2**63, MINS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -102,14 +102,42 @@ def full_sets(size: int, wanted):
     return run
 
 
-@F.arrow_udf(T.LongType())
-def common_count(left: pa.Array, right: pa.Array) -> pa.Array:
-    """Number of values that two sorted sets share."""
-    out = []
-    for a, b in zip(left, right):
-        a, b = a.values.to_numpy(), b.values.to_numpy()
-        out.append(len(np.intersect1d(a, b, assume_unique=True)))
-    return pa.array(out, pa.int64())
+def confirmed(min_percent: int):
+    """Arrow function: a block's sets, then its pairs, to pairs alike enough that tie it together.
+
+    Rows come sorted by block, those with a set before those with a pair. A pair whose ends
+    are tied by others of its block already is not compared. Only one block is held.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, sets, tied = None, {}, {}
+
+        def top(x: bytes) -> bytes:
+            while x in tied:
+                x = tied[x]
+            return x
+
+        for batch in batches:
+            shingles, found = batch.column("shingles"), []
+            rows = zip(batch.column("block").to_pylist(), batch.column("a").to_pylist(), batch.column("b").to_pylist())
+            for i, (of, a, b) in enumerate(rows):
+                if of != block:
+                    block, sets, tied = of, {}, {}
+                if b is None:
+                    sets[a] = np.array(shingles[i].values)
+                    continue
+                x, y = top(a), top(b)
+                if x == y:
+                    continue
+                n = len(sets[a]) + len(sets[b])
+                shared = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+                if 100 * shared >= min_percent * (n - shared):
+                    tied[x] = y
+                    found.append((a, b))
+            ends = list(zip(*found)) or [(), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(e, pa.binary()) for e in ends], names=["a", "b"])
+
+    return run
 
 
 def near_duplicates(
@@ -127,7 +155,8 @@ def near_duplicates(
     sets have a Jaccard similarity of at least `min_percent` percent; `kept` says whether
     it is the row's own. `text_hash` is xxhash64 of the text.
 
-    A null or empty text has no shingles and is linked with nothing. A null id counts as
+    A null or empty text has no shingles and is linked with nothing. A very long one is a set
+    like others; a task holds two such sets at once. A null id counts as
     larger than any other: its row is kept only if no row of its group has an id. Rows
     that repeat an id are judged one by one. Other columns are not looked at. An empty
     table gives an empty result.
@@ -179,12 +208,15 @@ def near_duplicates(
         sets.append(scratch.keep(whole, "sets"))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        left = sets[0].select(F.col("cid").alias("a"), F.col("shingles").alias("x"))
-        right = sets[0].select(F.col("cid").alias("b"), F.col("shingles").alias("y"))
-        both = pairs.join(left, "a").join(right, "b")
-        both = both.withColumns({"n": F.size("x") + F.size("y"), "shared": common_count("x", "y")})
-        both = both.select("a", "b", "n", "shared")
-        return both.where(100 * F.col("shared") >= min_percent * (F.col("n") - F.col("shared"))).select("a", "b")
+        """Each set goes once to every block that has a pair of it."""
+        pairs = scratch.keep(pairs, "asked")
+        members = pairs.select("block", F.explode(F.array("a", "b")).alias("a")).distinct()
+        known = members.join(sets[0].withColumnRenamed("cid", "a"), "a")
+        rows = known.select("block", "a", F.lit(None).cast("binary").alias("b"), "shingles").unionByName(
+            pairs.select("block", "a", "b", F.lit(None).cast("array<bigint>").alias("shingles"))
+        )
+        dealt = rows.repartition("block").sortWithinPartitions("block", F.col("b").isNotNull())
+        return dealt.mapInArrow(confirmed(min_percent), "a binary, b binary")
 
     def branch(open_rows: DataFrame, level: int) -> DataFrame:
         """Three branches for every path, each of six further minwise tokens at once.
@@ -200,7 +232,7 @@ def near_duplicates(
         paths = F.array(*[F.xxhash64("path", F.lit(b), *k) for b, k in enumerate(keys)])
         return split.select(F.explode(paths).alias("path"), "id", *sketch)
 
-    stars = Linker(near, verify, branch, scratch, leaf).run(paths, prepare)
+    stars = Linker(near, verify, branch, scratch, leaf, heavy=lambda side: F.col(f"{side}.n_shingles") > LONG).run(paths, prepare)
     labels = with_component(classes.select("id", "id_"), stars).select("id", "comp", "id_")
     groups = labels.groupBy("comp").agg(F.min("id_").alias("component_id"))
     by_class = labels.select("id", "comp").join(groups, "comp").select(F.col("id").alias("cid"), "component_id")

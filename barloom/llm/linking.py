@@ -13,6 +13,8 @@ large node:
 
 Rows that belong to one group are never compared again. Likely pairs are confirmed by
 `verify`; each row's first pair is confirmed before the others, which mostly spares them.
+Every pair names a `block`: some `leaf` rows of one node, and its pivots, whose pairs can be
+confirmed together. Pairs of rows that `heavy` marks have a block of their own each.
 """
 
 from __future__ import annotations
@@ -87,7 +89,7 @@ def _apart(pairs: DataFrame, stars: DataFrame) -> DataFrame:
         pairs.join(left, "a", "left")
         .join(right, "b", "left")
         .where(F.coalesce("la", "a") != F.coalesce("lb", "b"))
-        .select("a", "b")
+        .select("a", "b", "block")
     )
 
 
@@ -103,9 +105,11 @@ class Linker:
         leaf: int = 64,
         pivots: int = 16,
         finish: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None,
+        heavy: Callable[[str], F.Column] = lambda side: F.lit(False),
     ):
         self.near, self.verify, self.branch = near, verify, branch
         self.scratch, self.leaf, self.pivots, self.finish = scratch, leaf, pivots, finish
+        self.heavy = heavy
         self.stars: DataFrame | None = None
 
     def nodes(self, rows: DataFrame) -> DataFrame:
@@ -120,15 +124,19 @@ class Linker:
         return known.join(about, "path")
 
     def pairs(self, nodes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-        """Likely pairs (a < b) of rows in different groups, and the pivots of large nodes."""
-        def out(joined: DataFrame) -> DataFrame:
+        """Likely pairs (a < b, block) of rows in different groups, and the pivots of large nodes."""
+        def out(joined: DataFrame, block: F.Column) -> DataFrame:
             ends = [F.col("l.id"), F.col("r.id")]
-            return joined.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b"))
+            alone = F.when(self.heavy("l") | self.heavy("r"), F.xxhash64(F.least(*ends), F.greatest(*ends)))
+            return joined.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b"), F.coalesce(alone, block).alias("block"))
+
+        def once(pairs: DataFrame) -> DataFrame:
+            return pairs.groupBy("a", "b").agg(F.min("block").alias("block"))
 
         small = nodes.where(F.col("in_node") <= self.leaf)
         apart = (F.col("l.path") == F.col("r.path")) & (F.col("l.comp") != F.col("r.comp"))
         on = apart & (F.col("l.id") < F.col("r.id")) & self.near("l", "r")
-        found = out(small.alias("l").join(small.alias("r"), on))
+        found = out(small.alias("l").join(small.alias("r"), on), F.col("l.path"))
         # A row not linked to any other yet comes first; ties in an order of the path's own.
         rank = F.struct("linked", F.xxhash64("path", "id"))
         whole = F.struct(*[c for c in nodes.columns if c not in ("linked", "in_node")])
@@ -140,10 +148,11 @@ class Linker:
         )
         pivots = self.scratch.keep(pivots, "pivots")
         if pivots.isEmpty():
-            return found.distinct(), None
+            return once(found), None
         large = nodes.where(F.col("in_node") > self.leaf)
         met = large.alias("l").join(pivots.alias("r"), apart & self.near("l", "r"))
-        return found.unionByName(out(met)).distinct(), pivots
+        slot = F.pmod(F.xxhash64("l.id"), F.ceil(F.col("l.in_node") / self.leaf))
+        return once(found.unionByName(out(met, F.xxhash64("l.path", slot)))), pivots
 
     def link(self, pairs: DataFrame) -> None:
         """Confirm pairs and merge their groups."""
@@ -162,7 +171,7 @@ class Linker:
         if pairs.isEmpty():
             return
         if level == 0:
-            self.link(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+            self.link(pairs.groupBy("b").agg(F.min(F.struct("a", "block")).alias("p")).select("p.a", "b", "p.block"))
             if self.stars is not None:
                 pairs = self.scratch.keep(_apart(pairs, self.stars), "apart")
                 if pairs.isEmpty():
