@@ -1,8 +1,8 @@
 """Fuzzy line removal across documents.
 
 Lines are normalised (lower case, no punctuation, one space between words). Equal
-normalised lines are one line from the start. Each gets a 64-bit SimHash of its words; two
-that differ in at most `DISTANCE` = 3 of the 64 bits agree on two of five blocks, so they
+normalised lines are one line from the start, however short. Those long enough get a
+64-bit SimHash of their words, or of their character runs where words are few; two that differ in at most `DISTANCE` = 3 of the 64 bits agree on two of five blocks, so they
 meet under one of ten keys. A key with many lines is split again by four parts of the bits
 in which its lines differ, one of which they agree on too, and so on: no pair within the
 distance is lost. Lines whose SimHashes are too much alike for that are all compared, tile by
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.llm.common import Scratch, key_filter, may_have, mixed, window_hashes
+from barloom.llm.common import Scratch, key_filter, may_have, mixed, unused, window_hashes
 from barloom.llm.linking import Linker
 
 DISTANCE = 3
@@ -35,6 +35,7 @@ NIBBLES = np.arange(0, 64, 4, dtype=np.uint64)
 FOUR_BITS = ((np.arange(16, dtype=np.uint64)[:, None] >> np.arange(4, dtype=np.uint64) & np.uint64(1)) << LANES).sum(1, dtype=np.uint64)
 # A word weighs this much at most, and so many are added before a lane could overflow.
 HEAVIEST = 30
+RUN = 4  # characters in a run, the feature of lines of few words
 PART = 2000
 # With so few bits that differ, four parts hold as many pairs as the whole; lines compared at once.
 ALIKE_BITS = 8
@@ -53,19 +54,33 @@ LINE = T.ArrayType(
 )
 
 
-def normalised(text: str, min_words: int) -> list[tuple[int, list[bytes], bytes]]:
-    """(number, words, line made of them) of every line with words enough.
+def normalised(text: str) -> list[tuple[int, list[bytes], bytes]]:
+    """(number, words, line made of them) of every line with a word.
 
     Lower case; ASCII characters but letters and digits separate words.
     """
     out = []
     for no, line in enumerate(text.lower().encode().translate(_SPACED).split(b"\n")):
         words = line.split()
-        if len(words) >= min_words:
+        if words:
             out.append((no, words, b" ".join(words)))
     return out
 
 
+def features(words: list[bytes], line: bytes, min_words: int) -> list[bytes] | None:
+    """What a line's SimHash is made of; None if it is too short to be compared.
+
+    Its words, if there are `min_words` of them. Otherwise, as in scripts without spaces, its
+    runs of `RUN` characters, if it has as many characters as `min_words` such runs.
+    """
+    if len(words) >= min_words:
+        return words
+    text = line.decode()
+    if len(text) < RUN * min_words:
+        return None
+    return [text[i : i + RUN].encode() for i in range(len(text) - RUN + 1)]
+
+
 class WordLanes(dict):
     """Each word's place in `rows`: the bits of its hash in lanes, times its weight.
 
@@ -136,23 +151,27 @@ def _digests(lines: list[bytes]) -> np.ndarray:
 
 
 def line_prints(min_words: int):
-    """Arrow function: text to its lines with enough words."""
+    """Arrow function: text to its lines with a word; `sim` is null for those not compared."""
 
     @F.arrow_udf(LINE)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         cache = WordLanes()
         for batch in batches:
-            each = [normalised(text or "", min_words) for text in batch.to_pylist()]
+            each = [normalised(text or "") for text in batch.to_pylist()]
             found = [line for lines in each for line in lines]
             digests = _digests([line for _, _, line in found])
             _, once, same = np.unique(digests[:, 0], return_index=True, return_inverse=True)
-            sims = simhashes([found[i][1] for i in once], cache).view(np.int64)[same]
+            made = [features(found[i][1], found[i][2], min_words) for i in once]
+            short = np.array([f is None for f in made], bool)
+            sims = np.zeros(len(made), np.int64)
+            sims[~short] = simhashes([f for f in made if f is not None], cache).view(np.int64)
+            chars = np.array([len(found[i][2].decode()) for i in once], np.int32)
             fields = [
                 pa.array([no for no, _, _ in found], pa.int32()),
                 pa.array(digests[:, 0].copy()),
                 pa.array(digests[:, 1].copy()),
-                pa.array(sims),
-                pa.array([len(line) for _, _, line in found], pa.int32()),
+                pa.array(sims[same], mask=short[same]),
+                pa.array(chars[same]),
             ]
             offsets = np.concatenate(([0], np.cumsum([len(lines) for lines in each]))).astype(np.int32)
             values = pa.StructArray.from_arrays(fields, names=["no", "h1", "h2", "sim", "chars"])
@@ -161,7 +180,7 @@ def line_prints(min_words: int):
     return run
 
 
-def wanted_lines(min_words: int, documents, lines):
+def wanted_lines(documents, lines):
     """Arrow function: (document's hash, text) to those of its normalised lines that are wanted.
 
     Only a document whose hash is wanted is looked into.
@@ -173,7 +192,7 @@ def wanted_lines(min_words: int, documents, lines):
         for keys, texts in batches:
             out = []
             for take, text in zip(may_have(documents.value, keys.to_numpy(zero_copy_only=False)), texts):
-                norm = [line for _, _, line in normalised(text.as_py() or "", min_words)] if take else []
+                norm = [line for _, _, line in normalised(text.as_py() or "")] if take else []
                 h1 = _digests(norm)[:, 0]
                 chosen = np.flatnonzero(may_have(lines.value, h1))
                 out.append([{"h1": int(h1[i]), "line": norm[i].decode()} for i in chosen])
@@ -298,12 +317,14 @@ def dedup_lines(
 ) -> DataFrame:
     """Every row of `docs` with `text` cleaned, `n_lines`, and `n_removed`, the lines taken out.
 
-    Only lines of `min_words` words and more take part; the others stay. A line goes if an
+    Every line with a word takes part with its equals; lines of `min_words` words and more, or
+    of as many runs of `RUN` characters, also with similar ones. A line goes if an
     earlier one of its group is in a document of a smaller id, or earlier in its own. Null
     ids come last. Rows that repeat an id are ordered by the hash of their texts; rows alike
     in both count as one document and keep or lose the same lines. A null text stays null
-    and has no lines. Columns named `n_lines` or `n_removed` are replaced, all others stay.
-    An empty table stays empty.
+    and has no lines. A very long text is read whole, by one task; a very long line is one
+    line like others. Columns named `n_lines` or `n_removed` are replaced, all others stay
+    whatever their names. An empty table stays empty.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "lines")
@@ -325,7 +346,8 @@ def dedup_lines(
     keys = F.array(
         *[F.struct(F.lit(k).alias("k"), F.shiftleft(blocks[i], 13).bitwiseOR(blocks[j]).alias("v")) for k, (i, j) in enumerate(PAIRS)]
     )
-    rows = lines.select(F.col("h1").alias("id"), "sim", "chars", F.explode(keys).alias("key")).select(
+    compared = lines.where("sim is not null")
+    rows = compared.select(F.col("h1").alias("id"), "sim", "chars", F.explode(keys).alias("key")).select(
         F.shiftleft(F.col("key.v"), 4).bitwiseOR(F.col("key.k")).alias("path"), "id", "sim", "chars",
     )
 
@@ -340,7 +362,7 @@ def dedup_lines(
         asked = found.select(F.explode(F.array("a", "b")).alias("id")).unionByName(large.select("id"))
         first = lines.join(asked, lines["h1"] == asked["id"], "left_semi")
         first = first.select(F.xxhash64("first.id_", "first.th").alias("doc"))
-        pick = wanted_lines(min_words, key_filter(first, "doc"), key_filter(asked, "id"))
+        pick = wanted_lines(key_filter(first, "doc"), key_filter(asked, "id"))
         place_of = F.xxhash64("id_", F.xxhash64("text_"))
         made = slim.select(F.explode(pick(place_of, F.col("text_"))).alias("l")).select("l.*")
         whole = made.groupBy("h1").agg(F.min("line").alias("line"))
@@ -402,17 +424,20 @@ def dedup_lines(
         .groupBy("place.id_", "place.th")
         .agg(F.collect_set("place.no").alias("gone"))
     )
-    gone = scratch.keep(gone.withColumnsRenamed({"id_": "gone_id", "th": "gone_th"}), "gone")
-    rows = docs.drop("n_lines", "n_removed").withColumn("gone_of", F.xxhash64(text_col))
-    rows = rows.join(gone, F.col(id_col).eqNullSafe(F.col("gone_id")) & (F.col("gone_of") == F.col("gone_th")), "left")
+    rows = docs.drop("n_lines", "n_removed")
+    g = unused("gone", rows)
+    gone = scratch.keep(gone.select(F.struct("id_", "th", "gone").alias(g)), "gone")
+    same = F.col(id_col).eqNullSafe(F.col(f"{g}.id_")) & (F.xxhash64(text_col) == F.col(f"{g}.th"))
+    rows = rows.join(gone, same, "left")
+    gone = F.col(f"{g}.gone")
     parts = F.split(F.col(text_col), "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("gone"))
+    left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), gone)
     kept = F.transform(left, lambda i: F.get(parts, i))
-    cleaned = F.when(F.col("gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+    cleaned = F.when(gone.isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
     return rows.withColumns(
         {
             text_col: cleaned,
             "n_lines": F.when(F.col(text_col).isNull(), 0).otherwise(F.size(parts)).cast("bigint"),
-            "n_removed": F.coalesce(F.size("gone"), F.lit(0)).cast("bigint"),
+            "n_removed": F.when(gone.isNull(), 0).otherwise(F.size(gone)).cast("bigint"),
         }
-    ).drop("gone_id", "gone_th", "gone_of", "gone")
+    ).drop(g)

@@ -31,6 +31,14 @@ def test_edit_distance(seed):
             assert (lines.edit_distance(a, b, most) <= most) == (want <= most)
 
 
+def plain_features(words, min_words=5):
+    """Words, or runs of four characters where words are few; None of short lines."""
+    text = " ".join(words)
+    if len(words) >= min_words:
+        return words
+    return None if len(text) < 4 * min_words else [text[i : i + 4] for i in range(len(text) - 3)]
+
+
 def plain_simhash(words):
     ones, total = [0] * 64, 0
     for w in words:
@@ -49,15 +57,16 @@ def brute(rows, min_words=5, min_percent=80):
     for none, doc_id, text in docs:
         for no, line in enumerate(text.split("\n")):
             words = re.sub(r"[\x00-\x7f]", lambda c: c[0] if c[0].isalnum() else " ", line.lower()).split(" ")
-            if len(words := [w for w in words if w]) >= min_words:
+            if words := [w for w in words if w]:
                 seen[(none, doc_id, no, text)] = (words, " ".join(words))
     norms = sorted({v[1] for v in seen.values()})
-    sims = {n: plain_simhash(n.split(" ")) for n in norms}
+    made = {n: plain_features(n.split(" "), min_words) for n in norms}
+    sims = {n: plain_simhash(f) for n, f in made.items() if f}
     links = []
     for i, a in enumerate(norms):
         for b in norms[:i]:
             longest = max(len(a), len(b))
-            if (sims[a] ^ sims[b]).bit_count() <= 3 and plain_distance(a, b) <= (100 - min_percent) * longest // 100:
+            if a in sims and b in sims and (sims[a] ^ sims[b]).bit_count() <= 3 and plain_distance(a, b) <= (100 - min_percent) * longest // 100:
                 links.append((a, b))
     group = fixtures.groups(norms, links)
     first = {}
@@ -163,3 +172,26 @@ def test_alike_hashes_of_two_values_are_finished(spark):
     want, texts = brute(rows), dict(rows)
     got = lines.dedup_lines(df, leaf=4).collect()
     assert {(r.doc_id, texts[r.doc_id]): r.text for r in got} == want
+
+
+def test_short_lines_and_lines_without_spaces(spark):
+    """Equal lines of any length go, and similar ones of a script that has no spaces."""
+    chinese = "".join(chr(0x4E00 + 37 * i) for i in range(60))
+    texts = [f"Read more\nalpha {i} beta\n---" for i in range(50)] + [chinese, chinese[:30] + "\u3400" + chinese[31:], chinese[::-1]]
+    rows = list(enumerate(texts))
+    got = {(r.doc_id, texts[r.doc_id]): r.text for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == brute(rows)
+    assert got[(0, texts[0])] == texts[0]
+    assert all(got[(i, texts[i])] == f"alpha {i} beta\n---" for i in range(1, 50))
+    assert got[(50, chinese)] == chinese and got[(52, texts[52])] == texts[52]
+
+
+def test_clashing_names(spark):
+    names = ["gone", "Gone_", "gone_id", "gone_th", "gone_of", "id_", "th", "l", "place", "first", "sim"]
+    line = "one two three four five six"
+    schema = "doc_id bigint, text string, " + ", ".join(f"`{c}` string" for c in names)
+    df = spark.createDataFrame([(1, line, *names), (2, line + "\nx", *names), (2, None, *names)], schema)
+    got = lines.dedup_lines(df)
+    assert got.columns == [*df.columns, "n_lines", "n_removed"]
+    assert sorted((r.doc_id, str(r.text), r.n_removed) for r in got.collect()) == [(1, line, 0), (2, "None", 0), (2, "x", 1)]
+    assert all(r[c] == c for r in got.collect() for c in names)
