@@ -5,8 +5,9 @@ masked checksum of the data (4). The checksum is CRC-32C; masked means turned ri
 bits plus a constant, so that a checksum of data that holds checksums stays sound. Readers
 of the common framing of serialized training examples read these files.
 
-The data of a record is: document id (8, signed; the smallest integer for a null one),
-bytes per id (1), then the ids, 2 or 4 bytes each as the vocabulary needs.
+The data of a record is: document id (8, signed; 0 for a null one), bytes per id (1, its
+highest bit set for a null document id), then the ids, 2 or 4 bytes each as the vocabulary
+needs.
 
 Each task of a range shuffle writes one file and returns one index line per record. The
 index is a Parquet table that only holds lines of committed tasks: a file of a task that
@@ -33,7 +34,7 @@ from barloom.llm.common import Scratch, shuffle_parts
 # Fixed values of the format.
 CASTAGNOLI = 0x82F63B78
 MASK_DELTA = 0xA282EAD8
-NULL_ID = -(2**63)
+NO_ID = 0x80  # set in the byte of the width where the document has no id
 LANE = 64  # bytes of each of the lanes whose checksums advance together
 INDEX = "doc_id bigint, part int, file string, at bigint, length bigint, n_tokens bigint, before bigint"
 RECORDS = "doc_id bigint, part int, before bigint, n_tokens bigint, ids_crc32 bigint, ids array<bigint>"
@@ -114,12 +115,12 @@ def unframed(records: list[bytes]) -> list[bytes]:
 
 
 def packed(doc_id: int | None, ids: np.ndarray, width: int) -> bytes:
-    return struct.pack("<qB", NULL_ID if doc_id is None else doc_id, width) + ids.astype(f"<u{width}").tobytes()
+    return struct.pack("<qB", doc_id or 0, width | NO_ID if doc_id is None else width) + ids.astype(f"<u{width}").tobytes()
 
 
 def unpacked(data: bytes) -> tuple[int | None, np.ndarray]:
     doc_id, width = struct.unpack_from("<qB", data)
-    return (None if doc_id == NULL_ID else doc_id), np.frombuffer(data, f"<u{width}", offset=9).astype("<u4")
+    return (None if width & NO_ID else doc_id), np.frombuffer(data, f"<u{width & ~NO_ID}", offset=9).astype("<u4")
 
 
 def open_folder(uri: str) -> tuple[pafs.FileSystem, str]:

@@ -92,3 +92,11 @@ def test_empty_table(spark, no_docs):
     packed = bpe.packed_tokenizer(spark, queries.TOKENIZER, None)
     index = records.write(no_docs, folder, bpe.id_arrays(packed, 2), width=2)
     assert records.read(index, folder).collect() == []
+
+
+@pytest.mark.parametrize("doc_id", [None, 0, -1, -(2**63), 2**63 - 1])
+@pytest.mark.parametrize("width", [2, 4])
+def test_every_id_comes_back(doc_id, width):
+    ids = np.array([0, 2, 2**15], np.int64)
+    got, back = records.unpacked(records.packed(doc_id, ids, width))
+    assert got == doc_id and back.tolist() == ids.tolist()
