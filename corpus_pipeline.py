@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.llm import bpe, chosen_path, lines, quality, queries, templates
-from barloom.llm.common import Scratch
+from barloom.llm.common import Scratch, unused
 
 #: SQL has neither SimHash lines, nor the tokenizer; the tests compare with plain Python.
 ORACLE_SQL = None
@@ -28,25 +28,31 @@ def bounded(spark: SparkSession) -> None:
 
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """`docs` without those whose (doc_id, text_hash) is in `gone`."""
-    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"))
-    same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.xxhash64("text") == F.col("gone_hash"))
+    g = unused("gone", docs)
+    gone = gone.select(F.struct("doc_id", "text_hash").alias(g))
+    same = F.col("doc_id").eqNullSafe(F.col(f"{g}.doc_id")) & (F.xxhash64("text") == F.col(f"{g}.text_hash"))
     return docs.join(gone, same, "left_anti")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the fixed rules and the limits of their language and source accept."""
     bounded(spark)
-    return quality.judged(docs).where("kept").select(*docs.columns)
+    others = F.struct(*[c for c in docs.columns if c != "text"]).alias("row")
+    kept = quality.judged(docs.select("text", "lang", "source", others)).where("kept")
+    return kept.select(*[F.col("text" if c == "text" else f"row.{c}") for c in docs.columns])
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One occurrence of every group of similar lines; documents without a word left go."""
     bounded(spark)
-    cleaned = lines.dedup_lines(docs)
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    cleaned = lines.dedup_lines(docs.select("doc_id", "text", F.struct("doc_id", *others).alias("row")))
     changed = F.col("n_removed") > 0
-    if "n_chars" in docs.columns:
-        cleaned = cleaned.withColumn("n_chars", F.when(changed, F.length("text").cast("bigint")).otherwise(F.col("n_chars")))
-    return cleaned.where(~changed | F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(*docs.columns)
+    columns = {c: F.col(f"row.{c}") for c in others} | {"doc_id": F.col("doc_id"), "text": F.col("text")}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(changed, F.length("text").cast("bigint")).otherwise(columns["n_chars"])
+    kept = cleaned.where(~changed | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return kept.select(*[columns[c].alias(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
