@@ -97,3 +97,17 @@ def test_one_row_of_every_group_of_near_copies(spark, corpus):
     assert got.columns == docs.columns
     kept = [(r.doc_id, next(i for i, t in enumerate(texts) if r.text.startswith(t))) for r in got.collect()]
     assert sorted(kept, key=lambda k: k[1]) == [(1, 0), (2, 1), (None, 2), (5, 3)]
+
+
+def test_every_stage_keeps_columns_of_any_name(spark, corpus):
+    """Columns named like an operator's own come out as they went in."""
+    folder, clean = corpus
+    names = ["kept", "m", "n_lines", "n_removed", "gone", "gone_id", "gone_hash", "of_lang", "limit_0", "row", "place", "base_failed"]
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("doc_id < 10 or doc_id = 45")
+    docs = docs.selectExpr("*", *[f"'{c}' as `{c}`" for c in names])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, folder)
+        assert got.columns == docs.columns
+        found = got.collect()
+        assert set(range(10)) <= {r.doc_id for r in found}
+        assert all(r[c] == c for r in found for c in names)
