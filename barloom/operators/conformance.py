@@ -14,78 +14,68 @@ STRINGS, NUMBERS, NULLABLE = {"ts_str", "symbol"}, {"ts", "o", "h", "l", "c", "b
 }
 
 
-def _kind(key: str) -> Column:
-    """JSON type of a field: string, integer, number, null or other; NULL if absent."""
-    kind, value = F.schema_of_variant(_field(key)), F.col(f"_n_{key}")
-    numeric = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
-    return (
-        F.when(kind.isNull(), F.lit(None).cast("string"))
-        .when(kind == "VOID", "null")
-        .when(kind == "STRING", "string")
-        .when(numeric & (value == F.floor(value)), "integer")
-        .when(numeric, "number")
-        .otherwise("other")
-    )
-
-
-def _field(key: str) -> Column:
-    return F.try_element_at("_fields", F.lit(key))
+def _numeric(key: str) -> Column:
+    kind = F.col(f"_k_{key}")
+    return kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
 
 
 def _violation(key: str) -> Column:
-    kind = F.col(f"_k_{key}")
+    kind, value = F.col(f"_k_{key}"), F.col(f"_number.{key}")
     if key in STRINGS:
-        ok = kind == "string"
+        ok = kind == "STRING"
     elif key in NUMBERS:
-        ok = kind.isin("integer", "number")
+        ok = _numeric(key)
         if key in NULLABLE:
-            ok = ok | (kind == "null")
+            ok = ok | (kind == "VOID")
     else:
-        ok = kind == "integer"
-    return F.when(kind.isNull(), F.lit(f"missing:{key}")).when(~ok, F.lit(f"type:{key}"))
+        ok = _numeric(key) & (value == F.floor(value))
+    return F.when(kind.isNull(), F.lit(f"missing:{key}")).when(ok, F.lit(None)).otherwise(F.lit(f"type:{key}"))
 
 
 def _limits(keys: list[str]) -> list[Column]:
-    def number(key: str) -> Column:
-        return F.when(F.col(f"_k_{key}").isin("integer", "number"), F.col(f"_n_{key}"))
-
     checks = [
-        F.when(number("proto") != PROTOCOL, F.lit("const:proto")),
-        F.when(number("seq") < 1, F.lit("minimum:seq")),
+        F.when(_numeric("proto") & (F.col("_number.proto") != PROTOCOL), F.lit("const:proto")),
+        F.when(_numeric("seq") & (F.col("_number.seq") < 1), F.lit("minimum:seq")),
     ]
     if "symbol" in keys:
-        empty = F.try_variant_get(_field("symbol"), "$", "string") == ""
-        checks.append(F.when((F.col("_k_symbol") == "string") & empty, F.lit("minLength:symbol")))
+        empty = F.try_variant_get("_sent.symbol", "$", "string") == ""
+        checks.append(F.when((F.col("_k_symbol") == "STRING") & empty, F.lit("minLength:symbol")))
     return checks
 
 
 def violations(frames: DataFrame) -> DataFrame:
     """One row per (frame, broken rule). The topic picks the schema.
 
-    Frames are read once and a payload is parsed once: its fields become a map, from which
-    the rules of either schema take keys, types and values.
+    Frames are read once and a payload is parsed once. Its known fields come out in one
+    cast, the numbers among them in another; no field is looked up by its name.
     """
     known = [*POINT_KEYS, *(k for k in HELLO_KEYS if k not in POINT_KEYS)]
+    whole = [k for k in known if k not in STRINGS | NUMBERS]
     parsed = frames.select("arrival", "topic", settled(F.try_parse_json("payload")).alias("_v"))
+
+    def cast(kind: str) -> Column:
+        return settled(F.try_variant_get("_v", "$", kind))
+
     fields = parsed.select(
         "arrival",
         "topic",
         F.col("_v").isNull().alias("_unread"),
-        settled(F.try_variant_get("_v", "$", "map<string,variant>")).alias("_fields"),
+        cast(f"struct<{', '.join(f'{k} variant' for k in known)}>").alias("_sent"),
+        cast(f"struct<{', '.join(f'{k} double' for k in whole)}>").alias("_number"),
+        F.map_keys(cast("map<string,variant>")).alias("_keys"),
     )
-    valued = fields.select("*", *[F.try_variant_get(_field(k), "$", "double").alias(f"_n_{k}") for k in known])
-    typed = valued.select("*", *[_kind(k).alias(f"_k_{k}") for k in known])
+    typed = fields.select("*", *[F.schema_of_variant(f"_sent.{k}").alias(f"_k_{k}") for k in known])
 
     def broken(keys: list[str]) -> Column:
         extra = F.transform(
-            F.array_except(F.map_keys("_fields"), F.array(*[F.lit(k) for k in keys])),
+            F.array_except("_keys", F.array(*[F.lit(k) for k in keys])),
             lambda k: F.concat(F.lit("extra:"), k),
         )
         return F.concat(F.array_compact(F.array(*[_violation(k) for k in keys], *_limits(keys))), extra)
 
     found = (
         F.when(F.col("_unread"), F.array(F.lit("not_json")))
-        .when(F.col("_fields").isNull(), F.array(F.lit("type:object")))
+        .when(F.col("_sent").isNull(), F.array(F.lit("type:object")))
         .when(F.col("topic") == CONTROL_TOPIC, broken(HELLO_KEYS))
         .otherwise(broken(POINT_KEYS))
     )

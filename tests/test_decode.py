@@ -3,6 +3,7 @@ from feed import collect, frames, hello, payload, utc_text
 from barloom.operators import announcements as ann
 from barloom.operators import conformance, wire_report
 from barloom.operators import decode as dec
+from barloom.schemas import POINT_KEYS
 from barloom.sources import frames as source
 from barloom.sources.symbols import symbols_table
 
@@ -207,3 +208,30 @@ def test_conformance_reads_and_parses_once(spark, tmp_path):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1
     assert found._jdf.queryExecution().optimizedPlan().toString().count("parse_json") <= 1
+
+
+def test_conformance_looks_no_field_up_by_name(spark):
+    found = conformance.violations(frames(spark, [("SPY", payload())]))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "element_at" not in plan
+
+
+def test_conformance_of_odd_fields(spark):
+    messages = [
+        ("SPY", payload(seq=2.5, bar_type=60.0, ask={"a": 1})),
+        ("SPY", payload(seq=[1], ts_str=None, o="1.5")),
+        ("SPY", "null"),
+        ("SPY", "{}"),
+        ("__ts2py__", hello(symbol=None)),
+    ]
+    found = sorted(collect(conformance.violations(frames(spark, messages)), "arrival", "violation"))
+    assert [r for r in found if r[0] != 3] == [
+        (0, "type:ask"),
+        (0, "type:seq"),
+        (1, "type:o"),
+        (1, "type:seq"),
+        (1, "type:ts_str"),
+        (2, "type:object"),
+        (4, "type:symbol"),
+    ]
+    assert sorted(v for a, v in found if a == 3) == sorted(f"missing:{k}" for k in POINT_KEYS)
