@@ -220,3 +220,24 @@ def refusals_by_reason(decoded: DataFrame) -> DataFrame:
 
 def observed(decoded: DataFrame) -> DataFrame:
     return decoded.where("observed").select("arrival", "sid", "topic", "seq")
+
+
+def numbers(frames: DataFrame, subscribed: DataFrame | None = None) -> DataFrame:
+    """`observed(decode(frames))` for those who need nothing else of a frame: of its fields
+    only the counter's two are cast."""
+    parsed = route(frames, subscribed).withColumn("_v", F.try_parse_json("payload"))
+    pair = parsed.select(
+        "arrival",
+        "topic",
+        F.col("payload").rlike(r"^\s*\{").alias("_object"),
+        settled(F.try_variant_get("_v", "$", "struct<seq bigint, sid bigint>")).alias("_typed"),
+        settled(F.try_variant_get("_v", "$", "struct<seq variant, sid variant>")).alias("_sent"),
+    )
+    fields = pair.select(
+        "arrival",
+        F.when(F.col("_sent.sid").isNull(), 0).otherwise(F.col("_typed.sid")).alias("sid"),
+        "topic",
+        "_typed.seq",
+        (F.col("_object") & _given("seq")).alias("_numbered"),
+    )
+    return fields.where("_numbered AND seq IS NOT NULL AND sid IS NOT NULL").drop("_numbered")

@@ -78,14 +78,16 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One frame per event. A point's time lies `value` seconds before the event,
-    so points arrive out of order; `k` below 19 damages or reroutes a frame."""
+def frames(spark: SparkSession, sf_dir: str, part: Column | None = None) -> DataFrame:
+    """One frame per event, of all or of the part of events that `landed_at` chooses. A
+    point's time lies `value` seconds before the event, so points arrive out of order; `k`
+    below 19 damages or reroutes a frame. Payloads are written for that part alone."""
     k, user = F.col("k"), F.col("user_id")
+    landed = events(spark, sf_dir).withColumn("landed_at", F.timestamp_micros(F.col("us") + k * 1000 + user * 7))
     bar_type = F.when(user < 30, TICK).otherwise(MINUTE)
     interval = F.when(user < 4, 5).when(user < 30, 1).when(user < 90, 60).otherwise(15)
     ev = (
-        spread(events(spark, sf_dir))
+        spread(landed if part is None else landed.where(part))
         .withColumn("stamp_us", F.col("us") - F.col("cents") * 10_000)
         .withColumns({"bar_type": bar_type.cast("bigint"), "bar_interval": interval.cast("bigint")})
     )
@@ -144,7 +146,7 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
         topic.alias("topic"),
         settled(payload).alias("payload"),
         F.when(k == 14, "�").alias("payload_invalid_utf8"),
-        F.timestamp_micros(F.col("us") + k * 1000 + user * 7).alias("landed_at"),
+        "landed_at",
     )
 
 

@@ -1,8 +1,11 @@
 from feed import collect, frames, hello, payload, utc_text
 
+from pyspark.sql import functions as F
+
 from barloom.operators import announcements as ann
 from barloom.operators import conformance, wire_report
 from barloom.operators import decode as dec
+from barloom.plans import adapters
 from barloom.schemas import POINT_KEYS
 from barloom.sources import frames as source
 from barloom.sources.symbols import symbols_table
@@ -235,3 +238,28 @@ def test_conformance_of_odd_fields(spark):
         (4, "type:symbol"),
     ]
     assert sorted(v for a, v in found if a == 3) == sorted(f"missing:{k}" for k in POINT_KEYS)
+
+
+def test_numbers_are_those_of_decoding(spark):
+    texts = [
+        payload(), payload(seq=None), payload(seq="7"), payload(seq=7.5), payload(sid=None), payload(sid="x"), payload(sid=[1]),
+        payload(seq=2**70), payload(proto=1, ts_str="soon"), '{"seq": 3}', ' {"seq": 4, "sid": 9}', '{"seq": true, "sid": "8"}',
+        "[1]", "null", "{}", "not json", None, '{"seq": 1, "seq": 2}',
+    ]
+    told = frames(spark, [(topic, t) for topic in ("SPY", "__ts2py__", "QQQ") for t in texts])
+    for subscribed in (None, symbols_table(spark, SPY_ONLY)):
+        want = dec.observed(dec.decode(told, subscribed)).select("arrival", "sid", "topic", "seq").collect()
+        found = dec.numbers(told, subscribed)
+        assert sorted(found.collect()) == sorted(want) and want
+    assert "bar_interval" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_landed_part_writes_payloads_for_its_own_frames_alone(spark):
+    early = F.col("landed_at") < F.lit("2024-01-15").cast("timestamp")
+    sf_dir = "/root/testdata/sf0.001"
+    parts = [adapters.frames(spark, sf_dir, part) for part in (early, ~early)]
+    both = parts[0].unionByName(parts[1])
+    whole = adapters.frames(spark, sf_dir)
+    assert both.exceptAll(whole).isEmpty() and whole.exceptAll(both).isEmpty()
+    plan = parts[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("StructsToJson") < plan.index("Filter")

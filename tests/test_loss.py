@@ -128,3 +128,24 @@ def test_a_forgotten_session_starts_anew(spark, folder):
         time.sleep(0.2)
     query.stop()
     assert collect(job.messages_lost(), *COLUMNS) == [("SPY", 3, 1, 1, 0, 2)]
+
+
+def test_a_batch_planned_before_the_last_stop_is_no_sign_of_having_caught_up():
+    from types import SimpleNamespace
+
+    reports = [(7, 0), (7, 0), (8, 45), (9, 0)]  # batch 7 was planned before part two landed
+
+    class Query:
+        asked = 0
+
+        @property
+        def recentProgress(self):
+            batch, rows = reports[min(self.asked, 3)]
+            self.asked += 1
+            return [SimpleNamespace(batchId=batch, numInputRows=rows)]
+
+        def exception(self):
+            return None
+
+    query = Query()
+    assert loss.caught_up(query, 10) is query and query.asked == 4
