@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from uuid import uuid4
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.plans import adapters as ad
@@ -41,28 +43,42 @@ def query(oracle: str | None = None):
 
 def landings(spark, sf_dir, root):
     """Land the frames up to a day, then the rest; a stream of them after each part."""
-    frames = ad.frames(spark, sf_dir)
     early = F.col("landed_at").cast("timestamp_ntz") < F.lit(CUT)
-    for part in (frames.where(early), frames.where(~early)):
-        fr.write_frames(part, f"{root}/landing")
+    for part in (early, ~early):
+        fr.write_frames(ad.frames(spark, sf_dir, part), f"{root}/landing")
         yield fr.stream_frames(spark, f"{root}/landing", max_files=2**31 - 1)
 
 
+def live(spark, **parts) -> tuple[Ingest, Callable[[DataFrame], None]]:
+    """The closing job, and how it catches up with a stream."""
+    job = Ingest(spark, f"{shared_dir(spark)}/ingest-{uuid4().hex}", ad.symbols(spark), **parts)
+    return job, lambda stream: job.start(stream, availableNow=True).awaitTermination()
+
+
+def counter(spark) -> tuple[LossCounter, Callable[[DataFrame], None]]:
+    """The counting job, and how it catches up with a stream and stops."""
+    job = LossCounter(spark, f"{shared_dir(spark)}/loss-{uuid4().hex}/job", ad.symbols(spark), width=1 << 12)
+    return job, lambda stream: caught_up(job.start(stream, processingTime="500 milliseconds")).stop()
+
+
+def catching_up(spark, sf_dir, *catch_up: Callable[[DataFrame], None]) -> None:
+    """Land both parts, once for all jobs, which catch up after each."""
+    for stream in landings(spark, sf_dir, f"{shared_dir(spark)}/feed-{uuid4().hex}"):
+        for follow in catch_up:
+            follow(stream)
+
+
 def run(spark, sf_dir, **parts) -> Ingest:
     """The closing job; it catches up after each part."""
-    root = f"{shared_dir(spark)}/ingest-{uuid4().hex}"
-    job = Ingest(spark, root, ad.symbols(spark), **parts)
-    for stream in landings(spark, sf_dir, root):
-        job.start(stream, availableNow=True).awaitTermination()
+    job, follow = live(spark, **parts)
+    catching_up(spark, sf_dir, follow)
     return job
 
 
 def counted(spark, sf_dir) -> LossCounter:
     """The counting job, stopped when it has caught up with each part."""
-    root = f"{shared_dir(spark)}/loss-{uuid4().hex}"
-    job = LossCounter(spark, f"{root}/job", ad.symbols(spark), width=1 << 12)
-    for stream in landings(spark, sf_dir, root):
-        caught_up(job.start(stream, processingTime="500 milliseconds")).stop()
+    job, follow = counter(spark)
+    catching_up(spark, sf_dir, follow)
     return job
 
 
@@ -198,7 +214,9 @@ def stream_store(spark, sf_dir):
 )
 def stream_heartbeat(spark, sf_dir):
     """All counters of the live job and the loss of the counting job, read together."""
-    found = run(spark, sf_dir).counters() | {"messages_lost": counted(spark, sf_dir).total_lost()}
+    (job, closing), (losses, counting) = live(spark), counter(spark)
+    catching_up(spark, sf_dir, closing, counting)
+    found = job.counters() | {"messages_lost": losses.total_lost()}
     return spark.createDataFrame([found], f"{COUNTERS}, messages_lost bigint").drop("late")
 
 

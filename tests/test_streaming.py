@@ -248,3 +248,14 @@ def test_extreme_numbers_end_no_job(spark):
     assert quality.identity_checks(dec.points(decoded)).first()["rows"] >= 1
     totals = quality.total_volume(store.as_bars(dec.points(decoded))).first()
     assert totals["total_volume"] is not None
+
+
+def test_jobs_that_catch_up_together_share_the_landed_frames(spark, monkeypatch):
+    from barloom.plans import stream_queries as sq
+
+    landed, followed = [], []
+    monkeypatch.setattr(sq.fr, "write_frames", lambda part, path: landed.append(path))
+    monkeypatch.setattr(sq.fr, "stream_frames", lambda spark, path, max_files: path)
+    sq.catching_up(spark, "/root/testdata/sf0.001", lambda s: followed.append(("a", s)), lambda s: followed.append(("b", s)))
+    assert len(landed) == 2 and len(set(landed)) == 1
+    assert followed == [(job, landed[0]) for _ in range(2) for job in "ab"]
