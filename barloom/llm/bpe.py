@@ -15,12 +15,13 @@ before anything is read as UTF-8, so split characters come back whole.
 from __future__ import annotations
 
 import base64
+import hashlib
 import json
 import os
 import re
 from array import array
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -129,15 +130,19 @@ class Encoder:
     are one match, which needs no pattern. Any other text goes to the library whole.
     """
 
-    LIMIT = 400_000  # remembered parts
+    LIMIT = 800_000  # remembered parts, and as many from before
 
     def __init__(self, content: bytes):
         self.whole, self.word = loaded(content), loaded(content)
         self.word.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.known: dict[str, bytes] = {}  # ids as 32-bit integers
+        self.before: dict[str, bytes] = {}  # parts known earlier; those that come again are taken over
 
     def learn(self, parts: set[str]) -> None:
         """Encode parts of texts that need no further cutting."""
+        met = parts.intersection(self.before)
+        self.known.update(zip(met, map(self.before.__getitem__, met)))
+        parts.difference_update(met)
         words = [p for p in parts if _ONE_WORD.fullmatch(p)]
         others = list(parts.difference(words))
         for tok, group in ((self.word, words), (self.whole, others)):
@@ -151,18 +156,19 @@ class Encoder:
         current = 0
         for group in _groups((i, part) for i, text in enumerate(texts) for part in pieces(text)):
             if len(self.known) > self.LIMIT:
-                self.known.clear()
+                self.before, self.known = self.known, {}
             cut = [[part] if _OTHER_SPACE.search(part) else _PARTS.findall(part) for _, part in group]
-            every = set(chain.from_iterable(cut))
-            self.learn(every.difference(self.known))
-            for (i, _), parts in zip(group, cut):
+            new = set(filterfalse(self.known.__contains__, chain.from_iterable(cut)))
+            long = [part for part in new if len(part) > 64]
+            self.learn(new)
+            done = [b"".join(map(self.known.__getitem__, parts)) for parts in cut]
+            for part in long:
+                del self.known[part]
+            for (i, _), ids in zip(group, done):
                 if i != current:
                     yield np.frombuffer(b"".join(made), np.int32)
                     made, current = [], i
-                made.append(b"".join(map(self.known.__getitem__, parts)))
-            for part in every:
-                if len(part) > 64:
-                    del self.known[part]
+                made.append(ids)
         if texts:
             yield np.frombuffer(b"".join(made), np.int32)
 
@@ -273,14 +279,23 @@ def decoded_text(binary):
     return F.call_function("make_valid_utf8", (F.col(binary) if isinstance(binary, str) else binary).cast("string"))
 
 
+_LAST: dict[bytes, Encoder] = {}  # of this process, by its tokenizer's digest
+
+
+def last_encoder(content: bytes) -> Encoder:
+    """An encoder that this process keeps for its next task, with the parts it remembers."""
+    key = hashlib.sha256(content).digest()
+    if key not in _LAST:
+        _LAST.clear()
+        _LAST[key] = Encoder(content)
+    return _LAST[key]
+
+
 def id_arrays(packed, end_id: int) -> Callable[[pa.Array], Iterator[np.ndarray]]:
     """What turns a column of texts into ids, `end_id` behind those of each text."""
-    held: list[Encoder] = []
 
     def run(texts: pa.Array) -> Iterator[np.ndarray]:
-        if not held:
-            held.append(Encoder(packed.value))
-        for ids in held[0]([t or "" for t in texts.to_pylist()]):
+        for ids in last_encoder(packed.value)([t or "" for t in texts.to_pylist()]):
             yield np.append(ids, np.int32(end_id))
 
     return run

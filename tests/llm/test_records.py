@@ -1,7 +1,10 @@
+import random
 import zlib
+from types import SimpleNamespace
 
 import fixtures
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from barloom.llm import bpe, queries, records
@@ -100,3 +103,25 @@ def test_every_id_comes_back(doc_id, width):
     ids = np.array([0, 2, 2**15], np.int64)
     got, back = records.unpacked(records.packed(doc_id, ids, width))
     assert got == doc_id and back.tolist() == ids.tolist()
+
+
+def test_tasks_of_a_process_learn_a_part_once(monkeypatch):
+    rng = random.Random(8)
+    texts = [fixtures.document(rng) for _ in range(6)]
+    learnt, learn = [], bpe.Encoder.learn
+    monkeypatch.setattr(bpe.Encoder, "learn", lambda self, parts: (learnt.extend(parts), learn(self, parts)))
+    with open(queries.TOKENIZER, "rb") as file:
+        packed = SimpleNamespace(value=file.read() + b"\n")
+    first, second = ([ids.tolist() for ids in bpe.id_arrays(packed, 2)(pa.array(texts))] for _ in range(2))
+    assert first == second and learnt and len(learnt) == len(set(learnt))
+
+
+def test_forgotten_parts_are_learnt_again(monkeypatch):
+    monkeypatch.setattr(bpe.Encoder, "LIMIT", 40)
+    monkeypatch.setattr(bpe, "CHUNK_CHARS", 200)
+    rng = random.Random(9)
+    texts = [fixtures.document(rng) + " " + "y" * 80 for _ in range(20)] * 2
+    with open(queries.TOKENIZER, "rb") as file:
+        encoder = bpe.Encoder(file.read())
+    want = [encoder.whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids.tolist() for ids in encoder(texts)] == want and encoder.before
