@@ -3,7 +3,9 @@
 Lines are normalised (lower case, no punctuation, one space between words). Equal
 normalised lines are one line from the start, however short. Those long enough get a
 64-bit SimHash of their words, or of their character runs where words are few; two that differ in at most `DISTANCE` = 3 of the 64 bits agree on two of five blocks, so they
-meet under one of ten keys. A key with many lines is split again by four parts of the bits
+meet under one of ten keys of 25 bits and more. With very many lines the bits are cut into
+six or seven blocks, of which they agree on three or four: longer keys, so that no more
+lines meet by chance. A key with many lines is split again by four parts of the bits
 in which its lines differ, one of which they agree on too, and so on: no pair within the
 distance is lost. Lines whose SimHashes are too much alike for that are all compared, tile by
 tile. Pairs are verified by the edit similarity of the normalised lines; of every
@@ -13,6 +15,7 @@ connected group, the first line of the lowest document id stays.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +28,7 @@ from barloom.llm.common import Scratch, key_filter, may_have, mixed, unused, win
 from barloom.llm.linking import Linker
 
 DISTANCE = 3
-BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))  # (first bit, bits) of the five
-PAIRS = [(i, j) for i in range(5) for j in range(i)]
+MOST_LINES = ((1 << 23, 5), (1 << 29, 6))  # lines up to which the bits are cut into so many blocks
 LANE = 16
 LANES = np.arange(0, 64, LANE, dtype=np.uint64)
 BITS = np.arange(64, dtype=np.uint64)
@@ -104,7 +106,7 @@ class WordLanes(dict):
     def places(self, words: list[bytes]) -> np.ndarray:
         if len(self) > self.LIMIT:
             self.clear()
-        out = np.array(list(map(self.__getitem__, words)), np.int64)
+        out = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         if self.new:
             h = np.array(list(map(xxhash.xxh3_64_intdigest, self.new)), np.uint64)
             lengths = np.array(list(map(len, self.new)), np.int64)
@@ -180,6 +182,40 @@ def line_prints(min_words: int):
     return run
 
 
+def block_count(lines: int) -> int:
+    """Blocks whose keys are shared by a few percent of so many lines by chance."""
+    return next((blocks for most, blocks in MOST_LINES if lines <= most), 7)
+
+
+def block_keys(sim: str, blocks: int):
+    """An array of keys; two SimHashes within the distance have at least one in common.
+
+    Bits that differ are in `DISTANCE` blocks at most, so all others agree: one key for each choice
+    of these, of their bits and the choice's number.
+    """
+    sizes = [64 // blocks + (i < 64 % blocks) for i in range(blocks)]
+    parts = [F.shiftrightunsigned(sim, sum(sizes[:i])).bitwiseAND((1 << n) - 1) for i, n in enumerate(sizes)]
+    keys = []
+    for k, chosen in enumerate(combinations(range(blocks), blocks - DISTANCE)):
+        key = parts[chosen[0]]
+        for i in chosen[1:]:
+            key = F.shiftleft(key, sizes[i]).bitwiseOR(parts[i])
+        keys.append(F.shiftleft(key, 6).bitwiseOR(F.lit(k).cast("bigint")))
+    return F.array(*keys)
+
+
+@F.arrow_udf(T.StringType())
+def without_lines(texts: pa.Array, gone: pa.Array) -> pa.Array:
+    """Texts without the lines of these numbers."""
+    out = []
+    for text, numbers in zip(texts.cast(pa.binary()).to_pylist(), gone.to_pylist()):
+        if text is not None:
+            numbers = set(numbers)
+            text = b"\n".join([line for i, line in enumerate(text.split(b"\n")) if i not in numbers])
+        out.append(text)
+    return pa.array(out, pa.binary()).view(pa.string())
+
+
 def wanted_lines(documents, lines):
     """Arrow function: (document's hash, text) to those of its normalised lines that are wanted.
 
@@ -342,14 +378,9 @@ def dedup_lines(
         F.min("place").alias("first"), F.min("sim").alias("sim"), F.min("chars").alias("chars"), F.count("*").alias("n")
     )
     lines = scratch.keep(lines, "lines")
-    blocks = [F.shiftrightunsigned("sim", at).bitwiseAND((1 << n) - 1) for at, n in BLOCKS]
-    keys = F.array(
-        *[F.struct(F.lit(k).alias("k"), F.shiftleft(blocks[i], 13).bitwiseOR(blocks[j]).alias("v")) for k, (i, j) in enumerate(PAIRS)]
-    )
     compared = lines.where("sim is not null")
-    rows = compared.select(F.col("h1").alias("id"), "sim", "chars", F.explode(keys).alias("key")).select(
-        F.shiftleft(F.col("key.v"), 4).bitwiseOR(F.col("key.k")).alias("path"), "id", "sim", "chars",
-    )
+    keys = block_keys("sim", block_count(compared.count()))
+    rows = compared.select(F.explode(keys).alias("path"), F.col("h1").alias("id"), "sim", "chars")
 
     def near(a: str, b: str):
         far = F.bit_count(F.col(f"{a}.sim").bitwiseXOR(F.col(f"{b}.sim")))
@@ -402,7 +433,10 @@ def dedup_lines(
         paths = F.explode(parted("path", "sim", "varies"))
         return open_rows.select(paths.alias("path"), "id", "sim", "chars")
 
-    stars = Linker(near, verify, branch, scratch, leaf, finish=finish).run(rows, prepare)
+    bounds = [F.bit_xor("sim").alias("differ"), F.min("chars").alias("shortest"), F.max("chars").alias("longest")]
+    far = (F.bit_count("differ") > DISTANCE) | (100 * F.col("shortest") < min_percent * F.col("longest"))
+    hopeless = (bounds, (F.col("in_node") == 2) & far)
+    stars = Linker(near, verify, branch, scratch, leaf, finish=finish, hopeless=hopeless).run(rows, prepare)
     owners = lines.select(F.col("h1").alias("id"), "h1", "h2", "first", "n")
     if stars is None:
         groups = owners.select("h1", "h2", "first", "n")
@@ -430,14 +464,13 @@ def dedup_lines(
     same = F.col(id_col).eqNullSafe(F.col(f"{g}.id_")) & (F.xxhash64(text_col) == F.col(f"{g}.th"))
     rows = rows.join(gone, same, "left")
     gone = F.col(f"{g}.gone")
-    parts = F.split(F.col(text_col), "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), gone)
-    kept = F.transform(left, lambda i: F.get(parts, i))
-    cleaned = F.when(gone.isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+    text = F.col(text_col)
+    cleaned = F.when(gone.isNull(), text).otherwise(without_lines(F.when(gone.isNotNull(), text), gone))
+    breaks = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
     return rows.withColumns(
         {
             text_col: cleaned,
-            "n_lines": F.when(F.col(text_col).isNull(), 0).otherwise(F.size(parts)).cast("bigint"),
+            "n_lines": F.when(text.isNull(), 0).otherwise(breaks + 1).cast("bigint"),
             "n_removed": F.when(gone.isNull(), 0).otherwise(F.size(gone)).cast("bigint"),
         }
     ).drop(g)

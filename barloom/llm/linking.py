@@ -94,7 +94,11 @@ def _apart(pairs: DataFrame, stars: DataFrame) -> DataFrame:
 
 
 class Linker:
-    """Links rows with columns `path` (BIGINT), `id` and whatever `near` and `branch` need."""
+    """Links rows with columns `path` (BIGINT), `id` and whatever `near` and `branch` need.
+
+    A path has an id once. `hopeless` are aggregates of a node's rows and a condition on them
+    and `in_node` under which no pair of the node is near: its rows are left out unjoined.
+    """
 
     def __init__(
         self,
@@ -106,21 +110,22 @@ class Linker:
         pivots: int = 16,
         finish: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None,
         heavy: Callable[[str], F.Column] = lambda side: F.lit(False),
+        hopeless: tuple[list[F.Column], F.Column] | None = None,
     ):
         self.near, self.verify, self.branch = near, verify, branch
         self.scratch, self.leaf, self.pivots, self.finish = scratch, leaf, pivots, finish
-        self.heavy = heavy
+        self.heavy, self.hopeless = heavy, hopeless
         self.stars: DataFrame | None = None
 
     def nodes(self, rows: DataFrame) -> DataFrame:
         """Rows of nodes that hold two groups or more, with the node's size."""
         known = with_component(rows, self.stars)
-        about = known.groupBy("path").agg(
-            F.count("*").alias("in_node"),
-            F.min(F.xxhash64("comp")).alias("c0"),
-            F.max(F.xxhash64("comp")).alias("c1"),
-        )
-        about = about.where("c0 <> c1").select("path", "in_node")
+        two = [F.min(F.xxhash64("comp")).alias("c0"), F.max(F.xxhash64("comp")).alias("c1")]
+        if self.stars is None:
+            two = []  # every row is a group of its own
+        aggregates, condition = self.hopeless or ([], F.lit(False))
+        about = known.groupBy("path").agg(F.count("*").alias("in_node"), *two, *aggregates)
+        about = about.where("c0 <> c1" if two else "in_node > 1").where(~condition).select("path", "in_node")
         return known.join(about, "path")
 
     def pairs(self, nodes: DataFrame) -> tuple[DataFrame, DataFrame | None]:

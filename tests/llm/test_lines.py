@@ -195,3 +195,41 @@ def test_clashing_names(spark):
     assert got.columns == [*df.columns, "n_lines", "n_removed"]
     assert sorted((r.doc_id, str(r.text), r.n_removed) for r in got.collect()) == [(1, line, 0), (2, "None", 0), (2, "x", 1)]
     assert all(r[c] == c for r in got.collect() for c in names)
+
+
+@pytest.mark.parametrize("blocks", [5, 6, 7])
+def test_close_hashes_share_a_key(spark, blocks):
+    import random
+
+    rng = random.Random(blocks)
+    rows = []
+    for i in range(300):
+        a = rng.getrandbits(64)
+        b = a
+        for bit in rng.sample(range(64), rng.randrange(4)):
+            b ^= 1 << bit
+        rows.append((i, *[x - (x >> 63 << 64) for x in (a, b)]))
+    df = spark.createDataFrame(rows, "id bigint, a bigint, b bigint")
+    keys = df.select(lines.block_keys("a", blocks).alias("x"), lines.block_keys("b", blocks).alias("y"))
+    assert keys.where("not arrays_overlap(x, y)").isEmpty()
+    assert keys.where("size(array_distinct(x)) < size(x)").isEmpty()
+
+
+@pytest.mark.parametrize("most", [((0, 5), (1 << 29, 6)), ()])
+def test_more_blocks_give_the_same_lines(spark, monkeypatch, most):
+    monkeypatch.setattr(lines, "MOST_LINES", most)
+    rows = fuzzy_rows(seed=2)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {(r.doc_id, dict(rows)[r.doc_id]): r.text for r in lines.dedup_lines(df).collect()} == brute(rows)
+
+
+def test_two_lines_that_meet_by_chance_are_not_joined(spark):
+    """Of nodes of two lines only those go on whose lines can be similar."""
+    from barloom.llm.linking import Linker
+
+    bounds = [lines.F.bit_xor("sim").alias("differ")]
+    hopeless = (bounds, (lines.F.col("in_node") == 2) & (lines.F.bit_count("differ") > 3))
+    rows = [(1, 1, 0), (1, 2, 255), (2, 3, 0), (2, 4, 7), (3, 5, 0), (3, 6, 255), (3, 7, 1)]
+    df = spark.createDataFrame(rows, "path bigint, id bigint, sim bigint")
+    nodes = Linker(None, None, None, None, hopeless=hopeless).nodes(df)
+    assert sorted((r.path, r.id) for r in nodes.collect()) == [(2, 3), (2, 4), (3, 5), (3, 6), (3, 7)]
